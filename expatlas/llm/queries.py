@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from expatlas.llm.encoding import encode_documents
 from expatlas.llm.mixing import mix_sources
 from expatlas.llm.sharding import shard_documents
+from expatlas.llm.token_counts import count_tokens
 from expatlas.scratch import table
 
 
+def vocabulary_path(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when the sources are mixed 5 : 2 : 1."""
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -19,7 +28,22 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 16)
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op6_sharding": op6_sharding}
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), digests=True)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op4_bpe": op4_bpe,
+    "op6_sharding": op6_sharding,
+    "op10_token_counts": op10_token_counts,
+}
 
 ORACLE_SQL = {
     "op1_mixing": r"""
