@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from expatlas.llm.embedding_dedup import embedding_duplicates
 from expatlas.llm.encoding import encode_documents
 from expatlas.llm.mixing import mix_sources
 from expatlas.llm.sharding import shard_documents
+from expatlas.llm.simhash import fingerprint_text, near_duplicates
 from expatlas.llm.token_counts import count_tokens
+from expatlas.llm.topk import exact_top_k
 from expatlas.scratch import table
 
 
@@ -33,6 +36,22 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), digests=True)
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest rows, by integer inner product, of every fiftieth vector."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors at cosine 0.93 within their labels."""
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", fingerprint_text(found["fp"]).alias("fingerprint"), "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of tokens of every document."""
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
@@ -42,10 +61,29 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
+    "op7_topk": op7_topk,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL = {
+    "op7_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256.0::DOUBLE * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT * FROM r WHERE rank <= 5""",
+    "op8_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        n AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS u FROM v),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_inner_product(a.u, b.u) >= 0.93),
+        r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+        k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT vec_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(c.low, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(c.low, vec_id)) AS kept
+        FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN k ON k.a = vec_id""",
     "op1_mixing": r"""
         WITH d AS (SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
