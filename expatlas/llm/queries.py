@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from expatlas.llm.embedding_dedup import embedding_duplicates
 from expatlas.llm.encoding import encode_documents
+from expatlas.llm.language_id import fit, identify
+from expatlas.llm.line_dedup import dedup_lines
 from expatlas.llm.mixing import mix_sources
 from expatlas.llm.sharding import shard_documents
 from expatlas.llm.simhash import fingerprint_text, near_duplicates
@@ -31,6 +34,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 16)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    documents = table(spark, sf_dir, "documents")
+    return identify(documents, fit(documents))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many repeat earlier lines within two edits, and what is kept."""
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), digests=True)
@@ -59,6 +74,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_language_id": op2_language_id,
+    "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
     "op7_topk": op7_topk,
