@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, as they may not have it on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = Path(__file__).parent
+    target = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), f"{root.name}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(target)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -25,6 +45,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     be read several times without computing it again.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -32,4 +53,5 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; the path may be in any store that Spark reads."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
