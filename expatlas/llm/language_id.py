@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from expatlas.scratch import ship
+
 #: Families of language codes. Codes not listed form a family each.
 FAMILIES = {
     "germanic": "af da de en fy is lb nl nn no sv yi",
@@ -135,6 +137,7 @@ def fit(documents: DataFrame, sample: int = 4000, buckets: int = 2048, doc_id: s
     Documents are drawn evenly over languages by a hash of their text, among those not held out. Only
     n-gram frequencies come to the driver, ``buckets`` floats a document. None if nothing is labelled.
     """
+    ship(documents.sparkSession)
     known = documents.filter(F.col(lang).isNotNull() & ~held_out(F.col(doc_id)) & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = dict(known.groupBy("lang").count().collect())
     if not counts:
@@ -162,6 +165,7 @@ def identify(documents: DataFrame, model: Model | None, doc_id: str = "doc_id",
     The score is the family's times the language's, both between 0 and 1. Repeated rows stay; an
     empty table gives none. One pass without a shuffle; the model is a few hundred kB.
     """
+    ship(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def slices(texts: list[str]) -> Iterator[list[str]]:

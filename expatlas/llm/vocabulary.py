@@ -9,6 +9,8 @@ from heapq import heapify, heappop, heappush
 import regex
 from pyspark.sql import SparkSession
 
+from expatlas.scratch import ship
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: printable
@@ -133,6 +135,7 @@ def shared_vocabulary(spark: SparkSession, path: str):
         source = f.read()
     if len(source) > 64 << 20:
         raise ValueError(f"{path}: vocabulary files over 64 MB are not broadcast")
+    ship(spark)
     sent = spark.sparkContext.broadcast(source)
 
     def load(kind):
