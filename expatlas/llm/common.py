@@ -40,3 +40,24 @@ def running_totals(df: DataFrame, group: str, bucket: str, order: list, values:
     inside = df.select("*", *[F.coalesce(F.sum(v).over(within), F.lit(0)).alias(f"_w_{k}") for k, v in values.items()])
     joined = inside.join(base, [group, bucket])
     return joined.select(*df.columns, *[(F.col(f"_b_{k}") + F.col(f"_w_{k}")).alias(k) for k in values])
+
+
+_MARK_BITS = 27
+
+
+def marks(hashes: DataFrame, column: str) -> DataFrame:
+    """A bit map of 2**27 places with a bit for each of the hashes: 16 MB at most, whatever their number."""
+    place = F.col(column).bitwiseAND((1 << _MARK_BITS) - 1) + 1
+    return hashes.groupBy(F.bitmap_bucket_number(place).alias("_mark_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_marks"))
+
+
+def with_mark(df: DataFrame, column: str, found: DataFrame, out: str = "_marked") -> DataFrame:
+    """Add whether a hash may be among the marked ones; false is certain, true needs an exact join.
+
+    The bit map's size is bounded by construction, so it is broadcast at any scale.
+    """
+    place = F.col(column).bitwiseAND((1 << _MARK_BITS) - 1) + 1
+    bit = F.bitmap_bit_position(place).cast("int")
+    octet = F.conv(F.hex(F.substring("_marks", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = df.withColumn("_mark_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(found), "_mark_bucket", "left")
+    return joined.withColumn(out, F.coalesce(F.getbit(octet, bit % 8) == 1, F.lit(False))).drop("_mark_bucket", "_marks")

@@ -8,11 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from expatlas.llm.common import marks, with_mark
 from expatlas.llm.components import connected_components
 from expatlas.scratch import materialize
 
 _KEY_BITS = (1 << 48) - 1
-_FILTER_BITS = 27
 
 
 def segment_bounds(length: Column, segments: int, i: int) -> tuple[Column, Column]:
@@ -118,16 +118,10 @@ def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
 def wanted_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """``hash, line`` of the lines in ``pairs``.
 
-    Most lines are in no pair. A bit map of 2**27 places marks the hashes in question; at 16 MB it is
-    always small enough to broadcast, and keeps other lines out of the exact join that follows.
+    Most lines are in no pair; marks of bounded size keep them out of the exact join that follows.
     """
     names = pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct()
-    place = F.col("hash").bitwiseAND((1 << _FILTER_BITS) - 1) + 1
-    marks = names.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("marks"))
-    bit = F.bitmap_bit_position(place).cast("int")
-    octet = F.conv(F.hex(F.substring("marks", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    seen = lines.withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "bucket")
-    seen = seen.filter(F.expr("1") == F.getbit(octet, bit % 8)).select("hash", "line")
+    seen = with_mark(lines, "hash", marks(names, "hash")).filter("_marked").select("hash", "line")
     return seen.dropDuplicates(["hash"]).join(names, "hash")
 
 

@@ -12,6 +12,7 @@ from expatlas.llm.line_dedup import dedup_lines
 from expatlas.llm.mixing import mix_sources
 from expatlas.llm.sharding import shard_documents
 from expatlas.llm.simhash import fingerprint_text, near_duplicates
+from expatlas.llm.suffix_dedup import remove_repeats
 from expatlas.llm.token_counts import count_tokens
 from expatlas.llm.topk import exact_top_k
 from expatlas.scratch import table
@@ -29,6 +30,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 200 bytes that occur elsewhere."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 16, and of 17, by jump consistent hashing."""
     return shard_documents(table(spark, sf_dir, "documents"), 16)
@@ -77,6 +83,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op7_topk": op7_topk,
     "op8_embedding_dedup": op8_embedding_dedup,

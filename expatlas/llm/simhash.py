@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from expatlas.llm.components import connected_components
-from expatlas.scratch import materialize
+from expatlas.scratch import materialize, ship
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -40,6 +40,7 @@ def fingerprint(text: str, words_per_shingle: int = 3) -> int:
 
 def fingerprints(documents: DataFrame, words_per_shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp`` of every whole text; a null text has no words and fingerprint 0."""
+    ship(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
