@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from expatlas.scratch import ship
 
@@ -158,9 +159,10 @@ def fit(documents: DataFrame, sample: int = 4000, buckets: int = 2048, doc_id: s
     return Model(np.stack([np.frombuffer(r[1], np.float32) for r in rows]), [r[0] for r in rows], buckets)
 
 
-def identify(documents: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text", slice_chars: int = 4_000_000) -> DataFrame:
+def identify(documents: DataFrame, model: Model | None, carry: bool = False, doc_id: str = "doc_id", text: str = "text", slice_chars: int = 4_000_000) -> DataFrame:
     """Language of every whole text: ``doc_id, held_out, lang_pred, score``, a row for each row.
 
+    With ``carry`` all columns of the input are returned instead, and ``_lang_pred`` and ``_score``.
     A null text, one without a letter, and every text if there is no model is ``und`` with score 0.
     The score is the family's times the language's, both between 0 and 1. Repeated rows stay; an
     empty table gives none. One pass without a shuffle; the model is a few hundred kB.
@@ -184,7 +186,7 @@ def identify(documents: DataFrame, model: Model | None, doc_id: str = "doc_id",
         for batch in batches:
             names: list[str] = []
             scores: list[float] = []
-            for part in slices(batch.column("text").to_pylist()):
+            for part in slices([t or "" for t in batch.column(text_column).to_pylist()]):
                 if known is None:
                     names += ["und"] * len(part)
                     scores += [0.0] * len(part)
@@ -192,14 +194,17 @@ def identify(documents: DataFrame, model: Model | None, doc_id: str = "doc_id",
                     n, s = known.predict(part)
                     names += n
                     scores += s.tolist()
-            letters = batch.column("letters").to_pylist()
+            letters = batch.column("_letters").to_pylist()
             names = [n if ok else "und" for n, ok in zip(names, letters, strict=True)]
             scores = [s if ok and n != "und" else 0.0 for n, s, ok in zip(names, scores, letters, strict=True)]
-            rest = [batch.column(c) for c in batch.schema.names if c not in ("text", "letters")]
-            kept = [c for c in batch.schema.names if c not in ("text", "letters")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
-
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = documents.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), body.alias("text"), body.rlike(r"\p{L}").alias("letters"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+            rest = [batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.string()), pa.array(scores, pa.float64())], out.names)
+
+    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters")
+    if carry:
+        rows, text_column, kept, prefix = documents.select("*", letters), text, documents.columns, "_"
+    else:
+        rows = documents.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("_text"), letters)
+        text_column, kept, prefix = "_text", ["doc_id", "held_out"], ""
+    out = T.StructType([*[rows.schema[c] for c in kept], T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType())])
+    return rows.mapInArrow(run, out)

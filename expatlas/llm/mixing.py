@@ -93,3 +93,17 @@ def mix_sources(
 
     out = placed.join(taken, ["src", "_row"], "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "text_key")
+
+
+def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix itself: every document as often as the mix takes it, a part taken counting as a whole.
+
+    Documents of which nothing is taken are not in the mix. Rows equal in id and text share what is
+    taken of them, rounded up for each. All columns stay.
+    """
+    found = mix_sources(documents, doc_id=doc_id, text=text, source=source, **options).filter("taken > 0")
+    shares = found.groupBy("doc_id", "text_key").agg(F.sum(F.ceil(F.col("taken") / F.col("size"))).alias("_n"), F.count("*").alias("_rows"))
+    shares = shares.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.ceil(F.col("_n") / F.col("_rows")).cast("int").alias("_times"))
+    joined = documents.join(shares, F.col(doc_id).eqNullSafe(F.col("_doc_id")) & (F.xxhash64(text) == F.col("_text_key")))
+    again = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return again.select(*documents.columns)

@@ -39,16 +39,16 @@ def fingerprint(text: str, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(documents: DataFrame, words_per_shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` of every whole text; a null text has no words and fingerprint 0."""
+    """``doc_id, fp, key`` of every whole text; a null text has no words and fingerprint 0. ``key`` hashes id and text."""
     ship(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = pa.array([fingerprint(x, words_per_shingle) for x in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps, batch.column("key")], ["doc_id", "fp", "key"])
 
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(doc_id, text).alias("key"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint, key bigint")
 
 
 def cell(fp: Column, segments: int) -> Column:
@@ -100,8 +100,8 @@ def hamming_links(nodes: DataFrame, segments: int | None = None) -> DataFrame:
 def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Components of documents whose fingerprints differ in at most two bits.
 
-    Returns ``doc_id, fp, component_id`` (the smallest doc_id reachable by links), a row for each
-    row. Equal fingerprints are merged before anything is joined, so that a group of copies, however
+    Returns ``doc_id, fp, key, component, component_id`` (a fingerprint that stands for the component,
+    and the smallest doc_id reachable by links), a row for each row. Equal fingerprints are merged before anything is joined, so that a group of copies, however
     large, is one node. Null and word-free texts share fingerprint 0 and are linked like any other; a
     null id is never the smallest, and a component of null ids alone has a null id. Repeated rows
     stay. An empty table gives none; other columns are not carried.
@@ -110,9 +110,21 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, doc_id: st
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     linked = materialize(connected_components(hamming_links(nodes)), "components")
     firsts = linked.join(nodes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first_id").alias("component_id")).hint("rebalance")
-    labels = linked.join(firsts, "root").select(F.col("node").alias("fp"), "component_id")
-    labels = nodes.join(labels, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(materialize(labels, "labels"), "fp").select("doc_id", "fp", "component_id")
+    labels = linked.join(firsts, "root").select(F.col("node").alias("fp"), "root", "component_id")
+    labels = nodes.join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("component"), F.coalesce("component_id", "first_id").alias("component_id"))
+    return rows.join(materialize(labels, "labels"), "fp").select("doc_id", "fp", "key", "component", "component_id")
+
+
+def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with one of each component left: that of the smallest doc_id (null ids last).
+
+    Rows equal in id and text are one document, known by a 64-bit hash of both. All columns stay.
+    """
+    found = near_duplicates(documents, doc_id=doc_id, text=text)
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
+    chosen = materialize(best.select(F.col("best.key").alias("_key")), "chosen")
+    kept = documents.withColumn("_key", F.xxhash64(doc_id, text)).join(chosen, "_key", "left_semi")
+    return kept.dropDuplicates(["_key"]).select(*documents.columns)
 
 
 def fingerprint_text(fp: Column) -> Column:
