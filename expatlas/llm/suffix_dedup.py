@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from expatlas.llm.common import marks, with_mark
 from expatlas.llm.suffix_sort import repeated_starts
-from expatlas.scratch import materialize, ship
+from expatlas.scratch import discard, materialize, ship
 
 _GRAM = 32
 _BASE = 0x9E3779B97F4A7C15
@@ -81,17 +81,23 @@ def _flag(pieces: list[bytes], reach: list[int], copies: list[int], length: int,
     return out
 
 
-def find_repeats(documents: DataFrame, length: int = 200, shard_bytes: int = 8 << 20, hot_pieces: int = 20_000, memory: int = 256 << 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Places where a string of ``length`` bytes begins that begins elsewhere too: ``doc_id, text_key, spans``.
+def _keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id).alias("id_key"), F.xxhash64(text).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    ``spans`` lists (first place of a run of places, places). The steps:
+
+def find_repeats(documents: DataFrame, length: int = 200, shard_bytes: int = 2 << 20, hot_pieces: int = 20_000, memory: int = 256 << 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Places where a string of ``length`` bytes begins that begins elsewhere too: ``id_key,
+    text_key, spans``.
+
+    Documents are known by hashes of id and text, 128 bits together. ``spans`` lists (first place of a run of places, places). The steps:
 
     1. Every place gets its anchor; runs of places with one anchor are pieces (about 85 places and
        285 bytes). Pieces whose anchor occurs once, in them and elsewhere, hold no repeat.
-    2. Equal pieces are merged, with the number of their copies. Only these go on, so a passage copied
-       a million times is sorted once.
-    3. Pieces are dealt out by anchor into shards of about ``shard_bytes``; in each the suffixes are
-       sorted by induction and neighbours that share ``length`` bytes are marked.
+    2. Equal pieces are merged, with the number of their copies, so that a passage copied a million
+       times goes on once. If an anchor has but one piece then, and the piece cannot repeat itself, all
+       of its places are repeated, and by nothing else.
+    3. All other pieces are dealt out by anchor into shards of about ``shard_bytes``; in each the
+       suffixes are sorted by induction and neighbours that share ``length`` bytes are marked.
     4. An anchor with over ``hot_pieces`` different pieces would make one shard too large: its places
        are dealt out singly, by a 128-bit hash of their ``length`` bytes, and counted.
     """
@@ -105,25 +111,27 @@ def find_repeats(documents: DataFrame, length: int = 200, shard_bytes: int = 8 <
             if found:
                 number, anchor, piece, at, n, again = (np.concatenate(x) for x in zip(*found, strict=True))
                 take = pa.array(number)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("text_key").take(take), pa.array(anchor), pa.array(piece), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)],
-                                                 ["doc_id", "text_key", "anchor", "piece", "at", "n", "again"])
+                yield pa.RecordBatch.from_arrays([batch.column("id_key").take(take), batch.column("text_key").take(take), pa.array(anchor), pa.array(piece), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)],
+                                                 ["id_key", "text_key", "anchor", "piece", "at", "n", "again"])
 
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    pieces = materialize(rows.mapInArrow(scan, f"doc_id {kind}, text_key long, anchor long, piece long, at int, n int, again boolean"), "pieces")
+    rows = _keyed(documents, doc_id, text)
+    pieces = materialize(rows.mapInArrow(scan, "id_key long, text_key long, anchor long, piece long, at int, n int, again boolean"), "pieces")
     shared = materialize(pieces.groupBy("anchor").agg(F.count("*").alias("count"), F.max("again").alias("again")).filter("count > 1 or again").select("anchor"), "anchors")
-    likely = with_mark(pieces, "anchor", marks(shared, "anchor")).filter("_marked").drop("_marked", "again")
+    likely = with_mark(pieces, "anchor", marks(shared, "anchor")).filter("_marked").drop("_marked")
     held = materialize(likely.join(shared, "anchor"), "held")
-
-    place = F.struct("doc_id", "text_key", "at", "n")
-    merged = materialize(held.groupBy("anchor", "piece").agg(F.count("*").alias("copies"), F.min(place).alias("p")), "merged")
-    crowded = merged.groupBy("anchor").count().filter(F.col("count") > hot_pieces).select("anchor", F.lit(True).alias("crowded"))
-    merged = merged.join(crowded, "anchor", "left")
-    size = materialize(merged.select("anchor", "piece", "copies", F.col("p.doc_id").alias("_doc_id"), F.col("p.text_key").alias("_text_key"), F.col("p.at").alias("at"), F.col("p.n").alias("n"), F.coalesce("crowded", F.lit(False)).alias("crowded")), "wanted")
-    wanted = size.groupBy("_doc_id", "_text_key").agg(F.collect_list(F.struct("anchor", "piece", "copies", "at", "n", "crowded")).alias("cuts"))
-    sources = with_mark(rows, "text_key", marks(size.select("_text_key").distinct(), "_text_key")).filter("_marked").drop("_marked")
-    sources = sources.dropDuplicates(["doc_id", "text_key"]).join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")))
-    cut = sources.withColumn("body", F.col("text").cast("binary")).select(F.explode("cuts").alias("c"), F.col("body"))
+    discard(pieces, shared)
+
+    place = F.struct("id_key", "text_key", "at", "n")
+    merged = held.groupBy("anchor", "piece").agg(F.count("*").alias("copies"), F.max("again").alias("again"), F.min(place).alias("p"))
+    merged = materialize(merged.select("anchor", "piece", "copies", "again", "p.*"), "merged")
+    kinds = merged.groupBy("anchor").agg(F.count("*").alias("pieces"), F.max("again").alias("_again"))
+    kinds = merged.drop("again").join(kinds, "anchor")
+    alone = (F.col("pieces") == 1) & ~F.col("_again")
+    decided = kinds.filter(alone).select("anchor", "piece", F.array(F.lit(0), F.col("n")).alias("runs"))
+    wanted = materialize(kinds.filter(~alone).select("anchor", "piece", "copies", "id_key", "text_key", "at", "n", (F.col("pieces") > hot_pieces).alias("crowded")), "wanted")
+    cuts = wanted.groupBy("id_key", "text_key").agg(F.collect_list(F.struct("anchor", "piece", "copies", "at", "n", "crowded")).alias("cuts"))
+    sources = with_mark(rows, "text_key", marks(wanted.select("text_key").distinct(), "text_key")).filter("_marked").select("id_key", "text_key", "text")
+    cut = sources.join(cuts, ["id_key", "text_key"]).select(F.explode("cuts").alias("c"), F.col("text").cast("binary").alias("body"))
     cut = cut.select("c.anchor", "c.piece", "c.copies", "c.n", "c.crowded", F.substring("body", F.col("c.at") + 1, F.col("c.n") + length - 1).alias("bytes"))
     cut = materialize(cut, "cut")
 
@@ -168,10 +176,11 @@ def find_repeats(documents: DataFrame, length: int = 200, shard_bytes: int = 8 <
 
     single = cut.filter("crowded").mapInPandas(singly, "hash binary, anchor long, piece long, copies long, at int")
     seen = single.groupBy("hash").agg(F.sum("copies").alias("times")).filter("times > 1").select("hash").hint("rebalance")
-    alone = single.join(seen, "hash").groupBy("anchor", "piece").agg(F.flatten(F.array_sort(F.collect_set(F.array(F.col("at"), F.col("at") + 1)))).alias("runs"))
+    counted = single.join(seen, "hash").groupBy("anchor", "piece").agg(F.flatten(F.array_sort(F.collect_set(F.array(F.col("at"), F.col("at") + 1)))).alias("runs"))
 
-    flagged = materialize(flagged.union(alone).filter(F.size("runs") > 0), "flagged")
-    hits = held.join(flagged, ["anchor", "piece"]).groupBy("doc_id", "text_key")
+    flagged = materialize(flagged.union(counted).filter(F.size("runs") > 0).union(decided), "flagged")
+    discard(cut, wanted, merged)
+    hits = held.join(flagged, ["anchor", "piece"]).groupBy("id_key", "text_key")
     return hits.agg(F.collect_set(F.struct("at", "runs")).alias("spans"))
 
 
@@ -185,10 +194,9 @@ def remove_repeats(documents: DataFrame, length: int = 200, keep_bytes: bool = F
     text are repeats of each other; an empty table gives none; other columns are not carried.
     """
     spans = materialize(find_repeats(documents, length, doc_id=doc_id, text=text, **limits), "spans")
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = _keyed(documents, doc_id, text)
     rows = with_mark(rows, "text_key", marks(spans.select("text_key").distinct(), "text_key"))
-    named = spans.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_text_key"})
-    hit = rows.filter("_marked").join(named, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")), "left").select("doc_id", "text", "spans")
+    hit = rows.filter("_marked").join(spans, ["id_key", "text_key"], "left").select("doc_id", "text", "spans")
     clear = rows.filter("not _marked").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
