@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 
 def rollup(df: DataFrame, key: str, rules: dict[str, str | Callable[[str], Column]], order: str = "item_id") -> DataFrame:
-    """Runs to experiments: a function for each column. ``first`` is the first known value by ``order``; a sum of nothing is 0."""
+    """Runs to experiments: a function for each column. ``first`` is the first known value by ``order``, of several the smallest; a sum of nothing is 0."""
     known = {
         "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
         "mean": F.avg,
-        "first": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))),
+        "first": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(order, c))),
         "min": F.min, "max": F.max, "median": F.median, "count": F.count,
     }
     return df.groupBy(key).agg(*[(known[f] if isinstance(f, str) else f)(c).alias(c) for c, f in rules.items()])

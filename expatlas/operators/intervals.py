@@ -31,7 +31,7 @@ def islands(df: DataFrame, by: list[str], start: str = "start", stop: str = "sto
     same = s <= F.col("_last") if touching else (s < F.col("_last")) | ((s == F.col("_previous")) & (e > s))
     rows = rows.withColumn("_head", F.when(~F.coalesce(same, F.lit(False)), s))
     heads = rows.groupBy(*by, "_tile").agg(F.max("_head").alias("_h")).select(*by, "_tile", F.max("_h").over(earlier).alias("_open"))
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal intervals count as one place
     out = rows.join(heads, [*by, "_tile"]).withColumn("island", F.coalesce(F.max("_head").over(upto), "_open"))
     return out.select(*df.columns, "island")
 
@@ -189,7 +189,7 @@ def background_level(coverage: DataFrame, features: DataFrame, sizes: DataFrame,
     parts = met.select("chrom", F.col("b_value").alias("value"), (F.least("stop", "b_stop") - F.greatest("start", "b_start") + 1).alias("n"))
     whole = gaps.groupBy("chrom").agg(F.sum(F.col("stop") - F.col("start")).alias("_n"))
     zero = whole.join(parts.groupBy("chrom").agg(F.sum("n").alias("_c")), "chrom", "left").select("chrom", F.lit(0.0).alias("value"), (F.col("_n") - F.coalesce("_c", F.lit(0))).alias("n"))
-    weighted = parts.union(zero).filter("n > 0").groupBy("chrom").agg(F.percentile("value", F.lit(q), "n").alias("level"))
+    weighted = parts.union(zero).filter("n > 0").groupBy("chrom").agg(F.percentile("value", F.lit(q), F.col("n")).alias("level"))
     return weighted.agg(F.median("level").alias("level"))
 
 

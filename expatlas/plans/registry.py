@@ -1,6 +1,6 @@
-"""All queries of the library proper, gathered from the plan modules."""
+"""All queries of the library proper."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from expatlas.plans import aggregates, relational, science  # noqa: F401
+from expatlas.plans.base import ORACLE_SQL, QUERIES  # noqa: F401

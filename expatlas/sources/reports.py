@@ -18,13 +18,13 @@ SCREEN = (
     "one_hit_multiple_libraries_percent multiple_hits_multiple_libraries_count multiple_hits_multiple_libraries_percent"
 ).split()
 
-CATALOG = T.StructType.fromDDL(
+CATALOG = (
     "srx STRING, title STRING, library_strategy STRING, library_selection STRING, sra_create_date TIMESTAMP, project STRING, biosample STRING, organisms ARRAY<STRING>, "
     "contacts ARRAY<STRUCT<first: STRING, last: STRING, mail: STRING>>, runs ARRAY<STRUCT<srr: STRING, nspots: STRING, read_count_r1: BIGINT, read_count_r2: BIGINT, read_len_r1: DOUBLE, read_len_r2: DOUBLE>>"
 )
 
 
-def read_catalog(spark: SparkSession, path: str, schema: T.StructType = CATALOG, paths: list[str] | None = None) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, schema: str = CATALOG, paths: list[str] | None = None) -> DataFrame:
     """Nested documents under a declared schema, the given paths projected."""
     df = spark.read.schema(schema).json(path)
     return df.select(*paths) if paths else df
