@@ -27,20 +27,18 @@ def _key(i: int, length: Column, part: Column) -> Column:
     return F.xxhash64(F.lit(i), length, part).bitwiseAND(_KEY_BITS)
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    """Keys of a line's own segments: which one, the line's length, the letters."""
-    n = F.char_length(line)
+def index_keys(line: Column, n: Column, edits: int) -> Column:
+    """Keys of the segments of a line of ``n`` characters: which one, the line's length, the letters."""
     return F.array(*[_key(i, n, F.substring(line, *segment_bounds(n, edits + 1, i))) for i in range(edits + 1)])
 
 
-def probe_keys(line: Column, edits: int, least: int) -> Column:
-    """Keys under which a line finds every line at most ``edits`` edits away and no longer than itself.
+def probe_keys(line: Column, n: Column, edits: int, least: int) -> Column:
+    """Keys, some of them null, under which a line finds every line at most ``edits`` edits away and no longer than itself.
 
     Lines of each length from n - ``edits`` to n keep at least one of their ``edits`` + 1 segments.
     The i-th one moves by at most i edits made before it and by the rest made after it, which leaves
     few places to try. Lengths under ``least`` are not tried.
     """
-    n = F.char_length(line)
     keys = []
     for shorter in range(edits + 1):
         length = n - shorter
@@ -50,7 +48,7 @@ def probe_keys(line: Column, edits: int, least: int) -> Column:
                 at = start + shift
                 fits = (length >= least) & (at >= 1) & (at + size - 1 <= n)
                 keys.append(F.when(fits, _key(i, length, F.substring(line, at, size))))
-    return F.array_compact(F.array(*keys))
+    return F.array(*keys)
 
 
 def edits_within(a: str, b: str, most: int) -> bool:
@@ -107,10 +105,10 @@ def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs ``a < b`` of line hashes that share a segment where lines within ``edits`` edits must."""
-    once = lines.filter(F.char_length("line") >= least).dropDuplicates(["hash"])
-    keyed = once.select("hash", index_keys(F.col("line"), edits).alias("own"), probe_keys(F.col("line"), edits, least).alias("tries"))
-    index = keyed.select(F.col("hash").alias("x"), F.explode("own").alias("key"))
-    probes = keyed.select(F.col("hash").alias("y"), F.explode("tries").alias("key"))
+    once = lines.withColumn("n", F.char_length("line")).filter(F.col("n") >= least).dropDuplicates(["hash"])
+    line, n = F.col("line"), F.col("n")
+    index = once.select(F.col("hash").alias("x"), F.explode(index_keys(line, n, edits)).alias("key"))
+    probes = once.select(F.col("hash").alias("y"), F.explode(probe_keys(line, n, edits, least)).alias("key")).filter("key is not null")
     met = probes.join(index, "key").filter("x <> y")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
