@@ -15,40 +15,53 @@ from expatlas.scratch import materialize
 _KEY_BITS = (1 << 48) - 1
 
 
-def segment_bounds(length: Column, segments: int, i: int) -> tuple[Column, Column]:
+def segment_bounds(length: Column, segments: int, i: Column) -> tuple[Column, Column]:
     """First place (from 1) and length of the i-th (from 0) of ``segments`` even parts; later parts take the rest."""
-    short, long = F.floor(length / segments), length % segments
-    extra = F.greatest(long - (segments - 1 - i), F.lit(0)).cast("int")
-    before = F.greatest(long - (segments - i), F.lit(0)).cast("int")
-    return (short * i + before + 1).cast("int"), (short + F.when(extra > 0, 1).otherwise(0)).cast("int")
+    short, even = F.floor(length / segments).cast("int"), segments - (length % segments)
+    return (short * i + F.greatest(i - even, F.lit(0)) + 1).cast("int"), (short + F.when(i >= even, 1).otherwise(0)).cast("int")
 
 
-def _key(i: int, length: Column, part: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, part).bitwiseAND(_KEY_BITS)
+def _key(i: Column, length: Column, part: Column) -> Column:
+    return F.xxhash64(i, length, part).bitwiseAND(_KEY_BITS)
 
 
-def index_keys(line: Column, n: Column, edits: int) -> Column:
-    """Keys of the segments of a line of ``n`` characters: which one, the line's length, the letters."""
-    return F.array(*[_key(i, n, F.substring(line, *segment_bounds(n, edits + 1, i))) for i in range(edits + 1)])
+def _each(rows: DataFrame, named: str, values: list[tuple]) -> DataFrame:
+    """Every row with every one of a few fixed tuples of whole numbers, whose columns ``named`` lists.
+
+    One small expression over these columns makes a line's keys. An array with an expression for each
+    key grows past the size at which the JVM compiles a method, and is then interpreted.
+    """
+    names = named.split()
+    fixed = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row, strict=True)]) for row in values])
+    return rows.select("*", F.inline(fixed))
+
+
+def index_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``hash, key`` for every segment of lines ``hash, line, n``: which one, the line's length, the letters."""
+    rows = _each(lines, "i", [(i,) for i in range(edits + 1)])
+    n, i = F.col("n"), F.col("i")
+    return rows.select("hash", _key(i, n, F.substring("line", *segment_bounds(n, edits + 1, i))).alias("key"))
 
 
-def probe_keys(line: Column, n: Column, edits: int, least: int) -> Column:
-    """Keys, some of them null, under which a line finds every line at most ``edits`` edits away and no longer than itself.
+def probe_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    """``hash, key`` under which a line finds every line at most ``edits`` edits away and no longer than itself.
 
     Lines of each length from n - ``edits`` to n keep at least one of their ``edits`` + 1 segments.
     The i-th one moves by at most i edits made before it and by the rest made after it, which leaves
     few places to try. Lengths under ``least`` are not tried.
     """
-    keys = []
-    for shorter in range(edits + 1):
-        length = n - shorter
-        for i in range(edits + 1):
-            start, size = segment_bounds(length, edits + 1, i)
-            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                at = start + shift
-                fits = (length >= least) & (at >= 1) & (at + size - 1 <= n)
-                keys.append(F.when(fits, _key(i, length, F.substring(line, at, size))))
-    return F.array(*keys)
+    tries = [
+        (shorter, i, shift)
+        for shorter in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)
+    ]
+    rows = _each(lines, "shorter i shift", tries)
+    length, i = F.col("n") - F.col("shorter"), F.col("i")
+    start, size = segment_bounds(length, edits + 1, i)
+    at = start + F.col("shift")
+    fits = (length >= least) & (at >= 1) & (at + size - 1 <= F.col("n"))
+    return rows.filter(fits).select("hash", _key(i, length, F.substring("line", at, size)).alias("key"))
 
 
 def edits_within(a: str, b: str, most: int) -> bool:
@@ -106,9 +119,8 @@ def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs ``a < b`` of line hashes that share a segment where lines within ``edits`` edits must."""
     once = lines.withColumn("n", F.char_length("line")).filter(F.col("n") >= least).dropDuplicates(["hash"])
-    line, n = F.col("line"), F.col("n")
-    index = once.select(F.col("hash").alias("x"), F.explode(index_keys(line, n, edits)).alias("key"))
-    probes = once.select(F.col("hash").alias("y"), F.explode(probe_keys(line, n, edits, least)).alias("key")).filter("key is not null")
+    index = index_keys(once, edits).withColumnRenamed("hash", "x")
+    probes = probe_keys(once, edits, least).withColumnRenamed("hash", "y")
     met = probes.join(index, "key").filter("x <> y")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
