@@ -118,7 +118,7 @@ def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def candidate_pairs(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs ``a < b`` of line hashes that share a segment where lines within ``edits`` edits must."""
-    once = lines.withColumn("n", F.char_length("line")).filter(F.col("n") >= least).dropDuplicates(["hash"])
+    once = lines.select("hash", "line", F.char_length("line").alias("n")).filter(F.col("n") >= least).dropDuplicates(["hash"])
     index = index_keys(once, edits).withColumnRenamed("hash", "x")
     probes = probe_keys(once, edits, least).withColumnRenamed("hash", "y")
     met = probes.join(index, "key").filter("x <> y")
