@@ -18,11 +18,11 @@ from expatlas.scratch import materialize, ship
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprint(text: str, words_per_shingle: int = 3) -> int:
-    """64-bit SimHash as a signed integer: a bit is set if it is in over half of the shingles' hashes."""
+def shingle_hashes(text: str, words_per_shingle: int = 3) -> np.ndarray:
+    """64-bit hashes of all runs of so many words, ASCII letters in lower case; a shorter text is one shingle."""
     words = text.encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate(len(w) + 1 for w in words))
     k = min(words_per_shingle, len(words))
@@ -30,7 +30,13 @@ def fingerprint(text: str, words_per_shingle: int = 3) -> int:
     shingles = (joined[a : b - 1] for a, b in zip(starts, ends[k - 1 :], strict=False))
     n = len(words) - k + 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, 42) for s in shingles), np.uint64, n)
+    return np.fromiter((digest(s, 42) for s in shingles), np.uint64, n)
+
+
+def fingerprint(text: str, words_per_shingle: int = 3) -> int:
+    """64-bit SimHash as a signed integer: a bit is set if it is in over half of the shingles' hashes."""
+    hashes = shingle_hashes(text, words_per_shingle)
+    n = len(hashes)
     counts = np.zeros(64, np.int64)
     for part in range(0, n, 65536):
         octets = hashes[part : part + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -115,12 +121,18 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, doc_id: st
     return rows.join(materialize(labels, "labels"), "fp").select("doc_id", "fp", "key", "component", "component_id")
 
 
-def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(documents: DataFrame, words_per_shingle: int = 3, least: float | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each component left: that of the smallest doc_id (null ids last).
 
-    Rows equal in id and text are one document, known by a 64-bit hash of both. All columns stay.
+    Without ``least``, links are fingerprints within two bits; with it, they are all pairs whose sets of
+    shingles have at least that Jaccard similarity, counted exactly (see ``shingle_join``). Rows equal in id and text are one document, known by a 64-bit hash of both. All columns stay.
     """
-    found = near_duplicates(documents, doc_id=doc_id, text=text)
+    if least is None:
+        found = near_duplicates(documents, words_per_shingle, doc_id, text)
+    else:
+        from expatlas.llm.shingle_join import similar_documents
+
+        found = similar_documents(documents, words_per_shingle, least, doc_id, text)
     best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
     chosen = materialize(best.select(F.col("best.key").alias("_key")), "chosen")
     kept = documents.withColumn("_key", F.xxhash64(doc_id, text)).join(chosen, "_key", "left_semi")

@@ -241,3 +241,43 @@ def test_pipeline(spark, odd, empty):
     assert first.count() >= 0.98 * docs.count()
     rows = corpus_pipeline.run(spark, DIR)
     assert rows.count() > 0 and rows.filter("size(ids) <> n_tokens").count() == 0
+
+
+def _changed(text, rng, share):
+    return " ".join(w if rng.random() > share else f"new{rng.integers(10**6)}" for w in text.split())
+
+
+@pytest.mark.parametrize("often", [64, 2])
+def test_stage_drops_near_copies_by_jaccard(spark, monkeypatch, often):
+    import corpus_pipeline
+    from expatlas.llm import shingle_join
+
+    monkeypatch.setattr(shingle_join, "OFTEN", often)
+    monkeypatch.setattr(shingle_join, "SAMPLE", 1)
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(12):
+        base = " ".join(f"w{x}" for x in rng.integers(0, 400, rng.integers(3, 300)))
+        texts += [base, base.upper(), *[_changed(base, rng, share) for share in (0.01, 0.02, 0.03, 0.05, 0.1) for _ in range(3)]]
+    texts += ["a b c", "A  b c", "a b", None, "", "  "]
+    sets = [set(shingle_join.shingle_set(t or "", 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0, 1, "", "") for i, t in enumerate(texts)], DOCS)
+    got = sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, DIR).collect())
+    assert got == sorted(set(root))
+
+
+def test_similar_prefixes_meet():
+    from expatlas.llm import shingle_join
+
+    rng = np.random.default_rng(6)
+    for n in (1, 4, 5, 9, 10, 50, 333):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.sort(np.concatenate([a[rng.permutation(n)[: -(-8 * n // 10)]]]))
+        last = np.sort(a[: n // 3])
+        for order in (last, last[:0]):
+            assert set(shingle_join.prefix(a, 0.8, order).tolist()) & set(shingle_join.prefix(b, 0.8, order).tolist())
