@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -258,12 +259,15 @@ def _vectors(spark, d):
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"), "label")
 
 
+def _principal(spark, d, k):
+    cols = [f"c{i}" for i in range(64)]
+    x = _vectors(spark, d).select("id", *[F.get("vector", F.lit(i)).alias(c) for i, c in enumerate(cols)])
+    return N.pca(x, cols, k)[0]
+
+
 @query()
 def n14_pca(spark, d):
-    cols = [f"c{i}" for i in range(16)]
-    x = _vectors(spark, d).select("id", *[F.get("vector", F.lit(i)).alias(c) for i, c in enumerate(cols)])
-    scores, _ = N.pca(x, cols, 4)
-    return scores.select("id", "pc")
+    return _principal(spark, d, 4).select("id", "pc")
 
 
 @query("SELECT CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j, round(covar_pop(CAST(embedding[i] AS DOUBLE), CAST(embedding[j] AS DOUBLE)), 8) + 0.0 AS cov FROM embeddings, range(1, 65) a(i), range(1, 65) b(j) WHERE i <= j GROUP BY 1, 2")
@@ -324,13 +328,13 @@ def _features(spark, d):
 @query()
 def m03_isolation_forest(spark, d):
     x = _features(spark, d)
-    return M.IsolationForest(_FEATURES, "id", 50).fit(x).transform(x).select("id", "score", "outlier")
+    return M.IsolationForest(_FEATURES, "id", 100).fit(x).transform(x).select("id", "score", "outlier")
 
 
 @query()
 def m04_prop_outliers(spark, d):
     x = _features(spark, d)
-    return M.prop_outliers(M.IsolationForest(_FEATURES, "id", 50).fit(x).transform(x), ["label"])
+    return M.prop_outliers(M.IsolationForest(_FEATURES, "id", 100).fit(x).transform(x), ["label"])
 
 
 @query()
@@ -341,7 +345,11 @@ def m05_outliers_by_group(spark, d):
 @query()
 def m06_mixin_curve(spark, d):
     x = _features(spark, d)
-    return M.mixin_curve(M.IsolationForest(_FEATURES, "id", 50).fit(x.filter("label = 'A'")), x.filter("label = 'A'"), x.filter("label <> 'A'").withColumn("price", F.col("price") * 3), [0.0, 0.25, 0.5, 1.0])
+    own = x.filter("label = 'A'")
+    forest = M.IsolationForest(_FEATURES, "id", 100).fit(own)
+    sources = {"N": x.filter("label = 'N'"), "R": x.filter("label = 'R'"), "price": x.filter("label <> 'A'").withColumn("price", F.col("price") * 3)}
+    curves = [M.mixin_curve(forest, own, rows, [i / 10 for i in range(11)]).withColumn("source", F.lit(name)) for name, rows in sources.items()]
+    return reduce(lambda a, b: a.union(b), curves)
 
 
 @query()
@@ -353,7 +361,7 @@ def m07_random_forest(spark, d):
 
 @query()
 def m10_kmeans(spark, d):
-    return N.kmeans(_vectors(spark, d), 8)
+    return N.kmeans(_principal(spark, d, 40).select("id", F.col("pc").alias("vector")), 15)
 
 
 # -- labels and text ---------------------------------------------------------------------------------
