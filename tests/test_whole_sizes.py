@@ -29,3 +29,16 @@ def test_mixin_curve_and_trees(spark, monkeypatch):
     got = registry.QUERIES["m06_mixin_curve"](spark, DIR).collect()
     assert trees == [100] * 3
     assert sorted((r.source, r.fraction) for r in got) == sorted((s, i / 10) for s in ("N", "R", "price") for i in range(11))
+
+
+def test_background_level_reads_all_events(spark, monkeypatch):
+    seen = []
+    merge = science.R.merge_coverage
+    monkeypatch.setattr(science.R, "merge_coverage", lambda track, *a, **k: (seen.append(track), merge(track, *a, **k))[1])
+    level = science.R.background_level
+    monkeypatch.setattr(science.R, "background_level", lambda cover, genes, sizes: (seen.append(genes), level(cover, genes, sizes))[1])
+    assert registry.QUERIES["r16_background_level"](spark, DIR).count() > 0
+    events = spark.read.parquet(f"{DIR}/events.parquet")
+    assert seen[0].count() == events.count() and seen[1].count() == events.filter("event_id % 2 = 0").count()
+    runs = sorted((r.chrom, r["sample"], r.start, r.stop) for r in seen[0].collect())
+    assert all(a[:2] != b[:2] or a[3] <= b[2] for a, b in zip(runs, runs[1:]))
