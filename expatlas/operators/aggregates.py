@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ def summary_stats(df: DataFrame, col: str, by: list[str] | None = None) -> DataF
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    q = [F.percentile(col, F.lit(p)).alias(n) for p, n in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))]
-    return df.agg(F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), *q, F.max(col).alias("max"))
+    points = {0.25: "q1", 0.5: "q2", 0.75: "q3"}
+    found = exact_percentiles(df, col, list(points)).agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in points.items()])
+    rest = df.agg(F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"))
+    return rest.join(F.broadcast(found)).select("n", "mean", "std", "min", *points.values(), "max")
 
 
 def crosstab(df: DataFrame, a: str, b: str, values: list) -> DataFrame:
@@ -109,9 +112,14 @@ def junction_rollup(df: DataFrame) -> DataFrame:
     return out.withColumn("label", F.concat(F.col("total").cast("string"), F.lit("("), F.col("rows").cast("string"), F.lit(")")))
 
 
+def group_apply(df: DataFrame, by: list[str], body: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """A caller's function of whole small groups, where no expression says the same; a group must fit a task."""
+    return df.groupBy(*by).applyInPandas(body, schema)
+
+
 def variance_thresholds(components: DataFrame, shares: list[float]) -> DataFrame:
     """Components needed to stay below shares of the variance: ``share, n``."""
-    running = components.withColumn("_sum", F.sum("ratio").over(Window.orderBy(F.desc("ratio"), "component")))
+    running = running_sum(components, [], [F.desc("ratio"), "component"], F.col("ratio"))
     return running.agg(*[F.count_if(F.col("_sum") < s).alias(f"below_{round(s * 100)}") for s in shares])
 
 
@@ -122,21 +130,57 @@ def rank_average(df: DataFrame, part: list[str], col: str, out: str = "rank") ->
     return df.withColumn(out, F.rank().over(ordered) + (F.count("*").over(equal) - 1) / 2)
 
 
-def sequence_ids(df: DataFrame, order: list[str], fmt: str, out: str = "id") -> DataFrame:
-    """Names numbered in sorted order, without a window over the whole table.
+def rank_average_ranged(df: DataFrame, part: list[str], col: str, out: str = "rank") -> DataFrame:
+    """As ``rank_average``, for few large groups: the values are range-partitioned and their counts summed up."""
+    values = df.groupBy(*part, col).agg(F.count("*").alias("_n"))
+    before = running_sum(values, part, [col], F.col("_n"))
+    ranks = before.select(*part, F.col(col).alias("_v"), (F.col("_sum") - (F.col("_n") - 1) / 2).alias(out))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in part] + [F.col(f"a.{col}").eqNullSafe(F.col("b._v"))]
+    joined = df.alias("a").join(ranks.alias("b"), same)
+    return joined.select("a.*", f"b.{out}")
 
-    Rows are range-partitioned and sorted; each is numbered within its partition, and the small table
-    of partition sizes gives the offsets. The sorted rows are written first, so that both see the same.
+
+def running_sum(df: DataFrame, part: list[str], order: list, value: Column, out: str = "_sum") -> DataFrame:
+    """Add the running total of a value in a group's order, without a window over a whole group.
+
+    Rows are range-partitioned and sorted; sums are taken within a partition, and the small table of
+    partitions' totals gives the offsets. The sorted rows are written first, so that both see the same.
     """
     from expatlas.scratch import materialize
 
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    by = [*part, *order]
+    rows = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"_at": F.monotonically_increasing_id(), "_value": value})
     rows = materialize(rows, "ordered").withColumn("_part", F.shiftright("_at", 33))
-    sizes = rows.groupBy("_part").agg((F.max("_at") - F.min("_at") + 1).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = rows.join(sizes.select("_part", before.alias("_before")), "_part")
-    number = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
-    return numbered.select(*df.columns, F.format_string(fmt, number).alias(out))
+    sizes = rows.groupBy(*part, "_part").agg(F.sum("_value").alias("_total"))
+    earlier = Window.partitionBy(*part).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(c).alias(f"_k_{c}") for c in part], F.col("_part").alias("_p"), F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*part, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = rows.withColumn("_within", F.sum("_value").over(inside))
+    joined = own.join(sizes, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part] + [F.col("_part") == F.col("_p")])
+    return joined.select(*df.columns, (F.col("_before") + F.col("_within")).alias(out))
+
+
+def numbered(df: DataFrame, order: list, out: str = "_number") -> DataFrame:
+    """Rows numbered from 1 in sorted order."""
+    return running_sum(df, [], order, F.lit(1).cast("long"), out)
+
+
+def sequence_ids(df: DataFrame, order: list[str], fmt: str, out: str = "id") -> DataFrame:
+    """Names numbered in sorted order, without a window over the whole table."""
+    return numbered(df, order).select(*df.columns, F.format_string(fmt, F.col("_number")).alias(out))
+
+
+def exact_percentiles(df: DataFrame, col: str, points: list[float]) -> DataFrame:
+    """Percentiles, interpolated, as one row a point (``point, value``): values are counted, sorted by range
+    and summed up, so that no task holds them all; the rows at the wanted places are picked."""
+    counted = running_sum(df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("_n")), [], [col], F.col("_n"))
+    n = counted.agg(F.sum("_n").alias("n"))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")
+    places = n.select("n", wanted).filter("n > 0").withColumn("at", F.col("point") * (F.col("n") - 1))
+    places = places.select("point", "at", F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("place")).distinct()
+    met = counted.join(F.broadcast(places), (F.col("place") < F.col("_sum")) & (F.col("place") >= F.col("_sum") - F.col("_n")))
+    low, high = F.min_by(col, "place"), F.max_by(col, "place")
+    return met.groupBy("point").agg((low + (high - low) * (F.first("at") - F.min("place"))).alias("value"))
 
 
 def gaps_between(df: DataFrame, part: str, start: str, end: str) -> DataFrame:
@@ -146,5 +190,7 @@ def gaps_between(df: DataFrame, part: str, start: str, end: str) -> DataFrame:
 
 
 def zscore(df: DataFrame, part: list[str], col: str, out: str = "z") -> DataFrame:
-    w = Window.partitionBy(*part)
-    return df.withColumn(out, F.try_divide(F.col(col) - F.avg(col).over(w), F.stddev_samp(col).over(w)))
+    """Groups' means and deviations are aggregated and joined back, as there may be few, large groups."""
+    stats = df.groupBy(*part).agg(F.avg(col).alias("_m"), F.stddev_samp(col).alias("_s")).withColumnsRenamed({c: f"_k_{c}" for c in part})
+    joined = df.join(stats, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part]) if part else df.join(F.broadcast(stats))
+    return joined.withColumn(out, F.try_divide(F.col(col) - F.col("_m"), F.col("_s"))).drop("_m", "_s", *[f"_k_{c}" for c in part])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,14 +49,23 @@ def named_fusions(df: DataFrame, by: list[str], attribute: str) -> DataFrame:
     return sequence_ids(fuse(df, by, attribute), [*by, "start", "stop"], "FUS%06d", "fusion_id")
 
 
-def segment(df: DataFrame, by: list[str], attribute: str) -> DataFrame:
-    """Disjoint pieces of islands, cut at every start and after every end, with the attributes of what covers them."""
+def segment(df: DataFrame, by: list[str], attribute: str, tile: int = 1 << 10) -> DataFrame:
+    """Disjoint pieces of islands, cut at every start and after every end, with the attributes of what covers them.
+
+    Pieces meet the intervals over them by tile: an interval is listed in the tiles that it touches, a
+    piece in the tile of its start, so that a long chain of overlaps is no single join key. Every
+    piece lies within all of the intervals that hold its start.
+    """
     rows = islands(df, by)
     edges = rows.select(*by, "island", F.explode(F.array(F.col("start"), F.col("stop") + 1)).alias("start")).distinct()
-    following = F.lead("start").over(Window.partitionBy(*by, "island").orderBy("start"))
-    pieces = edges.withColumn("stop", following - 1).filter("stop is not null")
+    cut = edges.withColumn("_tile", F.floor(F.col("start") / tile))
+    within = F.lead("start").over(Window.partitionBy(*by, "island", "_tile").orderBy("start"))
+    heads = cut.groupBy(*by, "island", "_tile").agg(F.min("start").alias("_head"))
+    heads = heads.select(*by, "island", "_tile", F.lead("_head").over(Window.partitionBy(*by, "island").orderBy("_tile")).alias("_next"))
+    pieces = cut.withColumn("_in", within).join(heads, [*by, "island", "_tile"]).withColumn("stop", F.coalesce("_in", "_next") - 1).filter("stop is not null")
     cover = rows.select(*by, "island", F.col("start").alias("_s"), F.col("stop").alias("_e"), F.col(attribute).alias("_m"))
-    met = pieces.join(cover, [*by, "island"]).filter("_s <= start and _e >= stop")
+    cover = cover.withColumn("_tile", F.explode(F.sequence(F.floor(F.col("_s") / tile), F.floor(F.col("_e") / tile))))
+    met = pieces.select(*by, "island", "_tile", "start", "stop").join(cover, [*by, "island", "_tile"]).filter("_s <= start and _e >= stop")
     return met.groupBy(*by, "start", "stop").agg(F.array_sort(F.collect_set("_m")).alias("members"))
 
 
@@ -113,9 +124,6 @@ def elementary(df: DataFrame, tile: int = 1 << 16) -> DataFrame:
     return met.select("chrom", F.col("_from").alias("start"), F.col("_to").alias("stop"), "sample", "value")
 
 
-_AGGREGATES = {"sum": F.sum, "mean": F.avg, "max": F.max, "median": F.median, "p75": lambda c: F.percentile(c, F.lit(0.75)), "p95": lambda c: F.percentile(c, F.lit(0.95))}
-
-
 def merge_coverage(df: DataFrame, how: str, samples: int, missing: str = "zero", region: tuple | None = None, scale: bool = False, threshold: float | None = None) -> DataFrame:
     """One track out of many: an aggregate over samples at every place, equal neighbours joined.
 
@@ -150,12 +158,50 @@ def _over_array(values: Column, how: str) -> Column:
     return F.get(ordered, low) + (F.get(ordered, high) - F.get(ordered, low)) * (place - low)
 
 
-def compress(df: DataFrame) -> DataFrame:
-    """Join adjacent runs of equal value; nulls never join."""
-    w = Window.partitionBy("chrom").orderBy("start")
-    new = ~F.coalesce((F.lag("value").over(w) == F.col("value")) & (F.lag("stop").over(w) == F.col("start")), F.lit(False))
-    runs = df.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(w))
-    return runs.groupBy("chrom", "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.first("value").alias("value")).drop("_run")
+def compress(df: DataFrame, tile: int = 1 << 16) -> DataFrame:
+    """Join adjacent runs of equal value; nulls never join.
+
+    Runs are compared within tiles of starts; the last run of each tile and the start of the last open
+    run are carried over the short list of tiles, as in ``islands``, so that no task holds a chromosome.
+    """
+    rows = df.withColumn("_tile", F.floor(F.col("start") / tile))
+    inside = Window.partitionBy("chrom", "_tile").orderBy("start")
+    carried = Window.partitionBy("chrom").orderBy("_tile")
+    ends = rows.groupBy("chrom", "_tile").agg(F.max_by(F.struct("stop", "value"), "start").alias("_e"))
+    ends = ends.select("chrom", "_tile", F.lag("_e").over(carried).alias("_before"))
+    joined = rows.join(ends, ["chrom", "_tile"]).withColumn("_last", F.coalesce(F.lag(F.struct("stop", "value")).over(inside), F.col("_before")))
+    same = F.coalesce((F.col("_last.value") == F.col("value")) & (F.col("_last.stop") == F.col("start")), F.lit(False))
+    headed = joined.withColumn("_head", F.when(~same, F.col("start")))
+    open_ = headed.groupBy("chrom", "_tile").agg(F.max("_head").alias("_h"))
+    open_ = open_.select("chrom", "_tile", F.max("_h").over(carried.rowsBetween(Window.unboundedPreceding, -1)).alias("_open"))
+    runs = headed.join(open_, ["chrom", "_tile"]).withColumn("_run", F.coalesce(F.max("_head").over(inside), F.col("_open")))
+    return runs.groupBy("chrom", F.col("_run").alias("start")).agg(F.max("stop").alias("stop"), F.first("value").alias("value"))
+
+
+def mapped_share(idxstats: DataFrame, chroms: list[str]) -> DataFrame:
+    """Share of each main chromosome in a sample's mapped reads, wide: ``sample`` and a column a chromosome; 0 where it has none."""
+    rows = idxstats.filter(F.col("chrom").isin(chroms)).groupBy("sample").pivot("chrom", chroms).agg(F.sum("mapped")).fillna(0)
+    total = sum((F.col(c) for c in chroms), F.lit(0))
+    return rows.select("sample", *[F.try_divide(F.col(c), total).alias(c) for c in chroms])
+
+
+def feature_structure(exons: DataFrame) -> DataFrame:
+    """Transcripts, different exons and different introns of each gene, from exons ``gene, transcript, start, stop``."""
+    following = F.lead("start").over(Window.partitionBy("gene", "transcript").orderBy("start", "stop"))
+    rows = exons.select("gene", "transcript", "start", "stop").distinct().withColumn("_next", following)
+    intron = F.when(F.col("_next") > F.col("stop") + 1, F.struct(F.col("stop") + 1, F.col("_next") - 1))
+    return rows.groupBy("gene").agg(F.count_distinct("transcript").alias("transcripts"), F.count_distinct(F.struct("start", "stop")).alias("exons"), F.count_distinct(intron).alias("introns"))
+
+
+def structure_quartiles(structure: DataFrame) -> DataFrame:
+    """Quartiles over genes of each of the three numbers, a row a number."""
+    long = structure.unpivot("gene", ["transcripts", "exons", "introns"], "feature", "n")
+    return long.groupBy("feature").agg(*[F.percentile("n", F.lit(p)).alias(c) for p, c in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+
+
+def apply_to_intervals(df: DataFrame, **columns: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """New or replaced columns, each made by a caller's function of chromosome, start and stop."""
+    return df.withColumns({name: f(F.col("chrom"), F.col("start"), F.col("stop")) for name, f in columns.items()})
 
 
 def parse_region(text: Column) -> Column:

@@ -68,6 +68,18 @@ def backfill_keyword(col: Column, text: Column, rules: list[tuple[str, str]]) ->
     return F.coalesce(col, *[F.when(text.rlike(p), F.lit(t)) for p, t in rules])
 
 
+def characteristics(parts: list[DataFrame], key: str) -> DataFrame:
+    """One wide table of several tables of traits, aligned on their key; a sample missing in one is null there.
+
+    Each side is reduced to a row a key first, so that no repeated key multiplies the others' rows.
+    """
+    out = None
+    for df in parts:
+        one = df.groupBy(key).agg(*[F.min(c).alias(c) for c in df.columns if c != key])
+        out = one if out is None else out.join(one, key, "full_outer")
+    return out
+
+
 def sample_metadata(catalog: DataFrame, keyword_table: DataFrame, traits: DataFrame) -> DataFrame:
     """Flat sample table: title, contact, organism list, keywords and characteristics."""
     contact = F.try_element_at("contacts", F.lit(1))
@@ -76,21 +88,37 @@ def sample_metadata(catalog: DataFrame, keyword_table: DataFrame, traits: DataFr
 
 
 def reconcile_strategy(sra: Column, author: Column, predicted: Column) -> Column:
-    """A sample's strategy from three sources: agreement first, then two against one, then the archive's word.
+    """A sample's strategy from the archive's, the authors' and the predicted one.
 
-    Tests are by substring, so that names that contain another agree with it.
+    In this order: all three alike; OTHER gives way to the authors' word if that is the predicted one
+    or a single one; authors with archive and prediction apart give the list
+    ``author|predicted|archive``, each name once; archive and prediction alike; EST and WGA stay where
+    RNA-Seq and WGS are predicted; the rest is ``predicted|archive``. An empty or null author has said
+    nothing; a missing archive or predicted value is taken from the other of the two.
     """
-    same = lambda a, b: F.coalesce(F.contains(a, b) | F.contains(b, a), F.lit(False))
-    return F.when(same(sra, author) & same(sra, predicted), sra).when(same(author, predicted), author).when(same(sra, predicted), sra).when(same(sra, author), sra).when(predicted.isNotNull() & author.isNull() & (sra == "OTHER"), predicted).otherwise(sra)
+    sra = F.when(sra == "other", "OTHER").otherwise(sra)
+    a, s, p = F.nullif(author, F.lit("")), F.coalesce(sra, predicted), F.coalesce(predicted, sra)
+    listed = F.when(F.contains(a, p), a).otherwise(F.concat(a, F.lit("|"), p))
+    listed = F.when(F.contains(listed, s), listed).otherwise(F.concat(listed, F.lit("|"), s))
+    other = (s == "OTHER") & a.isNotNull() & ((a == p) | ~F.contains(a, F.lit("|")))
+    kept = ((s == "EST") & (p == "RNA-Seq")) | ((s == "WGA") & (p == "WGS"))
+    alike = F.when((s == a) & (s == p), s).when(other, a).when(a.isNotNull() & (s != p), listed).when(s == p, s)
+    return F.coalesce(alike, F.when(kept, s), F.concat(p, F.lit("|"), s), a)
 
 
 def reconcile_selection(sra: Column, predicted: Column) -> Column:
-    return F.when(sra.isNull() | sra.isin("other", "unspecified"), predicted).otherwise(sra)
-
-
-def cross_annotate(strategy: Column, selection: Column) -> Column:
-    """Chromatin samples that were annotated by selection only."""
-    return F.when((selection == "ChIP") & ~F.coalesce(F.contains(strategy, F.lit("ChIP")), F.lit(False)), "ChIP-Seq").otherwise(strategy)
+    """A sample's selection: the common value, or ``predicted|archive``; a missing one is taken from the other."""
+    sra = F.when(sra == "other", "OTHER").otherwise(sra)
+    return F.when(sra == predicted, sra).otherwise(F.nullif(F.concat_ws("|", predicted, sra), F.lit("")))
+
+
+def cross_annotate(strategy: Column, selection: Column) -> tuple[Column, Column]:
+    """Strategy and selection, each with the chromatin label put first that only the other has."""
+    by_strategy, by_selection = F.contains(strategy, F.lit("ChIP-Seq")), F.contains(selection, F.lit("ChIP"))
+    return (
+        F.when(~by_strategy & by_selection, F.concat(F.lit("ChIP-Seq|"), strategy)).otherwise(strategy),
+        F.when(by_strategy & ~by_selection, F.concat(F.lit("ChIP|"), selection)).otherwise(selection),
+    )
 
 
 def ids_with_label(df: DataFrame, key: str, col: str, label: str) -> DataFrame:

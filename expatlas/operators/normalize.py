@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -12,25 +16,30 @@ from pyspark.sql import functions as F
 
 from expatlas.operators.aggregates import rank_average
 
-_LOGS = {None: lambda c: c, "log2": lambda c: F.log2(c + 1), "log10": lambda c: F.log10(c + 1), "ln": lambda c: F.log1p(c)}
+LOGS = {None: lambda c: c, "log2": lambda c: F.log2(c + 1), "log10": lambda c: F.log10(c + 1), "ln": lambda c: F.log1p(c)}
+
+
+def _logged(log: str | Callable[[Column], Column] | None, c: Column) -> Column:
+    """A value after a named logarithm or any function of the caller's from column to column."""
+    return (log if callable(log) else LOGS[log])(c)
 
 
 def _total(col: str | Column = "count") -> Column:
     return F.sum(col).over(Window.partitionBy("group_id"))
 
 
-def cpm(counts: DataFrame, scale: float = 1e6, log: str | None = None) -> DataFrame:
-    return counts.withColumn("cpm", _LOGS[log](F.col("count") / _total() * scale))
+def cpm(counts: DataFrame, scale: float = 1e6, log: str | Callable[[Column], Column] | None = None) -> DataFrame:
+    return counts.withColumn("cpm", _logged(log, F.col("count") / _total() * scale))
 
 
-def rpkm(counts: DataFrame, lengths: DataFrame, scale: float = 1e9, log: str | None = None) -> DataFrame:
-    return counts.withColumn("_total", _total()).join(lengths, "feature_id").withColumn("rpkm", _LOGS[log](F.col("count") * scale / (F.col("_total") * F.col("length")))).drop("_total")
+def rpkm(counts: DataFrame, lengths: DataFrame, scale: float = 1e9, log: str | Callable[[Column], Column] | None = None) -> DataFrame:
+    return counts.withColumn("_total", _total()).join(lengths, "feature_id").withColumn("rpkm", _logged(log, F.col("count") * scale / (F.col("_total") * F.col("length")))).drop("_total")
 
 
-def tpm(counts: DataFrame, lengths: DataFrame, scale: float = 1e6, log: str | None = None) -> DataFrame:
+def tpm(counts: DataFrame, lengths: DataFrame, scale: float = 1e6, log: str | Callable[[Column], Column] | None = None) -> DataFrame:
     """Transcripts per million; features without a length go."""
     known = counts.join(lengths.filter("length is not null"), "feature_id").withColumn("_rate", F.col("count") / F.col("length"))
-    return known.withColumn("tpm", _LOGS[log](F.col("_rate") / _total("_rate") * scale)).drop("_rate")
+    return known.withColumn("tpm", _logged(log, F.col("_rate") / _total("_rate") * scale)).drop("_rate")
 
 
 def normalize_all(counts: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -39,47 +48,148 @@ def normalize_all(counts: DataFrame, lengths: DataFrame) -> DataFrame:
     return known.select("group_id", "feature_id", (F.col("count") / F.col("_total") * 1e6).alias("cpm"), (F.col("count") * 1e9 / (F.col("_total") * F.col("length"))).alias("rpkm"), (F.col("_rate") / _total("_rate") * 1e6).alias("tpm"))
 
 
-def pair_values(counts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Values of both items of each pair side by side by feature; an absent feature counts 0."""
-    a = pairs.join(counts.select(F.col("item_id").alias("item_a"), "feature_id", F.col("count").alias("x"), F.lit(None).cast("double").alias("y")), "item_a")
-    b = pairs.join(counts.select(F.col("item_id").alias("item_b"), "feature_id", F.lit(None).cast("double").alias("x"), F.col("count").alias("y")), "item_b")
-    both = a.select("item_a", "item_b", "feature_id", "x", "y").unionByName(b.select("item_a", "item_b", "feature_id", "x", "y"))
-    return both.groupBy("item_a", "item_b", "feature_id").agg(F.coalesce(F.max("x"), F.lit(0)).cast("double").alias("x"), F.coalesce(F.max("y"), F.lit(0)).cast("double").alias("y"))
+def _compare_pairs(counts: DataFrame, pairs: DataFrame, out: str, judge) -> DataFrame:
+    """A row for each pair ``item_a, item_b`` out of ``judge(x, y)``, the items' counts side by side by feature.
+
+    An item is one row with its features and counts, sorted, so that items and not features are dealt
+    out to pairs; an absent feature counts 0. An item has as many entries as there are features at most.
+    """
+    items = counts.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("feature_id", F.col("count").cast("double").alias("count")))).alias("_l"))
+    items = items.select("item_id", F.col("_l.feature_id").alias("f"), F.col("_l.count").alias("v"))
+    sides = [items.withColumnsRenamed({"item_id": f"item_{s}", "f": f"f_{s}", "v": f"v_{s}"}) for s in "ab"]
+    met = pairs.select("item_a", "item_b").join(sides[0], "item_a").join(sides[1], "item_b")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for r in b.itertuples(index=False):
+                named, at = np.unique(np.concatenate([r.f_a, r.f_b]), return_inverse=True)
+                x, y = np.zeros(len(named)), np.zeros(len(named))
+                np.add.at(x, at[: len(r.f_a)], r.v_a)
+                np.add.at(y, at[len(r.f_a) :], r.v_b)
+                rows.append((r.item_a, r.item_b, *judge(x, y)))
+            yield pd.DataFrame(rows, columns=["item_a", "item_b", *[c.split()[0] for c in out.split(", ")]])
+
+    kind = met.schema["item_a"].dataType.simpleString()
+    return met.select("item_a", "item_b", "f_a", "v_a", "f_b", "v_b").mapInPandas(run, f"item_a {kind}, item_b {kind}, {out}")
+
+
+def _mean_ranks(x: np.ndarray) -> np.ndarray:
+    """Ranks from 1, ties at their mean."""
+    _, at, n = np.unique(x, return_inverse=True, return_counts=True)
+    return (np.cumsum(n) - (n - 1) / 2)[at]
+
+
+def _pearson(x: np.ndarray, y: np.ndarray) -> float:
+    x, y = x - x.mean() if len(x) else x, y - y.mean() if len(y) else y
+    scale = np.sqrt((x @ x) * (y @ y))
+    return float(x @ y / scale) if scale > 0 else float("nan")
+
 
+def pair_corr(counts: DataFrame, pairs: DataFrame, method: str = "spearman", threshold: float | None = 0) -> DataFrame:
+    """Correlation of each pair of items over features whose counts sum to more than the threshold.
 
-def pair_corr(counts: DataFrame, pairs: DataFrame, method: str = "spearman", threshold: float = 0) -> DataFrame:
-    """Correlation of each pair of items over features whose counts sum to more than the threshold."""
-    values = pair_values(counts, pairs).filter(F.col("x") + F.col("y") > threshold)
-    if method == "spearman":
-        values = rank_average(rank_average(values, ["item_a", "item_b"], "x", "rx"), ["item_a", "item_b"], "y", "ry").select("item_a", "item_b", F.col("rx").alias("x"), F.col("ry").alias("y"))
-    return values.groupBy("item_a", "item_b").agg(F.corr("x", "y").alias("corr"), F.count("*").alias("features"))
+    Without a threshold it is over all features of ``counts``. NaN where one of the two does not vary;
+    pairs without such a feature are left out.
+    """
+    n = counts.select("feature_id").distinct().count() if threshold is None else 0
+
+    def judge(x: np.ndarray, y: np.ndarray) -> tuple:
+        if threshold is None:
+            x, y = (np.concatenate([v, np.zeros(n - len(v))]) for v in (x, y))
+        else:
+            x, y = x[x + y > threshold], y[x + y > threshold]
+        return (_pearson(_mean_ranks(x), _mean_ranks(y)) if method == "spearman" else _pearson(x, y)), len(x)
+
+    return _compare_pairs(counts, pairs, "corr double, features bigint", judge).filter("features > 0")
 
 
-def corr_matrix(counts: DataFrame) -> DataFrame:
-    """Spearman correlations of all groups, long: ranks once a group, then products summed by feature.
+def median_corr(counts: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Pearson correlation of each item with its group's median profile: ``group_id, item_id, corr``.
 
-    Ranks are centred and scaled to unit length, so that a correlation is a sum of products over
-    shared features; features are the join key and groups are the pairs, of which the result has one
-    row each.
+    Profiles run over all features of ``counts``; the features that neither an item nor its median has
+    enter as a number of zeros.
     """
+    rows = counts.select("item_id", "feature_id", F.col("count").cast("double").alias("x")).join(bridge.select("group_id", "item_id"), "item_id")
+    sizes = bridge.groupBy("group_id").agg(F.count("*").alias("_items"))
+    lists = rows.groupBy("group_id", "feature_id").agg(F.array_sort(F.collect_list("x")).alias("_v")).join(sizes, "group_id")
+    full = F.array_sort(F.concat("_v", F.array_repeat(F.lit(0.0), F.col("_items").cast("int") - F.size("_v"))))
+    half = (F.col("_items") / 2).cast("int")
+    middle = F.when(F.col("_items") % 2 == 1, F.get("_f", half)).otherwise((F.get("_f", half - 1) + F.get("_f", half)) / 2)
+    medians = lists.select("group_id", "feature_id", "_items", full.alias("_f")).select("group_id", "feature_id", middle.alias("m")).filter("m <> 0")
+    n = counts.agg(F.count_distinct("feature_id").alias("_n"))
+    own = rows.groupBy("group_id", "item_id").agg(F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"))
+    of_group = medians.groupBy("group_id").agg(F.sum("m").alias("sm"), F.sum(F.col("m") * F.col("m")).alias("smm"))
+    cross = rows.join(medians, ["group_id", "feature_id"]).groupBy("group_id", "item_id").agg(F.sum(F.col("x") * F.col("m")).alias("sxm"))
+    both = own.join(of_group, "group_id", "left").join(cross, ["group_id", "item_id"], "left").fillna(0.0, ["sm", "smm", "sxm"]).join(F.broadcast(n))
+    cov = F.col("_n") * F.col("sxm") - F.col("sx") * F.col("sm")
+    spread = (F.col("_n") * F.col("sxx") - F.col("sx") ** 2) * (F.col("_n") * F.col("smm") - F.col("sm") ** 2)
+    return both.select("group_id", "item_id", F.when(spread > 0, cov / F.sqrt(spread)).alias("corr"))
+
+
+def corr_matrix(counts: DataFrame, per_block: int = 256) -> DataFrame:
+    """Spearman correlations of all pairs of groups, long (``a, b, corr``), over all features of the table.
+
+    A group lacks most features, and those are all zeros of one tied rank. Ranks are therefore held as
+    their excess over the zeros' rank: the excesses' product sum over shared features, less
+    features * offset_a * offset_b, is the ranks' covariance. Groups come in blocks; a task multiplies
+    two blocks and writes both triangles. Counts must not be negative. Groups of constant counts get null.
+    """
+    n = counts.select("feature_id").distinct().count()
     ranked = rank_average(counts, ["group_id"], "count")
     w = Window.partitionBy("group_id")
-    centred = ranked.withColumn("_d", F.col("rank") - F.avg("rank").over(w))
-    unit = centred.withColumn("_u", F.try_divide(F.col("_d"), F.sqrt(F.sum(F.col("_d") * F.col("_d")).over(w)))).select("group_id", "feature_id", "_u")
-    a = unit.select(F.col("group_id").alias("a"), "feature_id", F.col("_u").alias("ua"))
-    b = unit.select(F.col("group_id").alias("b"), "feature_id", F.col("_u").alias("ub"))
-    return a.join(b, "feature_id").groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("corr"))
+    zeros = n - F.count_if(F.col("count") > 0).over(w)
+    excess = F.col("rank") + (n - F.count("*").over(w)) - (zeros + 1) / 2
+    rows = ranked.withColumn("_e", F.when(F.col("count") > 0, excess).otherwise(0.0)).withColumn("_offset", (zeros - n) / 2)
+    blocks = max(1, -(-counts.select("group_id").distinct().count() // per_block))
+    block = F.pmod(F.xxhash64("group_id"), F.lit(blocks)).cast("int")
+    groups = rows.groupBy("group_id").agg(F.first("_offset").alias("offset"), F.collect_list(F.when(F.col("_e") != 0, F.struct("feature_id", "_e"))).alias("_l"))
+    groups = groups.select(block.alias("block"), "group_id", "offset", F.col("_l.feature_id").alias("f"), F.col("_l._e").alias("e"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    dealt = groups.withColumn("_other", other).withColumns({"_p": F.least("block", "_other"), "_q": F.greatest("block", "_other")})
+
+    def multiply(key, x: pd.DataFrame) -> pd.DataFrame:
+        """Rows, sparse, of two blocks (or one) to their correlations, a stretch of features at a time."""
+        first, second = x[x["block"] == key[0]], x[x["block"] == key[1]]
+        named, at = np.unique(np.concatenate([np.concatenate(list(part["f"])) for part in (first, second)]), return_inverse=True) if len(first) and len(second) else (np.zeros(0), np.zeros(0, int))
+        dot, used = np.zeros((len(first), len(second))), 0
+        sparse = []
+        for part in (first, second):
+            sizes = np.array([len(f) for f in part["f"]], int)
+            sparse.append((np.repeat(np.arange(len(part)), sizes), at[used : used + sizes.sum()], np.concatenate(list(part["e"])) if len(part) else np.zeros(0)))
+            used += sizes.sum()
+        for begin in range(0, len(named), 8192):
+            dense = []
+            for part, (row, col, e) in zip((first, second), sparse, strict=True):
+                on = (col >= begin) & (col < begin + 8192)
+                m = np.zeros((len(part), min(8192, len(named) - begin)))
+                m[row[on], col[on] - begin] = e[on]
+                dense.append(m)
+            dot += dense[0] @ dense[1].T
+        a, b = first["offset"].to_numpy(), second["offset"].to_numpy()
+        spread = [np.sqrt(np.maximum(0, np.array([float(np.dot(e, e)) for e in part["e"]]) - n * part["offset"].to_numpy() ** 2)) for part in (first, second)]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            corr = (dot - n * np.outer(a, b)) / np.outer(*spread)
+        corr = np.where(np.outer(*spread) > 1e-9, np.clip(corr, -1, 1), np.nan)
+        one, two = np.repeat(first["group_id"].to_numpy(), len(second)), np.tile(second["group_id"].to_numpy(), len(first))
+        out = pd.DataFrame({"a": one, "b": two, "corr": corr.ravel()})
+        return out if key[0] == key[1] else pd.concat([out, out.rename(columns={"a": "b", "b": "a"})[["a", "b", "corr"]]])
+
+    kind = counts.schema["group_id"].dataType.simpleString()
+    return dealt.drop("_other").groupBy("_p", "_q").applyInPandas(multiply, f"a {kind}, b {kind}, corr double").withColumn("corr", F.nanvl("corr", F.lit(None)))
 
 
 def sere(counts: DataFrame, pairs: DataFrame, threshold: float = 0) -> DataFrame:
     """Reproducibility of pairs: root of the mean squared deviation from expectation by totals before the filter."""
-    values = pair_values(counts, pairs)
-    w = Window.partitionBy("item_a", "item_b")
-    totals = values.withColumns({"_tx": F.sum("x").over(w), "_ty": F.sum("y").over(w)}).filter(F.col("x") + F.col("y") > threshold)
-    row = F.col("x") + F.col("y")
-    ex, ey = row * F.col("_tx") / (F.col("_tx") + F.col("_ty")), row * F.col("_ty") / (F.col("_tx") + F.col("_ty"))
-    part = (F.col("x") - ex) ** 2 / ex + (F.col("y") - ey) ** 2 / ey
-    return totals.groupBy("item_a", "item_b").agg(F.sqrt(F.sum(part) / F.count("*")).alias("sere"))
+
+    def judge(x: np.ndarray, y: np.ndarray) -> tuple:
+        total, on = x.sum() + y.sum(), x + y > threshold
+        share, row = x.sum() / total if total else 0.5, (x + y)[on]
+        ex, ey = row * share, row * (1 - share)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return float(np.sqrt(((x[on] - ex) ** 2 / ex + (y[on] - ey) ** 2 / ey).sum() / max(len(row), 1))), len(row)
+
+    return _compare_pairs(counts, pairs, "sere double, features bigint", judge).filter("features > 0").drop("features")
 
 
 def quantile_diff(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -99,44 +209,100 @@ def mergeable_groups(bridge: DataFrame, corr: DataFrame, cutoff: float = 0.95) -
     return items.join(low, "group_id", "left").filter((F.col("items") == 1) | (F.col("low") >= cutoff)).select("group_id", "items")
 
 
-def replicate_flags(bridge: DataFrame, corr: DataFrame, cutoff: float = 0.97) -> DataFrame:
-    """Kind of each item's group, and whether to drop the item: of bad pairs the smaller, of more the ones below the cutoff to their others' median."""
+def replicate_flags(bridge: DataFrame, counts: DataFrame, cutoff: float = 0.97) -> DataFrame:
+    """Kind of each item's group, and whether to drop the item.
+
+    Of two items that correlate below the cutoff the smaller goes; of more, those that do so with the
+    group's median profile.
+    """
     sizes = bridge.withColumn("items", F.count("*").over(Window.partitionBy("group_id")))
-    both = corr.select(F.col("item_a").alias("item_id"), "corr").union(corr.select(F.col("item_b").alias("item_id"), "corr"))
-    typical = both.groupBy("item_id").agg(F.median("corr").alias("corr"))
-    rows = sizes.join(typical, "item_id", "left").withColumn("_rank", F.row_number().over(Window.partitionBy("group_id").orderBy(F.desc("libsize"), "item_id")))
+    of_two = sizes.filter("items = 2").groupBy("group_id").agg(F.min("item_id").alias("item_a"), F.max("item_id").alias("item_b"))
+    two = pair_corr(counts, of_two, "pearson", None).join(of_two, ["item_a", "item_b"]).select("group_id", F.explode(F.array("item_a", "item_b")).alias("item_id"), "corr")
+    many = median_corr(counts, sizes.filter("items > 2"))
+    rows = sizes.join(two.union(many), ["group_id", "item_id"], "left").withColumn("_rank", F.row_number().over(Window.partitionBy("group_id").orderBy(F.desc("libsize"), "item_id")))
     kind = F.when(F.col("items") == 1, "singleton").when(F.col("items") == 2, "pair").otherwise("multi")
-    bad = F.coalesce(F.col("corr") < cutoff, F.lit(False))
-    drop = F.when(F.col("items") == 2, bad & (F.col("_rank") > 1)).when(F.col("items") > 2, bad).otherwise(False)
+    bad = F.coalesce((F.col("corr") < cutoff) & ~F.isnan("corr"), F.lit(False))
+    drop = F.when(F.col("items") == 2, bad & (F.col("_rank") > 1)).otherwise(bad)
     return rows.select("group_id", "item_id", kind.alias("kind"), drop.alias("drop"))
 
 
 def bootstrap_cutoff(pairs: DataFrame, draws: int = 1000, size: int = 100, alpha: float = 0.95, seed: int = 0) -> DataFrame:
     """Median over draws of the (1 - alpha) point of correlations of randomly drawn pairs.
 
-    Pairs are numbered once; every draw looks up ``size`` random numbers, an equi-join of draws * size rows.
+    Pairs are numbered within hash buckets, whose offsets are one small table; every draw looks up
+    ``size`` random numbers, an equi-join of draws * size rows.
     """
-    n = pairs.count()
-    order = Window.orderBy("_h", "item_a", "item_b")
-    numbered = pairs.withColumn("_h", F.xxhash64("item_a", "item_b")).withColumn("_i", F.row_number().over(order) - 1).select("_i", "corr")
-    wanted = pairs.sparkSession.range(draws * size).select(F.floor(F.col("id") / size).alias("draw"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(n, 1))).cast("int").alias("_i"))
+    bucket = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(1024))
+    hashed = pairs.select("item_a", "item_b", "corr", bucket.alias("_b"))
+    sizes = {r[0]: r[1] for r in hashed.groupBy("_b").count().collect()}  # 1,024 numbers at most
+    n, first, total = sum(sizes.values()), [], 0
+    for b in range(1024):
+        first.append(total)
+        total += sizes.get(b, 0)
+    place = F.get(F.array(*[F.lit(x) for x in first]), F.col("_b").cast("int"))
+    numbered = hashed.select((place + F.row_number().over(Window.partitionBy("_b").orderBy("item_a", "item_b")) - 1).cast("long").alias("_i"), "corr")
+    wanted = pairs.sparkSession.range(draws * size).select(F.floor(F.col("id") / size).alias("draw"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(n, 1))).alias("_i"))
     return wanted.join(numbered, "_i").groupBy("draw").agg(F.percentile("corr", F.lit(1 - alpha)).alias("low")).agg(F.median("low").alias("cutoff"))
 
 
-def chisq_posthoc(cells: DataFrame, a: str, b: str, n: str = "n", two_sided: bool = False) -> DataFrame:
-    """Expected counts, residuals, adjusted residuals, cell X2, p and Benjamini-Hochberg q of a long cross-tab."""
+def chisq_posthoc(cells: DataFrame, a: str, b: str, n: str = "n", two_sided: bool = False, alpha: float = 0.05) -> DataFrame:
+    """Expected counts, residuals, adjusted residuals, cell X2, p, Benjamini-Hochberg q and flag of a long cross-tab.
+
+    ``residual`` is observed less expected, ``p`` the normal density of the adjusted residual (or
+    twice that), and ``flag`` is set where q is at most ``alpha``. A cross-tab has a row for each pair
+    of values of two labels, so that its windows stay small.
+    """
     none = Window.partitionBy()
     t, ra, rb = F.sum(n).over(none), F.sum(n).over(Window.partitionBy(a)), F.sum(n).over(Window.partitionBy(b))
     x = cells.withColumns({"_t": t, "_a": ra, "_b": rb}).withColumn("expected", F.col("_a") * F.col("_b") / F.col("_t"))
-    o = F.col(n)
-    x = x.withColumn("residual", (o - F.col("expected")) / F.sqrt("expected"))
-    x = x.withColumn("adjusted", (o - F.col("expected")) / F.sqrt(F.col("expected") * (1 - F.col("_a") / F.col("_t")) * (1 - F.col("_b") / F.col("_t"))))
+    x = x.withColumn("residual", F.col(n) - F.col("expected"))
+    x = x.withColumn("adjusted", F.col("residual") / F.sqrt(F.col("expected") * (1 - F.col("_a") / F.col("_t")) * (1 - F.col("_b") / F.col("_t"))))
     density = F.exp(-F.col("adjusted") ** 2 / 2) / F.sqrt(F.lit(2 * np.pi))
-    x = x.withColumn("x2", F.col("residual") ** 2).withColumn("p", F.least(F.lit(1.0), density * 2) if two_sided else density)
+    x = x.withColumn("x2", F.col("residual") ** 2 / F.col("expected")).withColumn("p", F.least(F.lit(1.0), density * 2) if two_sided else density)
     rank = F.row_number().over(Window.orderBy("p", a, b))
     x = x.withColumn("_r", rank).withColumn("_m", F.count("*").over(none))
     q = F.min(F.least(F.lit(1.0), F.col("p") * F.col("_m") / F.col("_r"))).over(Window.orderBy(F.desc("_r")))
-    return x.withColumn("q", q).drop("_t", "_a", "_b", "_r", "_m")
+    return x.withColumn("q", q).withColumn("flag", F.col("q") <= alpha).drop("_t", "_a", "_b", "_r", "_m")
+
+
+def _upper_gamma(a: float, x: float) -> float:
+    """Regularised upper incomplete gamma function: a series below a + 1, a continued fraction above."""
+    if x <= 0:
+        return 1.0
+    scale = math.exp(-x + a * math.log(x) - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1 / a
+        k = a
+        while abs(term) > abs(total) * 1e-16:
+            k += 1
+            term *= x / k
+            total += term
+        return max(0.0, 1 - total * scale)
+    tiny = 1e-300
+    b = x + 1 - a
+    c, d = 1 / tiny, 1 / b
+    h, i = d, 0
+    while True:
+        i += 1
+        step = -i * (i - a)
+        b += 2
+        d = 1 / (step * d + b or tiny)
+        c = b + step / c or tiny
+        h *= c * d
+        if abs(c * d - 1) < 1e-15 or i > 10_000:
+            return scale * h
+
+
+def chisq_test(cells: DataFrame, a: str, b: str, n: str = "n") -> DataFrame:
+    """One row ``chi2, p, df`` for a whole cross-tab; a table of two by two is corrected for continuity."""
+    x = chisq_posthoc(cells, a, b, n)
+    plain = F.sum(F.col("residual") ** 2 / F.col("expected"))
+    corrected = F.sum(F.greatest(F.abs("residual") - 0.5, F.lit(0.0)) ** 2 / F.col("expected"))
+    df = ((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("df")
+    row = x.agg(df, plain.alias("plain"), corrected.alias("corrected")).select("df", F.when(F.col("df") == 1, F.col("corrected")).otherwise(F.col("plain")).alias("chi2"))
+    found = row.first()
+    p = 1.0 if not found["df"] else _upper_gamma(found["df"] / 2, found["chi2"] / 2)
+    return row.select("chi2", F.lit(p).alias("p"), "df")
 
 
 def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -181,19 +347,41 @@ def whiten(vectors: DataFrame, inverse: np.ndarray) -> DataFrame:
     return vectors.withColumn("vector", F.transform(lines, dot))
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
-    """The ``k`` nearest rows of a bounded list of queries: ``query, rank, id, distance``.
+def binned_profiles(vectors: DataFrame, bins: int) -> DataFrame:
+    """Each component's equal-width bin, from 0, between its least and largest value; constant components are all 0."""
+    ends = vectors.select(F.posexplode("vector").alias("i", "x")).groupBy("i").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    ends = ends.agg(F.array_sort(F.collect_list(F.struct("i", "a", "b"))).alias("_ends"))  # one entry a component
+    share = lambda x, e: F.when(e["b"] > e["a"], F.least(F.lit(bins - 1), F.floor((x - e["a"]) / (e["b"] - e["a"]) * bins))).otherwise(0)
+    return vectors.join(F.broadcast(ends)).withColumn("vector", F.zip_with("vector", "_ends", lambda x, e: share(x, e).cast("double"))).drop("_ends")
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean", per_tile: int = 4096) -> DataFrame:
+    """The ``k`` nearest other rows of each query: ``query, id, distance, rank``.
 
-    Every row meets the queries once, in the scan; partial top-k is taken before the exchange by the
-    window's group limit.
+    Rows and queries are dealt into shares of about ``per_tile`` and meet tile by tile, each tile giving
+    its own best ``k``; no side is broadcast, whatever its size.
     """
-    asked = queries.select(F.col("id").alias("query"), F.col("vector").alias("_q"))
-    gap = (lambda a, b: (a - b) * (a - b)) if metric == "euclidean" else (lambda a, b: (a != b).cast("double"))
-    met = vectors.join(F.broadcast(asked), F.col("id") != F.col("query"))
-    total = F.aggregate(F.zip_with("vector", "_q", gap), F.lit(0.0), lambda s, x: s + x)
-    distance = F.sqrt(total) if metric == "euclidean" else total / F.size("vector")
+    shares = [max(1, -(-df.count() // per_tile)) for df in (vectors, queries)]
+    home = [F.pmod(F.xxhash64("id"), F.lit(n)).cast("int") for n in shares]
+    rows = vectors.select("id", "vector", home[0].alias("r"), F.explode(F.sequence(F.lit(0), F.lit(shares[1] - 1))).alias("c"))
+    asks = queries.select("id", "vector", F.explode(F.sequence(F.lit(0), F.lit(shares[0] - 1))).alias("r"), home[1].alias("c"))
+
+    def nearest(_, x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(x) and len(q):
+            m, ids = np.array(list(x["vector"]), np.float64), x["id"].to_numpy()
+            for query, v in zip(q["id"], q["vector"], strict=True):
+                gap = m - np.asarray(v, np.float64)
+                d = np.sqrt((gap * gap).sum(axis=1)) if metric == "euclidean" else (gap != 0).mean(axis=1)
+                on = np.flatnonzero(ids != query)
+                best = on[np.lexsort((ids[on], d[on]))[:k]]
+                found.append(pd.DataFrame({"query": query, "id": ids[best], "distance": d[best]}))
+        return pd.concat(found) if found else pd.DataFrame({"query": [], "id": [], "distance": []})
+
+    kind = vectors.schema["id"].dataType.simpleString()
+    met = rows.groupBy("r", "c").cogroup(asks.groupBy("r", "c")).applyInPandas(nearest, f"query {kind}, id {kind}, distance double")
     best = Window.partitionBy("query").orderBy("distance", "id")
-    return met.select("query", "id", distance.alias("distance")).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def mahalanobis_to_mean(vectors: DataFrame, shrinkage: float = 0.0) -> DataFrame:

@@ -287,7 +287,10 @@ def below_percentile(df: DataFrame, col: str, q: float) -> DataFrame:
 
 
 def top_fraction(df: DataFrame, order: list, fraction: float) -> DataFrame:
-    return df.orderBy(*order).limit(int(df.count() * fraction))
+    """Rows are numbered by ranges and cut, so that the fraction taken stays dealt out."""
+    from expatlas.operators.aggregates import numbered
+
+    return numbered(df, order).filter(F.col("_number") <= int(df.count() * fraction)).drop("_number")
 
 
 def most_variable(counts: DataFrame, n: int) -> DataFrame:

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from expatlas.plans import aggregates, relational, science  # noqa: F401
+from expatlas.plans import aggregates, ingest, relational, science  # noqa: F401
 from expatlas.plans.base import ORACLE_SQL, QUERIES  # noqa: F401

@@ -53,11 +53,11 @@ def r03_segment(spark, d):
 
 def _halves(spark, d):
     x = intervals(spark, d)
-    even = F.col("name").cast("long") % 4
+    even = F.col("name").cast("long") % 2
     return x.filter(even == 0).select("chrom", "start", "stop", "name"), x.filter(even == 1).select("chrom", "start", "stop", "name")
 
 
-_HALVES = "a AS (SELECT * FROM iv WHERE CAST(name AS BIGINT) % 4 = 0), b AS (SELECT * FROM iv WHERE CAST(name AS BIGINT) % 4 = 1)"
+_HALVES = "a AS (SELECT * FROM iv WHERE CAST(name AS BIGINT) % 2 = 0), b AS (SELECT * FROM iv WHERE CAST(name AS BIGINT) % 2 = 1)"
 
 
 @query(f"WITH {_IV}, {_HALVES} SELECT a.name, b.name AS b_name FROM a JOIN b ON a.chrom = b.chrom AND a.start < b.stop AND b.start < a.stop")
@@ -80,14 +80,15 @@ def r07_complement(spark, d):
     return R.complement(intervals(spark, d), sizes(spark, d))
 
 
-_TRACK = """track AS (SELECT chrom, CAST(user_id % 3 AS VARCHAR) AS sample, CAST(event_id * 3 AS BIGINT) AS start, CAST(event_id * 3 + 7 AS BIGINT) AS stop, floor(value / 10) AS value FROM (SELECT event_type AS chrom, * FROM events WHERE event_id % 9 = user_id % 3)),
+_TRACK = """track AS (SELECT chrom, CAST(event_id % 3 AS VARCHAR) AS sample, CAST(event_id * 3 AS BIGINT) AS start, CAST(event_id * 3 + 7 AS BIGINT) AS stop, floor(value / 10) AS value FROM (SELECT event_type AS chrom, * FROM events)),
     edge AS (SELECT DISTINCT chrom, unnest([start, stop]) AS s FROM track), el AS (SELECT chrom, s AS start, lead(s) OVER (PARTITION BY chrom ORDER BY s) AS stop FROM edge),
     cov AS (SELECT el.chrom, el.start, el.stop, list(t.value) AS v FROM el JOIN track t ON t.chrom = el.chrom AND t.start <= el.start AND t.stop >= el.stop WHERE el.stop IS NOT NULL GROUP BY 1, 2, 3)"""
 
 
 def _track(spark, d):
-    e = table(spark, d, "events").filter(F.col("event_id") % 9 == F.col("user_id") % 3)
-    return e.select(F.col("event_type").alias("chrom"), (F.col("user_id") % 3).cast("string").alias("sample"), (F.col("event_id") * 3).alias("start"), (F.col("event_id") * 3 + 7).alias("stop"), F.floor(F.col("value") / 10).cast("double").alias("value"))
+    """All events as runs of three samples; one sample's runs start 9 apart and so do not overlap."""
+    e = table(spark, d, "events")
+    return e.select(F.col("event_type").alias("chrom"), (F.col("event_id") % 3).cast("string").alias("sample"), (F.col("event_id") * 3).alias("start"), (F.col("event_id") * 3 + 7).alias("stop"), F.floor(F.col("value") / 10).cast("double").alias("value"))
 
 
 def _positions(df):
@@ -139,16 +140,10 @@ def r15_intersect_fraction(spark, d):
     return R.intersect_fraction(*_halves(spark, d), ["chrom"], 0.9, True).select("name", "b_name", "shared")
 
 
-def _whole_track(spark, d):
-    """All events; one sample's runs start 9 apart and so do not overlap."""
-    e = table(spark, d, "events")
-    return e.select(F.col("event_type").alias("chrom"), (F.col("event_id") % 3).cast("string").alias("sample"), (F.col("event_id") * 3).alias("start"), (F.col("event_id") * 3 + 7).alias("stop"), F.floor(F.col("value") / 10).cast("double").alias("value"))
-
-
 @query()
 def r16_background_level(spark, d):
     a = intervals(spark, d).filter(F.col("name").cast("long") % 2 == 0).select("chrom", "start", "stop", "name")
-    return R.background_level(R.merge_coverage(_whole_track(spark, d), "sum", 3), a, sizes(spark, d))
+    return R.background_level(R.merge_coverage(_track(spark, d), "sum", 3), a, sizes(spark, d))
 
 
 @query(f"WITH {_TRACK} SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos, CAST(len(list_filter(v, lambda x: x > 0)) AS DOUBLE) / 3 AS value FROM cov")
@@ -206,9 +201,10 @@ def n05_pair_corr(spark, d):
     return x.withColumn("corr", F.round("corr", 6))
 
 
-@query(f"""WITH {COUNTS}, rk AS (SELECT group_id, feature_id, rank() OVER (PARTITION BY group_id ORDER BY count) + (count(*) OVER (PARTITION BY group_id, count) - 1) / 2 AS r FROM counts),
-    u AS (SELECT group_id, feature_id, (r - avg(r) OVER w) / sqrt((count(*) OVER w) * var_pop(r) OVER w) AS u FROM rk WINDOW w AS (PARTITION BY group_id))
-    SELECT a.group_id AS a, b.group_id AS b, round(sum(a.u * b.u), 5) + 0.0 AS corr FROM u a JOIN u b ON a.feature_id = b.feature_id GROUP BY 1, 2""")
+@query(f"""WITH {COUNTS}, g AS (SELECT DISTINCT group_id FROM counts), f AS (SELECT DISTINCT feature_id FROM counts),
+    x AS (SELECT g.group_id, f.feature_id, coalesce(count, 0) AS count FROM g CROSS JOIN f LEFT JOIN counts c ON c.group_id = g.group_id AND c.feature_id = f.feature_id),
+    rk AS (SELECT group_id, feature_id, rank() OVER (PARTITION BY group_id ORDER BY count) + (count(*) OVER (PARTITION BY group_id, count) - 1) / 2 AS r FROM x)
+    SELECT a.group_id AS a, b.group_id AS b, round(corr(a.r, b.r), 5) + 0.0 AS corr FROM rk a JOIN rk b ON a.feature_id = b.feature_id GROUP BY 1, 2""")
 def n06_corr_matrix(spark, d):
     return N.corr_matrix(counts(spark, d)).withColumn("corr", F.round("corr", 5) + 0.0)
 
@@ -233,11 +229,13 @@ def n09_mergeable_groups(spark, d):
     return N.mergeable_groups(_groups(spark, d), N.pair_corr(_items(spark, d), _replicates(spark, d), "pearson"), -0.3)
 
 
-@query(f"""WITH {_PV}, c AS (SELECT item_a, item_b, corr(x, y) AS corr FROM pv WHERE x + y > 0 GROUP BY 1, 2), m AS (SELECT i, median(corr) AS corr FROM (SELECT item_a AS i, corr FROM c UNION ALL SELECT item_b, corr FROM c) GROUP BY 1),
-    s AS (SELECT s_nationkey AS group_id, s_suppkey AS item_id, count(*) OVER (PARTITION BY s_nationkey) AS items, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS r, corr FROM supplier LEFT JOIN m ON i = s_suppkey)
-    SELECT group_id, item_id, CASE items WHEN 1 THEN 'singleton' WHEN 2 THEN 'pair' ELSE 'multi' END AS kind, CASE WHEN items = 2 THEN coalesce(corr < -0.2, false) AND r > 1 WHEN items > 2 THEN coalesce(corr < -0.2, false) ELSE false END AS "drop" FROM s""")
+@query(f"""WITH {COUNTS}, f AS (SELECT DISTINCT feature_id FROM counts), s AS (SELECT s_nationkey AS g, s_suppkey AS i, s_acctbal AS size, count(*) OVER (PARTITION BY s_nationkey) AS items, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS r FROM supplier),
+    x AS (SELECT g, i, items, f.feature_id, CAST(coalesce(count, 0) AS DOUBLE) AS x FROM s CROSS JOIN f LEFT JOIN counts ON group_id = i AND counts.feature_id = f.feature_id),
+    m AS (SELECT g, feature_id, median(x) AS m FROM x WHERE items > 2 GROUP BY 1, 2),
+    c AS (SELECT x.i, corr(x.x, m.m) AS c FROM x JOIN m USING (g, feature_id) GROUP BY 1 UNION ALL SELECT a.i, corr(a.x, b.x) FROM x a JOIN x b ON a.g = b.g AND a.feature_id = b.feature_id AND a.i <> b.i WHERE a.items = 2 GROUP BY 1)
+    SELECT g AS group_id, s.i AS item_id, CASE items WHEN 1 THEN 'singleton' WHEN 2 THEN 'pair' ELSE 'multi' END AS kind, CASE WHEN c IS NULL OR isnan(c) THEN false WHEN items = 2 THEN c < 0.5 AND r > 1 ELSE c < 0.5 END AS "drop" FROM s LEFT JOIN c ON c.i = s.i""")
 def n10_replicate_flags(spark, d):
-    return N.replicate_flags(_groups(spark, d), N.pair_corr(_items(spark, d), _replicates(spark, d), "pearson"), -0.2)
+    return N.replicate_flags(_groups(spark, d), _items(spark, d), 0.5)
 
 
 @query()
@@ -245,15 +243,29 @@ def n11_bootstrap_cutoff(spark, d):
     return N.bootstrap_cutoff(N.pair_corr(_items(spark, d), _replicates(spark, d)))
 
 
+def _quality_cells(spark, d):
+    x = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").groupBy("source").pivot("quality", [0, 1]).count().fillna(0).unpivot("source", ["0", "1"], "quality", "n")
+    return x.withColumn("quality", F.col("quality").cast("int"))
+
+
 @query("""WITH n AS (SELECT source, quality, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2), c AS (SELECT s.source, q.quality, coalesce(n, 0) AS n FROM (SELECT DISTINCT source FROM n) s CROSS JOIN (SELECT DISTINCT quality FROM n) q LEFT JOIN n ON n.source = s.source AND n.quality = q.quality),
     e AS (SELECT *, sum(n) OVER (PARTITION BY source) * sum(n) OVER (PARTITION BY quality) / sum(n) OVER () AS expected, 1 - sum(n) OVER (PARTITION BY source) / sum(n) OVER () AS ra, 1 - sum(n) OVER (PARTITION BY quality) / sum(n) OVER () AS rb FROM c),
-    r AS (SELECT *, (n - expected) / sqrt(expected) AS residual, (n - expected) / sqrt(expected * ra * rb) AS adjusted FROM e),
-    p AS (SELECT *, exp(-adjusted * adjusted / 2) / sqrt(2 * pi()) AS p FROM r)
-    SELECT source, quality, n, round(expected, 4) AS expected, round(residual, 4) AS residual, round(adjusted, 4) AS adjusted, round(p, 4) AS p FROM p""")
+    r AS (SELECT *, n - expected AS residual, (n - expected) / sqrt(expected * ra * rb) AS adjusted, (n - expected) * (n - expected) / expected AS x2 FROM e),
+    p AS (SELECT *, exp(-adjusted * adjusted / 2) / sqrt(2 * pi()) AS p FROM r),
+    k AS (SELECT *, row_number() OVER (ORDER BY p, source, quality) AS k, count(*) OVER () AS m FROM p),
+    q AS (SELECT *, least(1.0, min(p * m / k) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM k)
+    SELECT source, quality, n, round(expected, 4) AS expected, round(residual, 4) AS residual, round(adjusted, 4) AS adjusted, round(x2, 4) AS x2, round(p, 4) AS p, round(q, 4) AS q, q <= 0.05 AS flag FROM q""")
 def n12_chisq_posthoc(spark, d):
-    x = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").groupBy("source").pivot("quality", [0, 1]).count().fillna(0).unpivot("source", ["0", "1"], "quality", "n")
-    x = N.chisq_posthoc(x.withColumn("quality", F.col("quality").cast("int")), "source", "quality")
-    return x.select("source", "quality", "n", *[F.round(c, 4).alias(c) for c in ("expected", "residual", "adjusted", "p")])
+    x = N.chisq_posthoc(_quality_cells(spark, d), "source", "quality")
+    return x.select("source", "quality", "n", *[F.round(c, 4).alias(c) for c in ("expected", "residual", "adjusted", "x2", "p", "q")], "flag")
+
+
+@query("""WITH n AS (SELECT source, quality, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2), c AS (SELECT s.source, q.quality, coalesce(n, 0) AS n FROM (SELECT DISTINCT source FROM n) s CROSS JOIN (SELECT DISTINCT quality FROM n) q LEFT JOIN n ON n.source = s.source AND n.quality = q.quality),
+    e AS (SELECT *, sum(n) OVER (PARTITION BY source) * sum(n) OVER (PARTITION BY quality) / sum(n) OVER () AS expected FROM c), k AS (SELECT (count(DISTINCT source) - 1) * (count(DISTINCT quality) - 1) AS df FROM e)
+    SELECT k.df, round(sum(CASE WHEN k.df = 1 THEN pow(greatest(abs(n - expected) - 0.5, 0), 2) ELSE pow(n - expected, 2) END / expected), 6) AS chi2 FROM e, k GROUP BY k.df""")
+def n12_chisq_test(spark, d):
+    """The p-value is checked against tables in the tests, as SQL has no gamma function of two arguments."""
+    return N.chisq_test(_quality_cells(spark, d), "source", "quality").select("df", F.round("chi2", 6).alias("chi2"))
 
 
 @query("SELECT l_orderkey, l_linenumber, round((l_quantity - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev_pop(l_quantity) FROM lineitem), 6) AS l_quantity FROM lineitem")
@@ -281,16 +293,22 @@ def n15_covariance(spark, d):
     return N.covariance_rows(_vectors(spark, d)).withColumn("cov", F.round("cov", 8) + 0.0)
 
 
-@query("WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), q AS (SELECT q.vec_id AS query, v.vec_id AS id, list_distance(v.e, q.e) AS distance FROM v JOIN v q ON q.vec_id <> v.vec_id WHERE q.vec_id < 20) SELECT query, id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, id) AS rank FROM q) WHERE rank <= 5")
+@query()
 def n16_knn(spark, d):
+    """By Mahalanobis distance; every row whose id is divisible by 50 asks."""
     v = _vectors(spark, d).drop("label")
-    return N.knn(v, v.filter("id < 20"), 5).withColumn("distance", F.round("distance", 6))
+    white = materialize(N.whiten(v, N.shrunk_cov(v)[1]), "white")
+    return N.knn(white, white.filter("id % 50 = 0"), 5)
 
 
-@query("WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x > 0 AS INTEGER)) AS e FROM embeddings), q AS (SELECT q.vec_id AS query, v.vec_id AS id, list_sum(list_transform(list_zip(v.e, q.e), lambda p: CAST(p[1] <> p[2] AS INTEGER))) / 64.0::DOUBLE AS distance FROM v JOIN v q ON q.vec_id <> v.vec_id WHERE q.vec_id < 20) SELECT query, id, distance, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, id) AS rank FROM q) WHERE rank <= 5")
+@query("""WITH v AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), r AS (SELECT i, min(x) AS a, max(x) AS b FROM v GROUP BY 1),
+    e AS (SELECT vec_id, i, CASE WHEN b > a THEN least(9, CAST(floor((x - a) / (b - a) * 10) AS INTEGER)) ELSE 0 END AS k FROM v JOIN r USING (i)), m AS (SELECT vec_id, list(k ORDER BY i) AS e FROM e GROUP BY 1),
+    q AS (SELECT q.vec_id AS query, v.vec_id AS id, list_sum(list_transform(list_zip(v.e, q.e), lambda p: CAST(p[1] <> p[2] AS INTEGER))) / 64.0::DOUBLE AS distance FROM m v JOIN m q ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query, id, distance, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, id) AS rank FROM q) WHERE rank <= 5""")
 def n17_knn_hamming(spark, d):
-    v = _vectors(spark, d).select("id", F.transform("vector", lambda x: (x > 0).cast("double")).alias("vector"))
-    return N.knn(v, v.filter("id < 20"), 5, "hamming")
+    """On profiles of ten equal-width bins a component; every row whose id is divisible by 50 asks."""
+    v = materialize(N.binned_profiles(_vectors(spark, d).drop("label"), 10), "profiles")
+    return N.knn(v, v.filter("id % 50 = 0"), 5, "hamming")
 
 
 @query()
@@ -379,22 +397,21 @@ def t01_build_documents(spark, d):
     return T.build_documents(x, "key", ["role", "text"], [("user", "person"), ("person the", "they")]).select("key.*", "text")
 
 
-_TOK = "tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\w-]+')) AS term FROM documents WHERE lang = 'en'), ok AS (SELECT * FROM tok WHERE len(term) > 1 AND NOT regexp_matches(term, '^[\\d.-]+$'))"
+_TOK = "tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\w-]+')) AS term FROM documents), ok AS (SELECT * FROM tok WHERE len(term) > 1 AND NOT regexp_matches(term, '^[\\d.-]+$'))"
 
 
-@query(f"WITH {_TOK}, v AS (SELECT DISTINCT term FROM ok WHERE len(term) = 6), c AS (SELECT doc_id, term, count(*) AS n FROM ok WHERE len(term) = 6 GROUP BY 1, 2), f AS (SELECT * FROM c QUALIFY rank() OVER (PARTITION BY doc_id ORDER BY n DESC) = 1) SELECT doc_id, t AS terms FROM (SELECT doc_id FROM documents WHERE lang = 'en') LEFT JOIN (SELECT doc_id, string_agg(term, '|' ORDER BY term) AS t FROM f GROUP BY 1) USING (doc_id)")
+@query(f"WITH {_TOK}, v AS (SELECT DISTINCT term FROM ok WHERE len(term) = 6), c AS (SELECT doc_id, term, count(*) AS n FROM ok WHERE len(term) = 6 GROUP BY 1, 2), f AS (SELECT * FROM c QUALIFY rank() OVER (PARTITION BY doc_id ORDER BY n DESC) = 1) SELECT doc_id, t AS terms FROM (SELECT doc_id FROM documents) LEFT JOIN (SELECT doc_id, string_agg(term, '|' ORDER BY term) AS t FROM f GROUP BY 1) USING (doc_id)")
 def t02_top_terms(spark, d):
-    docs = table(spark, d, "documents").filter("lang = 'en'").select("doc_id", F.lower("text").alias("text"))
+    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
     from expatlas.functions.text import tokens
 
     vocabulary = docs.select(F.explode(tokens(F.col("text"))).alias("term")).filter("length(term) = 6").distinct()
     return T.top_terms(docs, "doc_id", "text", vocabulary)
 
 
-@query(f"WITH {_TOK}, c AS (SELECT doc_id, term, count(*) AS n FROM ok GROUP BY 1, 2), f AS (SELECT term, count(*) AS df FROM c GROUP BY 1 HAVING count(*) >= 2), w AS (SELECT doc_id, term, n * log2((SELECT count(*) FROM documents WHERE lang = 'en') / df) AS w FROM c JOIN f USING (term)), l AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w) SELECT doc_id, count(*) AS n FROM l WHERE w > 0.25 GROUP BY 1")
+@query(f"WITH {_TOK}, c AS (SELECT doc_id, term, count(*) AS n FROM ok GROUP BY 1, 2), f AS (SELECT term, count(*) AS df FROM c GROUP BY 1 HAVING count(*) >= 2), w AS (SELECT doc_id, term, n * log2((SELECT count(*) FROM documents) / df) AS w FROM c JOIN f USING (term)), l AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w) SELECT doc_id, string_agg(term, '|' ORDER BY round(w, 9) DESC, term) AS keywords FROM l WHERE w > 0.25 GROUP BY 1")
 def t03_keywords(spark, d):
-    docs = table(spark, d, "documents").filter("lang = 'en'")
-    return T.keywords(docs, "doc_id", "text").select("doc_id", F.size(F.split("keywords", r"\|")).cast("long").alias("n"))
+    return T.keywords(table(spark, d, "documents"), "doc_id", "text")
 
 
 @query("SELECT o_orderkey, nullif(t, 'None') AS o_orderstatus FROM orders LEFT JOIN (VALUES ('O', 'open'), ('F', 'None')) v(r, t) ON r = o_orderstatus")
@@ -408,22 +425,51 @@ def t06_backfill_keyword(spark, d):
     return table(spark, d, "documents").select("doc_id", T.backfill_keyword(F.lit(None).cast("string"), F.lower("text"), [(r"(^|\s)the(\s|$)", "english"), (r"(^|\s)le(\s|$)", "french")]).alias("guess"))
 
 
-_L3 = "l3 AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'O' THEN 'RNA-Seq' WHEN 'F' THEN 'OTHER' ELSE 'ChIP-Seq' END AS sra, CASE o_orderkey % 3 WHEN 0 THEN 'RNA-Seq' WHEN 1 THEN 'ncRNA-Seq' ELSE NULL END AS author, CASE o_custkey % 3 WHEN 0 THEN 'RNA-Seq' WHEN 1 THEN 'WGS' ELSE 'ChIP-Seq' END AS pred FROM orders)"
+_L3 = """l3 AS (SELECT o_orderkey AS id, CASE o_orderkey % 7 WHEN 0 THEN 'RNA-Seq' WHEN 1 THEN 'OTHER' WHEN 2 THEN 'EST' WHEN 3 THEN 'WGA' WHEN 4 THEN 'ChIP-Seq' WHEN 5 THEN 'OTHER' ELSE 'WGS' END AS sra,
+    CASE o_custkey % 5 WHEN 0 THEN 'RNA-Seq' WHEN 1 THEN 'ncRNA-Seq' WHEN 2 THEN '' WHEN 3 THEN NULL ELSE 'ChIP-Seq|RNA-Seq' END AS author, CASE (o_orderkey + o_custkey) % 4 WHEN 0 THEN 'RNA-Seq' WHEN 1 THEN 'WGS' WHEN 2 THEN 'ChIP-Seq' ELSE 'OTHER' END AS pred,
+    CASE o_orderkey % 3 WHEN 0 THEN 'ChIP' WHEN 1 THEN 'cDNA' ELSE 'OTHER' END AS sra_selection, CASE o_custkey % 3 WHEN 0 THEN 'ChIP' WHEN 1 THEN 'cDNA' ELSE 'PCR' END AS pred_selection FROM orders),
+    st AS (SELECT *, CASE WHEN sra = author AND sra = pred THEN sra
+        WHEN author <> '' AND sra = 'OTHER' AND author = pred THEN author
+        WHEN author <> '' AND sra = 'OTHER' AND NOT contains(author, '|') THEN author
+        WHEN author <> '' AND sra <> pred THEN author || CASE WHEN contains(author, pred) THEN '' ELSE '|' || pred END
+            || CASE WHEN contains(author || CASE WHEN contains(author, pred) THEN '' ELSE '|' || pred END, sra) THEN '' ELSE '|' || sra END
+        WHEN sra = pred THEN sra WHEN sra = 'EST' AND pred = 'RNA-Seq' THEN 'EST' WHEN sra = 'WGA' AND pred = 'WGS' THEN 'WGA' ELSE pred || '|' || sra END AS strategy,
+        CASE WHEN sra_selection = pred_selection THEN sra_selection ELSE pred_selection || '|' || sra_selection END AS selection FROM l3)"""
 
 
 def _l3(spark, d):
-    o = table(spark, d, "orders")
-    return o.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "O", "RNA-Seq").when(F.col("o_orderstatus") == "F", "OTHER").otherwise("ChIP-Seq").alias("sra"), F.when(F.col("o_orderkey") % 3 == 0, "RNA-Seq").when(F.col("o_orderkey") % 3 == 1, "ncRNA-Seq").alias("author"), F.when(F.col("o_custkey") % 3 == 0, "RNA-Seq").when(F.col("o_custkey") % 3 == 1, "WGS").otherwise("ChIP-Seq").alias("pred"))
+    """Orders as samples with labels from three sources."""
 
+    def pick(number, *labels):
+        return F.get(F.array(*[F.lit(x) for x in labels]), (number % len(labels)).cast("int"))
 
-@query(f"WITH {_L3}, s AS (SELECT *, coalesce(contains(sra, author) OR contains(author, sra), false) AS sa, coalesce(contains(author, pred) OR contains(pred, author), false) AS ap, coalesce(contains(sra, pred) OR contains(pred, sra), false) AS sp FROM l3) SELECT id, CASE WHEN sa AND sp THEN sra WHEN ap THEN author WHEN sp OR sa THEN sra WHEN author IS NULL AND sra = 'OTHER' THEN pred ELSE sra END AS strategy FROM s")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return table(spark, d, "orders").select(
+        key.alias("id"),
+        pick(key, "RNA-Seq", "OTHER", "EST", "WGA", "ChIP-Seq", "other", "WGS").alias("sra"),
+        pick(cust, "RNA-Seq", "ncRNA-Seq", "", None, "ChIP-Seq|RNA-Seq").alias("author"),
+        pick(key + cust, "RNA-Seq", "WGS", "ChIP-Seq", "OTHER").alias("pred"),
+        pick(key, "ChIP", "cDNA", "other").alias("sra_selection"),
+        pick(cust, "ChIP", "cDNA", "PCR").alias("pred_selection"),
+        T.reconcile_strategy(F.col("sra"), F.col("author"), F.col("pred")).alias("strategy"),
+        T.reconcile_selection(F.col("sra_selection"), F.col("pred_selection")).alias("selection"),
+    )
+
+
+@query(f"WITH {_L3} SELECT id, strategy FROM st")
 def t09_reconcile_strategy(spark, d):
-    return _l3(spark, d).select("id", T.reconcile_strategy(F.col("sra"), F.col("author"), F.col("pred")).alias("strategy"))
+    return _l3(spark, d).select("id", "strategy")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE o_orderstatus END AS selection FROM orders")
+@query(f"WITH {_L3} SELECT id, selection FROM st")
 def t10_reconcile_selection(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", T.reconcile_selection(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")), F.col("o_orderpriority")).alias("selection"))
+    return _l3(spark, d).select("id", "selection")
+
+
+@query(f"WITH {_L3} SELECT id, CASE WHEN NOT contains(strategy, 'ChIP-Seq') AND contains(selection, 'ChIP') THEN 'ChIP-Seq|' || strategy ELSE strategy END AS strategy, CASE WHEN contains(strategy, 'ChIP-Seq') AND NOT contains(selection, 'ChIP') THEN 'ChIP|' || selection ELSE selection END AS selection FROM st")
+def t10_cross_annotate(spark, d):
+    strategy, selection = T.cross_annotate(F.col("strategy"), F.col("selection"))
+    return _l3(spark, d).select("id", strategy.alias("strategy"), selection.alias("selection"))
 
 
 @query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '5-LOW'")

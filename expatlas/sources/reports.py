@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Accession patterns.
 ACCESSIONS = {"srx": r"([SDE]RX\d+)", "srr": r"([SDE]RR\d+)"}
@@ -38,9 +42,12 @@ def scan(spark: SparkSession, path: str, cols: list[str] | None = None, where: C
 
 
 def with_sample_id(df: DataFrame, kind: str, out: str = "sample") -> DataFrame:
+    """The accession in a file's name, or else in the name of its folder."""
     if kind not in ACCESSIONS:
         raise ValueError(f"unknown kind of accession: {kind}")
-    return df.withColumn(out, F.nullif(F.regexp_extract(F.col("_metadata.file_name"), ACCESSIONS[kind], 1), F.lit("")))
+    name = F.regexp_extract(F.col("_metadata.file_name"), ACCESSIONS[kind], 1)
+    folder = F.regexp_extract(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2), ACCESSIONS[kind], 1)
+    return df.withColumn(out, F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit(""))))
 
 
 def read_counts(spark: SparkSession, path: str, kind: str = "srx") -> DataFrame:
@@ -120,8 +127,11 @@ def _number(pattern: str) -> Column:
 
 
 def ingest_trim(spark: SparkSession, path: str, kind: str = "srr") -> DataFrame:
-    """Totals of a trimming summary of single or paired reads."""
-    return _whole(spark, path, kind).select("sample", _number(r"Total (?:reads|read pairs) processed:\s+([\d,]+)").alias("total_processed"), _number(r"(?:Reads|Pairs) written \(passing filters\):\s+([\d,]+)").alias("total_written"), _number(r"(?:Reads|Pairs) that were too short:\s+([\d,]+)").alias("too_short"))
+    """Totals of a trimming summary of single or paired reads, reads with each mate's adapter and their percentage."""
+    mate = lambda which: F.coalesce(_number(rf"{which} with adapter:\s+([\d,]+)"), _number(r"Reads with adapters?:\s+([\d,]+)") if which == "Read 1" else F.lit(None).cast("long"))
+    share = lambda which: F.coalesce(F.regexp_extract("value", rf"{which} with adapter:\s+[\d,]+ \(([\d.]+)%\)", 1).try_cast("double"), F.regexp_extract("value", r"Reads with adapters?:\s+[\d,]+ \(([\d.]+)%\)", 1).try_cast("double") if which == "Read 1" else F.lit(None).cast("double"))
+    adapters = [c for i in (1, 2) for c in (mate(f"Read {i}").alias(f"adapters_R{i}"), share(f"Read {i}").alias(f"pct_adapters_R{i}"))]
+    return _whole(spark, path, kind).select("sample", *adapters, _number(r"Total (?:reads|read pairs) processed:\s+([\d,]+)").alias("total_processed"), _number(r"(?:Reads|Pairs) written \(passing filters\):\s+([\d,]+)").alias("total_written"), _number(r"(?:Reads|Pairs) that were too short:\s+([\d,]+)").alias("too_short"))
 
 
 def trim_adapters(spark: SparkSession, path: str, kind: str = "srr") -> DataFrame:
@@ -188,12 +198,38 @@ def read_terms(spark: SparkSession, path: str, drop: str | None = None) -> DataF
     return name.filter(~F.contains("term", F.lit(drop))) if drop else name
 
 
+def read_column_terms(spark: SparkSession, path: str, column: int = 2, sep: str = "\t") -> DataFrame:
+    """Different terms in a column (counted from 1) of a table without a header."""
+    term = F.trim(F.get(F.split("value", sep), F.lit(column - 1)))
+    return spark.read.text(path).filter(~F.col("value").startswith("#")).select(term.alias("term")).filter("term <> ''").distinct()
+
+
+def lines_of_files(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """Lines of any files as bytes: ``file, at, value`` (and ``sample``), numbered from 0 within each file.
+
+    Files are read in splits like any others, however large; the lines of earlier splits are counted to
+    give each split its first number. The lines are written first, so that both passes see the same.
+    """
+    from expatlas.scratch import materialize
+
+    meta = F.col("_metadata")
+    rows = spark.read.option("lineSep", "\n").text(path)
+    rows = with_sample_id(rows, kind) if kind else rows
+    rows = rows.select(*(["sample"] if kind else []), meta["file_path"].alias("file"), meta["file_block_start"].alias("_split"), meta["file_size"].alias("_size"), F.col("value").cast("binary").alias("value"), F.monotonically_increasing_id().alias("_id"))
+    rows = materialize(rows, "lines")
+    splits = rows.groupBy("file", "_split").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "_split", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    numbered = rows.join(splits, ["file", "_split"])
+    return numbered.select(*(["sample"] if kind else []), "file", "_size", (F.col("_id") + F.col("_shift")).alias("at"), "value")
+
+
 def read_reads(spark: SparkSession, path: str, kind: str = "srr") -> DataFrame:
     """Reads of four lines each from plain or compressed files, numbered within their file.
 
-    Line numbers come from the file as a whole, so a file is one task, as compressed files are anyway.
+    A plain file is dealt out in splits; a compressed one is read by one task, line by line.
     """
-    rows = _whole(spark, path, kind).select("sample", F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("at", "line"))
+    rows = lines_of_files(spark, path, kind).withColumn("line", F.col("value").cast("string"))
     mate = F.when(F.col("file").rlike(r"_2\.f"), 2).otherwise(1)
     part = lambda i: F.max(F.when(F.col("at") % 4 == i, F.col("line")))
     return rows.groupBy(F.col("sample").alias("item_id"), mate.alias("mate"), F.floor(F.col("at") / 4).alias("read_no")).agg(part(0).alias("h1"), part(1).alias("seq"), part(2).alias("h2"), part(3).alias("qual"))
@@ -208,15 +244,65 @@ def write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def checksum_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Name, type and checksum of files."""
-    files = spark.read.format("binaryFile").load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("name"), F.lower(F.regexp_extract(name, r"\.([^.]+)(?:\.gz)?$", 1)).alias("type"), F.md5("content").alias("md5"))
+    """Name, type and checksum of files.
+
+    A checksum is a running one: the lines of a file come to one task in order and pass through it in
+    batches; no file is ever a single value.
+    """
+    rows = lines_of_files(spark, path).repartition("file").sortWithinPartitions("file", "at").select("file", "_size", "value")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, size, read, sums = None, 0, 0, hashlib.md5()
+        done: list[tuple[str, str]] = []
+
+        def close() -> None:
+            if now is not None:
+                if read < size:  # the last line ends in a line feed
+                    sums.update(b"\n")
+                done.append((now, sums.hexdigest()))
+
+        for batch in batches:
+            for file, length, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file != now:
+                    close()
+                    now, size, read, sums = file, length, 0, hashlib.md5()
+                else:
+                    sums.update(b"\n")
+                    read += 1
+                sums.update(value)
+                read += len(value)
+            yield pa.RecordBatch.from_arrays([pa.array([c[i] for c in done], pa.string()) for i in (0, 1)], ["file", "md5"])
+            done.clear()
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([c[i] for c in done], pa.string()) for i in (0, 1)], ["file", "md5"])
+
+    name = F.url_decode(F.element_at(F.split("file", "/"), -1))
+    kind = F.lower(F.regexp_extract("name", r"\.([^.]+)(?:\.gz)?$", 1))
+    return rows.mapInArrow(digest, "file string, md5 string").select("file", name.alias("name"), "md5").select("name", kind.alias("type"), "md5", "file")
 
 
 #: Report formats by name, for ingests that take the format as a parameter.
-FORMATS = {"counts": read_counts, "junctions": read_junctions, "screen": ingest_screen, "trim": ingest_trim, "align": ingest_align, "idxstats": read_idxstats, "run_summary": read_run_summary}
+FORMATS = {
+    "counts": read_counts, "junctions": read_junctions, "screen": ingest_screen, "histogram": lambda spark, path, kind: ingest_histogram(spark, path, kind=kind),
+    "trim": ingest_trim, "align": ingest_align, "idxstats": read_idxstats, "run_summary": read_run_summary,
+}
+
+
+def ingest(spark: SparkSession, fmt: str | Callable[..., DataFrame], *paths: str, kind: str = "srr", **options) -> DataFrame:
+    """Reports of a named format, or of any parser ``(spark, path, kind, **options)`` of the caller's."""
+    parse = FORMATS[fmt] if isinstance(fmt, str) else fmt
+    return reduce(DataFrame.unionByName, [parse(spark, p, kind, **options) for p in paths])
+
+
+def parse_files(spark: SparkSession, path: str, parse: Callable[[str, list[str]], Iterator[tuple]], schema: str, kind: str = "srr") -> DataFrame:
+    """Rows that a caller's function makes of each small report, given its sample and its lines."""
+    whole = _whole(spark, path, kind).select("sample", "value")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [r for sample, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for r in parse(sample, text.splitlines())]
+            yield pa.RecordBatch.from_pylist([dict(zip(made.names, r, strict=True)) for r in rows], schema=made)
 
-def ingest(spark: SparkSession, fmt: str, *paths: str, kind: str = "srr") -> DataFrame:
-    return reduce(DataFrame.unionByName, [FORMATS[fmt](spark, p, kind) for p in paths])
+    fields = T.StructType.fromDDL(schema)
+    made = to_arrow_schema(fields)
+    return whole.mapInArrow(run, fields)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from expatlas.sources.reports import ACCESSIONS
@@ -13,6 +13,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _named() -> Column:
+    """A file's folder and name, the name first, as accessions stand in either."""
+    return F.concat(F.col("_metadata.file_name"), F.lit("/"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+
+
 def append_new(rows: DataFrame, batch: int, sink: str, key: str) -> None:
     """Append rows of keys that the store does not hold yet.
 
@@ -31,7 +36,7 @@ def stream_counts(spark: SparkSession, folder: str, sink: str, checkpoint: str,
     """Count tables that arrive in a folder, appended once a sample."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     parts = F.split("value", "\t")
-    sample = F.regexp_extract(F.col("_metadata.file_name"), ACCESSIONS[kind], 1)
+    sample = F.regexp_extract(_named(), ACCESSIONS[kind], 1)
     rows = lines.filter(~F.col("value").startswith("#")).select(sample.alias("sample"), parts[0].alias("feature_id"), F.element_at(parts, -1).try_cast("long").alias("count")).filter("count is not null")
     return rows.writeStream.foreachBatch(lambda df, n: append_new(df, n, sink, "sample")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -49,7 +54,7 @@ def stream_metrics(spark: SparkSession, folder: str, schema: str, sink: str, che
 def stream_flags(spark: SparkSession, folder: str, sink: str, checkpoint: str, kind: str = "srr"):
     """Flag files (item from the name, flag from the suffix, text inside) as ``item, flag, note, seen``."""
     name = F.col("_metadata.file_name")
-    rows = spark.readStream.option("wholetext", True).text(folder).select(F.regexp_extract(name, ACCESSIONS[kind], 1).alias("item"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("flag"), F.trim("value").alias("note"), F.col("_metadata.file_modification_time").alias("seen"))
+    rows = spark.readStream.option("wholetext", True).text(folder).select(F.regexp_extract(_named(), ACCESSIONS[kind], 1).alias("item"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("flag"), F.trim("value").alias("note"), F.col("_metadata.file_modification_time").alias("seen"))
     return rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -59,5 +64,5 @@ def latest_flags(flags: DataFrame) -> DataFrame:
 
 def flag_from_logs(lines: DataFrame, phrase: str = "failed to resolve accession") -> DataFrame:
     """Items whose log holds the phrase; works on a batch or a stream of text lines."""
-    item = F.regexp_extract(F.col("_metadata.file_name"), ACCESSIONS["srr"], 1)
+    item = F.regexp_extract(_named(), ACCESSIONS["srr"], 1)
     return lines.filter(F.contains("value", F.lit(phrase))).select(item.alias("item"), F.lit("download_bad").alias("flag"))
