@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where it is unset (tests), a folder of our own."""
+    """The session's ``spark.checkpoint.dir``; where it is unset, a folder of our own, on a local master only."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     if not found:
         sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}")
         found = sc.getCheckpointDir()
