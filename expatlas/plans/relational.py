@@ -320,9 +320,9 @@ def u10_partners(spark, d):
     return R.partners(bridge(spark, d), "group_id", "item_id")
 
 
-@query("SELECT p_partkey, p_name FROM part ORDER BY CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT), p_partkey LIMIT 50")
+@query("SELECT c_custkey, c_name FROM customer ORDER BY CAST(regexp_extract(c_name, '(\\d+)', 1) AS BIGINT), c_name LIMIT 50")
 def o02_take_queue(spark, d):
-    return table(spark, d, "part").orderBy(R.by_number("p_brand")[0], "p_partkey").limit(50).select("p_partkey", "p_name")
+    return R.take_queue(table(spark, d, "customer"), "c_name", 50).select("c_custkey", "c_name")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 40")

@@ -322,9 +322,13 @@ def n19_classification_summary(spark, d):
     return N.classification_summary(x, "label", "pred").select(F.round("accuracy", 8).alias("accuracy"), F.round("weighted_precision", 8).alias("weighted_precision"))
 
 
-@query()
+@query(f"""WITH {COUNTS}, g AS (SELECT DISTINCT group_id FROM counts), f AS (SELECT DISTINCT feature_id FROM counts),
+    x AS (SELECT g.group_id, f.feature_id, coalesce(count, 0) AS count FROM g CROSS JOIN f LEFT JOIN counts c ON c.group_id = g.group_id AND c.feature_id = f.feature_id),
+    rk AS (SELECT group_id, feature_id, rank() OVER (PARTITION BY group_id ORDER BY count) + (count(*) OVER (PARTITION BY group_id, count) - 1) / 2 AS r FROM x),
+    k AS (SELECT a.group_id AS a, b.group_id AS b, round(corr(a.r, b.r), 6) + 0.0 AS corr FROM rk a JOIN rk b ON a.feature_id = b.feature_id GROUP BY 1, 2),
+    m AS (SELECT a FROM k WHERE a <> b GROUP BY a HAVING median(corr) > 0) SELECT a, b, corr FROM k WHERE a IN (SELECT a FROM m) AND b IN (SELECT a FROM m)""")
 def n20_filter_by_median_corr(spark, d):
-    return N.filter_by_median_corr(N.corr_matrix(counts(spark, d)).select("a", "b", F.round("corr", 6).alias("corr")), 0.0)
+    return N.filter_by_median_corr(N.corr_matrix(counts(spark, d)).select("a", "b", (F.round("corr", 6) + 0.0).alias("corr")), 0.0)
 
 
 @query()
@@ -477,10 +481,10 @@ def t11_ids_with_label(spark, d):
     return T.ids_with_label(table(spark, d, "orders"), "o_custkey", "o_orderpriority", "5-LOW")
 
 
-@query("SELECT c_custkey AS biosample, c_mktsegment, count(*) AS experiments FROM customer JOIN orders ON o_custkey = c_custkey WHERE contains(lower(c_mktsegment), 'house') GROUP BY 1, 2")
+@query("SELECT c_custkey AS biosample, c_mktsegment, count(*) AS experiments, list_sort(list(DISTINCT o_orderkey)) AS srx FROM customer JOIN orders ON o_custkey = c_custkey WHERE contains(lower(c_mktsegment), 'house') GROUP BY 1, 2")
 def t12_search_term(spark, d):
     labels = table(spark, d, "customer").select(F.col("c_custkey").alias("biosample"), "c_mktsegment")
-    return T.search_term(labels, table(spark, d, "orders").select(F.col("o_custkey").alias("biosample"), F.col("o_orderkey").alias("srx")), "c_mktsegment", "House").drop("srx")
+    return T.search_term(labels, table(spark, d, "orders").select(F.col("o_custkey").alias("biosample"), F.col("o_orderkey").alias("srx")), "c_mktsegment", "House")
 
 
 @query("SELECT n_name AS project, count(DISTINCT c_custkey) AS samples, count(*) AS experiments FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10 OFFSET 5")
@@ -494,7 +498,7 @@ def t14_simplify_label(spark, d):
     return table(spark, d, "orders").select("o_orderkey", T.simplify_label(F.col("o_orderstatus"), ["O", "F"], F.col("o_totalprice") > 400000).alias("label"))
 
 
-@query()
+@query(f"WITH {_TOK}, c AS (SELECT doc_id, term, count(*) AS n FROM ok GROUP BY 1, 2), f AS (SELECT term, count(*) AS df FROM c GROUP BY 1), w AS (SELECT doc_id, term, (1 + ln(n)) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w FROM c JOIN f USING (term)), l AS (SELECT term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w) SELECT DISTINCT term FROM l WHERE w > 0.5")
 def t15_tfidf_terms(spark, d):
     return T.tfidf_terms(table(spark, d, "documents"), "doc_id", "text")
 
@@ -512,9 +516,9 @@ def q01_classify_reads(spark, d):
     return Q.classify_reads(_reads(spark, d)).select("item_id", (F.col("read_no") * 2 + F.col("mate") - 1).alias("turn"), "status")
 
 
-@query("WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS item_id, turn // 2 AS r, CASE WHEN len(text) % 7 = 0 THEN 1 WHEN regexp_matches(text, '[^\\x20-\\x7e]') THEN 2 WHEN len(text) % 5 = 0 THEN 3 ELSE 4 END AS k FROM conversations), p AS (SELECT item_id, r, min(k) AS k FROM s GROUP BY 1, 2) SELECT item_id, count(*) FILTER (k = 4) AS libsize, count(*) FILTER (k = 1) AS incomplete, count(*) FILTER (k = 2) AS bad_encoding, count(*) FILTER (k = 3) AS unequal FROM p GROUP BY 1")
+@query("WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS item_id, turn, len(text) AS l, turn // 2 AS r, CASE WHEN len(text) % 7 = 0 THEN 1 WHEN regexp_matches(text, '[^\\x20-\\x7e]') THEN 2 WHEN len(text) % 5 = 0 THEN 3 ELSE 4 END AS k FROM conversations), p AS (SELECT item_id, r, min(k) AS k, max(l) FILTER (turn % 2 = 0) AS l1, max(l) FILTER (turn % 2 = 1) AS l2 FROM s GROUP BY 1, 2) SELECT item_id, round(avg(l1) FILTER (k = 4), 6) AS avgLen_R1, round(avg(l2) FILTER (k = 4), 6) AS avgLen_R2, count(*) FILTER (k = 4) AS libsize, count(*) FILTER (k = 1) AS incomplete, count(*) FILTER (k = 2) AS bad_encoding, count(*) FILTER (k = 3) AS unequal FROM p GROUP BY 1")
 def q02_read_summary(spark, d):
-    return Q.read_summary(_reads(spark, d)).drop("avgLen_R1", "avgLen_R2")
+    return Q.read_summary(_reads(spark, d)).withColumns({c: F.round(c, 6) for c in ("avgLen_R1", "avgLen_R2")})
 
 
 @query("WITH m AS (SELECT CAST(conv_id AS VARCHAR) AS item_id, count(*) FILTER (turn % 2 = 0) AS r1, count(*) FILTER (turn % 2 = 1) AS r2, coalesce(sum(len(text)) FILTER (turn % 2 = 0), 0) AS b1, coalesce(sum(len(text)) FILTER (turn % 2 = 1), 0) AS b2 FROM conversations GROUP BY 1) SELECT item_id, CASE WHEN r1 = 0 OR r2 = 0 THEN 'SE' WHEN r1 <> r2 THEN CASE WHEN b1 >= b2 THEN 'keep_R1' ELSE 'keep_R2' END ELSE 'PE' END AS layout FROM m")
@@ -522,12 +526,15 @@ def q03_layout(spark, d):
     return Q.layout(_reads(spark, d))
 
 
-@query("SELECT CAST(conv_id AS VARCHAR) AS item_id, false AS empty, false AS color_space FROM conversations GROUP BY 1")
+@query("WITH r AS (SELECT CAST(conv_id AS VARCHAR) AS item_id, turn, CASE WHEN conv_id % 5 = 0 THEN NULL WHEN conv_id % 3 = 0 THEN 'T' || (conv_id * 1000 + turn) ELSE text END AS seq FROM conversations) SELECT item_id, count(seq) = 0 AS empty, coalesce(regexp_matches(arg_min(seq, (turn % 2) * 1000000 + turn), '^T[0-9.]+$'), false) AS color_space FROM r GROUP BY 1")
 def q04_item_flags(spark, d):
-    return Q.item_flags(_reads(spark, d))
+    conv = F.col("item_id").cast("long")
+    turn = F.col("read_no") * 2 + F.col("mate") - 1
+    seq = F.when(conv % 5 == 0, None).when(conv % 3 == 0, F.concat(F.lit("T"), (conv * 1000 + turn).cast("string"))).otherwise(F.col("seq"))
+    return Q.item_flags(_reads(spark, d).withColumn("seq", seq))
 
 
-@query()
+@query("WITH r AS (SELECT CAST(conv_id AS VARCHAR) AS item_id, turn // 2 AS r, regexp_replace(CASE WHEN len(text) % 5 = 0 THEN text || 'x' ELSE text END, '\\s', '!', 'g') AS q FROM conversations WHERE len(text) % 7 <> 0), c AS (SELECT item_id, unnest(list_transform(string_split(q, ''), lambda x: unicode(x))) AS c FROM r WHERE r % 10 = 0 AND r < 5000 AND len(q) > 0), s AS (SELECT item_id, min(c) AS low, max(c) AS high FROM c GROUP BY 1) SELECT item_id, CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, CAST(CASE WHEN low < 59 THEN 33 WHEN high > 74 THEN 64 ELSE 33 END AS INTEGER) AS offset FROM s")
 def q06_quality_encoding(spark, d):
     return Q.quality_encoding(_reads(spark, d))
 
