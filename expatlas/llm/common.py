@@ -21,6 +21,17 @@ def order_key(doc_id: Column) -> Column:
     return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits that stand for a row's id and text; null differs from every value."""
+    parts = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("")) for c in (doc_id, text)]
+    return F.unhex(F.md5(F.concat(parts[0], F.lit("\n"), parts[1])))
+
+
+def stream_key(doc_id: Column, size: Column) -> Column:
+    """An order like ``order_key`` that tells rows of one id, or without one, apart by their size."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string")))
+
+
 def bucket_digits(rows: int, groups: int, per_bucket: int = 512) -> int:
     """Hex digits of ``order_key`` that cut ``groups`` even groups into buckets of about ``per_bucket`` rows."""
     return max(1, math.ceil(math.log(max(rows, 1) / (max(groups, 1) * per_bucket), 16))) if rows else 1

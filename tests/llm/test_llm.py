@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from expatlas.llm import embedding_dedup, encoding, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, suffix_sort, token_counts, topk
@@ -45,18 +47,51 @@ def test_jump_hash_moves_only_to_the_new_shard(spark, odd, empty):
         assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
 
 
+def bit_reversed(t, bits):
+    return int(f"{t:0{bits}b}"[::-1], 2)
+
+
 def test_mixing_meets_targets(spark, odd, empty, docs):
-    for block in (7, 4096):
-        got = mixing.mix_sources(docs, block_words=block).collect()
+    for slots in (64, 1 << 16):
+        got = mixing.mix_sources(docs, slots=slots).collect()
         for source, rows in itertools.groupby(sorted(got, key=lambda r: r.source), lambda r: r.source):
             rows = list(rows)
             assert sum(r.taken for r in rows) == int(rows[0].target)
             assert all(r.taken <= 3 * r["size"] for r in rows)
+            assert all((r.first_slot is None) == (r.taken == 0) for r in rows)
     assert len(mixing.mix_sources(odd).collect()) == len(ODD)
     assert mixing.mix_sources(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
     assert mixing.mixed_documents(odd).columns == odd.columns
 
 
+def test_schedule_decides_the_slots(spark, monkeypatch):
+    quotas = [500, 0, 210, 90, 3]
+    targets = spark.createDataFrame([(i, q) for i, q in enumerate(quotas)], "src long, quota long")
+    got = sorted((r.slot, r.src, r["rank"]) for r in mixing.block_schedule(targets, 256).collect())
+    ends = np.cumsum([0, *quotas])
+    want, seen = [], Counter()
+    for t in range(256):
+        src = max(i for i in range(5) if quotas[i] and ends[i] * 256 <= bit_reversed(t, 8) * ends[-1])
+        want.append((t, src, seen[src]))
+        seen[src] += 1
+    want += [(256 + i, i, seen[i]) for i in range(5) if quotas[i]]
+    assert got == want
+    for upto in (16, 64, 200):  # every stretch of slots is mixed as the whole is
+        counts = Counter(src for _, src, _ in got[:upto])
+        assert all(abs(counts[i] - upto * quotas[i] / ends[-1]) <= 4 for i in range(5))
+
+    rows = [(i, "w " * (1 + i % 9), "abc"[i % 3]) for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = {r.doc_id: r.first_slot for r in mixing.mix_sources(table).collect()}
+    order = [first[r.doc_id] for r in mixing.mixed_documents(table).collect()]
+    assert order == sorted(order)
+    taken = {r.doc_id: -(-r.taken // r["size"]) for r in mixing.mix_sources(table).collect()}
+    assert Counter(r.doc_id for r in mixing.mixed_documents(table).collect()) == Counter({k: v for k, v in taken.items() if v})
+    plain = mixing.block_schedule
+    monkeypatch.setattr(mixing, "block_schedule", lambda t, n: plain(t, n).withColumn("slot", F.col("src") * 10**6 + F.col("rank")))
+    assert {r.doc_id: r.first_slot for r in mixing.mix_sources(table).collect()} != first
+
+
 def test_language_held_out(docs, odd, empty):
     model = language_id.fit(docs)
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
@@ -97,18 +132,76 @@ def test_edit_distance_and_line_links(spark, odd, empty):
         b = edited(rng, a, int(rng.integers(0, 5)))
         for most in (1, 2, 3):
             assert line_dedup.edits_within(a, b, most) == (distance(a, b) <= most)
-    base = ["".join(rng.choice(list("abcdefgh é"), 30)).strip() + "." for _ in range(25)]
-    lines = base + [edited(rng, x, int(rng.integers(1, 4))) for x in base for _ in range(3)]
-    table = spark.createDataFrame([(i, x) for i, x in enumerate(dict.fromkeys(lines))], "i int, line string").withColumn("hash", F.xxhash64("line"))
-    name = {r.hash: r.line for r in table.collect()}
-    got = {frozenset((name[r.a], name[r.b])) for r in line_dedup.line_links(table, 2, 24).collect()}
-    want = {frozenset((a, b)) for a, b in itertools.combinations(name.values(), 2) if min(len(a), len(b)) >= 24 and distance(a, b) <= 2}
-    assert got == want and want
+    for a, b in (("x" * 300_000, "x" * 299_999 + "y"), ("ab" * 50_000, "ba" * 50_000)):
+        assert line_dedup.edits_within(a, b, 2) and not line_dedup.edits_within(a, b[:-3] + "zzz", 2)
     kept = {(r.doc_id, r.text): r for r in line_dedup.dedup_lines(odd).collect()}
     assert kept[(1, None)]["_n_lines"] == 0 and (5, "") in kept and (3, "   \n\n") in kept
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def near(a, b):
+    return distance(a, b) <= min(2, min(len(a), len(b)) // 8)
+
+
+def components(items, linked):
+    """Smallest place of each item's component."""
+    root = list(range(len(items)))
+    for a, b in itertools.combinations(range(len(items)), 2):
+        if root[a] != root[b] and linked(items[a], items[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("most", [32, 1])
+def test_lines_by_brute_force(spark, most):
+    rng = np.random.default_rng(7)
+    lines = []
+    for n in [*range(1, 61, 3), 7, 8, 15, 16, 17, 23, 24, 25, 48, 60]:
+        base = "".join(rng.choice(list("abc d"), n))
+        lines += [base, *[edited(rng, base, int(rng.integers(1, 4))) for _ in range(5)]]
+    template = "".join(rng.choice(list("abcdefgh "), 60))
+    for _ in range(60):  # one place of a common line changed, in a letter or in more
+        p, k = int(rng.integers(0, 55)), int(rng.choice([1, 1, 4]))
+        lines.append(template[:p] + "".join(rng.choice(list("xyz"), k)) + template[p + k :])
+    lines = [x.replace("\n", "") for x in lines]
+    cuts = sorted({0, len(lines), *rng.integers(0, len(lines), 40).tolist()})
+    docs = [(i, "\n".join(lines[a:b])) for i, (a, b) in enumerate(itertools.pairwise(cuts))]
+    flat = [(i, x) for i, t in docs for x in t.split("\n")]
+    kept = [(i, at) for i, t in docs for at in range(len(t.split("\n")))]
+    real = [k for k in range(len(flat)) if flat[k][1].strip()]
+    root = components([flat[k][1] for k in real], lambda a, b: a == b or near(a, b))
+    gone = {real[k] for k in range(len(real)) if root[k] != k}
+    want = {i: "\n".join(x for k, (j, x) in enumerate(flat) if j == i and k not in gone) for i, _ in docs}
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), most=most).collect()
+    assert len(kept) == len(flat) and {r.doc_id: r.text for r in got} == want
+    assert sum(r._n_removed for r in got) == len(gone) and sum(r._n_lines for r in got) == len(real)
+
+
+def test_crowded_segment_makes_few_pairs(spark):
+    rng = np.random.default_rng(8)
+    shared = "".join(rng.choice(list("abcdefgh "), 50))
+    lines = [shared + "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 20)) for _ in range(1200)]
+    lines += [x[:60] + "#" + x[61:] for x in lines[:300]] + [x[:3] + "%" + x[3:65] + x[66:] for x in lines[:300]] + [shared + f"{i:04d}" for i in range(500)]
+    table = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("hash", F.xxhash64("line"))
+    assert line_dedup.candidate_pairs(table, 2, 8, 32).count() < 40 * len(lines)
+    name = {r.hash: r.line for r in table.collect()}
+    links = [(name[r.a], name[r.b]) for r in line_dedup.line_links(table).collect()]
+    assert all(distance(a, b) <= 2 for a, b in links[:2000:7])
+    root = {x: x for x in lines}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[top(a)] = top(b)
+    for i in range(300):  # three versions each of 300 lines
+        assert top(lines[i]) == top(lines[1200 + i]) == top(lines[1500 + i])
+    assert len({top(x) for x in lines[:1200]}) == 1200 and len({top(x) for x in lines[1800:]}) == 1
+
+
 HARD = ["", " ", "a  b", "a \n b\n\nc  ", "Σ ΣΑΣ İ", "x<|endoftext|> y <|startoftext|>", "\x1c a\x1fb", "don't I'LL 're", "ééé é ﬁ", "日本語 𝔘𝔫𝔦", "1234 ١٢٣ ½", "!!!...", "a" * 3000, "🤦🏽‍♂️", "a b", "<|endoftext|>"]
 
 
@@ -136,6 +229,22 @@ def test_tokens_as_the_library_gives_them(docs, odd, empty):
     assert encoding.encode_documents(empty, word).count() == 0 and token_counts.count_tokens(empty, byte).count() == 0
 
 
+def test_code_points_as_the_library_has_them():
+    """All that the tables name, their neighbours, and every 13th other code point, alone and beside marks that combine."""
+    from tokenizers import Tokenizer
+
+    from expatlas.llm import vocabulary as V
+
+    named = [c for listed in (V.NEWER_LETTERS, V.NEWER_NUMBERS, V.UNCOMBINED) for a, b in V.code_points(listed) for c in (a - 1, a, (a + b) // 2, b, b + 1)]
+    points = [c for c in sorted({*named, *encoding._LOWER, *range(0x3000), *range(0x3000, 0x34000, 13)}) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f(chr(c)) for c in points for f in (lambda x: f"a{x}b", lambda x: f"x{x}\u0316\u0301 {x}{x}1!")]
+    for name, make in (("word_bpe_49k.json", encoding.Encoder), ("byte_bpe_50k.json", token_counts.Counter)):
+        with open(vocabulary_path(name), encoding="utf-8") as f:
+            mine = make(Vocabulary(f.read()))
+        for t, e in zip(texts, Tokenizer.from_file(vocabulary_path(name)).encode_batch(texts, add_special_tokens=False), strict=True):
+            assert (np.frombuffer(mine.encode(t), "<u4").tolist() == e.ids) if name[0] == "w" else (mine.count(t) == len(e.ids)), ascii(t)
+
+
 def repeats(texts, length):
     seen = Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
     out = []
@@ -183,6 +292,22 @@ def test_top_k(spark):
     assert topk.exact_top_k(table.filter("false")).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(size=(90, 4)), 2)
+    ids = [i // 3 * 25 for i in range(90)]  # three rows an id, every second id asks
+    table = spark.createDataFrame([(i, [float(v) for v in r], "clash", 1) for i, r in zip(ids, x, strict=True)], "vec_id long, embedding array<double>, row string, size int")
+    v = np.floor(256 * x)
+    scores = v @ v.T
+    want = []
+    for q in range(90):
+        if ids[q] % 50 == 0:
+            best = sorted((i for i in range(90) if i != q), key=lambda i: (-scores[q, i], ids[i]))[:5]
+            want += [(ids[q], k + 1, ids[i], int(scores[q, i])) for k, i in enumerate(best)]
+    got = topk.exact_top_k(table, per_block=8, per_chunk=4, pivots=3, meet_bytes=300)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(30, 6))
@@ -202,6 +327,50 @@ def test_embedding_links(spark):
     assert embedding_dedup.embedding_duplicates(table.filter("false")).count() == 0
 
 
+def test_axes_tell_apart_what_shares_a_direction(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(800, 8)) * np.array([1, 1, 1, 0.1, 0.1, 0.1, 0.1, 0.1]) * 0.3 + np.r_[np.zeros(7), 3.0]
+    nodes = spark.createDataFrame([(i, 1, "a", [float(v) for v in r]) for i, r in enumerate(x)], "node long, copies long, label string, vector array<double>")
+    blocks = embedding_dedup.grid_blocks(nodes, 0.9995, per_block=20)
+    n = blocks.count()
+    side = 0.0316
+    rows = blocks.select("low", "high").collect()
+    near = sum(sum(max(0, a.low[k] - b.high[k], b.low[k] - a.high[k]) ** 2 for k in range(6)) <= side**2 for a in rows for b in rows)
+    assert near < 0.7 * n * n
+
+
+def slow_fingerprint(text, k=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] if len(words) >= k else [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_and_components_by_brute_force(spark, docs):
+    texts = [r.text for r in docs.orderBy("doc_id").limit(80).collect()] + ["", None, "A b", "a B", "one two three four " * 30_000, "\u2003x\u00a0y z", "x\x1cy \x0b z"]
+    texts += [t[:-3] + "zzz" for t in texts[:40] if t]
+    fps = [slow_fingerprint(t or "") for t in texts]
+    root = components(fps, lambda a, b: (a ^ b).bit_count() <= 2)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.near_duplicates(table).select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fp"), "component_id").collect()}
+    assert all((got[i].fp, got[i].component_id) == (f"{fps[i]:016x}", root[i]) for i in range(len(texts)))
+    kept = [r.doc_id for r in simhash.keep_one(table).collect()]
+    assert sorted(kept) == sorted(set(root))
+
+
+def test_language_of_many_families(spark):
+    rng = np.random.default_rng(11)
+    langs = ["en", "de", "fr", "es", "ru", "pl", "fi", "hu", "tr", "xx"]
+    words = {la: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 8))) for _ in range(60)] for la in langs}
+    rows = [(i, " ".join(rng.choice(words[la], 60)), la) for i, la in enumerate(langs * 40)] + [(9000, "lone example of its own class here", "zz")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id.identify(table, language_id.fit(table)).collect()}
+    held = [i for i, _, _ in rows[:-1] if got[i].held_out]
+    assert sum(got[i].lang_pred == rows[i][2] for i in held) >= 0.95 * len(held) and len(held) > 60
+    single = table.filter("lang = 'en'")
+    assert {r.lang_pred for r in language_id.identify(single, language_id.fit(single)).collect()} == {"en"}
+
+
 @pytest.mark.parametrize("segments", [8, 16])
 def test_hamming_links(spark, segments):
     rng = np.random.default_rng(4)
@@ -222,12 +391,14 @@ def test_simhash_edges(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
-def test_long_chains(spark):
+@pytest.mark.parametrize("at_once", [0, 10_000])
+def test_long_chains(spark, at_once):
     from expatlas.llm.components import connected_components
 
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150)]
-    got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long"), at_once).collect()}
     assert all(got[i] == 0 for i in range(61)) and got[200] == got[150] == got[100] == 100
+    assert connected_components(spark.createDataFrame([], "a long, b long"), at_once).count() == 0
 
 
 def test_pipeline(spark, odd, empty):
