@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from expatlas.llm.common import bucket_digits, order_key, running_totals, word_count
+from expatlas.llm.common import bucket_digits, order_key, running_totals, stream_key, word_count
 from expatlas.scratch import materialize
 
 
@@ -32,78 +32,92 @@ def source_targets(stats: DataFrame, weights: tuple = (5, 2, 1), max_repeats: in
     return leveled.select("src", "source", "source_size", "weight", "target", F.floor("target").cast("long").alias("quota"))
 
 
-def block_schedule(targets: DataFrame, block_words: int) -> DataFrame:
+def block_schedule(targets: DataFrame, slots: int) -> DataFrame:
     """The slots of the mix: ``slot`` (time), ``src`` and ``rank`` (the source's how-manieth slot).
 
-    Slot t of the schedule stands at the van der Corput point reverse_bits(t) / 2**k, and the point's
-    place in the cumulative block counts names the source. Bit reversal is its own inverse, so each
-    source lists the points of its own interval and reads the slots off them; no range join is needed
-    and every source gets exactly its number of blocks. Points beyond the last interval name no slot.
+    Slot t stands at the van der Corput point reverse_bits(t) / ``slots`` (a power of two), and the
+    source whose interval of the cumulative targets holds the point fills it. Bit reversal is its own
+    inverse, so each source lists the points of its own interval and reads its slots off them; no range
+    join is needed. A source's points are its share of all, rounded up or down; what rounding down
+    leaves over gets one slot behind all others, in the order of the sources.
     """
-    blocks = targets.withColumn("_blocks", F.ceil(F.col("quota") / F.lit(block_words)).cast("long"))
     so_far = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_first", F.coalesce(F.sum("_blocks").over(so_far), F.lit(0)))
-    blocks = materialize(blocks.filter("_blocks > 0").select("src", "_first", "_blocks"), "blocks")
-    total = blocks.agg(F.coalesce(F.sum("_blocks"), F.lit(0))).first()[0]
-    bits = max(1, (max(total, 1) - 1).bit_length())
+    whole = Window.partitionBy()
+    edges = targets.select("src", F.coalesce(F.sum("quota").over(so_far), F.lit(0)).alias("_from"), "quota", F.sum("quota").over(whole).alias("_all"))
+    place = f"(({{}}) * {slots}L + _all - 1) div _all"  # rounded up, in whole numbers: right below 2**63 / slots words
+    edges = edges.filter("quota > 0").select("src", F.expr(place.format("_from")).alias("_first"), F.expr(place.format("_from + quota")).alias("_end"))
+    edges = materialize(edges, "edges")
+    bits = slots.bit_length() - 1
     piece = 4096
-    pieces = blocks.select("src", "_first", "_blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_blocks") - 1) / piece))).alias("_piece"))
+    pieces = edges.filter("_first < _end").select("src", "_first", "_end", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_end") - F.col("_first") - 1) / piece))).alias("_piece"))
     pieces = pieces.repartition("src", "_piece")
-    last = F.least((F.col("_piece") + 1) * piece, F.col("_blocks")) - 1
-    points = pieces.select("src", F.explode(F.sequence(F.col("_first") + F.col("_piece") * piece, F.col("_first") + last)).alias("point"))
+    begin = F.col("_first") + F.col("_piece") * piece
+    points = pieces.select("src", F.explode(F.sequence(begin, F.least(begin + piece, F.col("_end")) - 1)).alias("point"))
     slot = F.conv(F.reverse(F.lpad(F.bin("point"), bits, "0")), 2, 10).cast("long")
-    slots = points.select("src", slot.alias("slot")).withColumn("_bucket", F.floor(F.col("slot") / piece))
-    return running_totals(slots, "src", "_bucket", ["slot"], {"rank": F.lit(1).cast("long")}).select("src", "slot", "rank")
+    found = points.select("src", slot.alias("slot")).withColumn("_bucket", F.floor(F.col("slot") / piece))
+    ranked = running_totals(found, "src", "_bucket", ["slot"], {"rank": F.lit(1).cast("long")}).select("src", "slot", "rank")
+    return ranked.union(edges.select("src", F.col("src") + slots, F.col("_end") - F.col("_first")))
 
 
 def mix_sources(
-    documents: DataFrame, weights: tuple = (5, 2, 1), max_repeats: int = 3, block_words: int = 4096,
+    documents: DataFrame, weights: tuple = (5, 2, 1), max_repeats: int = 3, slots: int = 1 << 16,
     doc_id: str = "doc_id", text: str = "text", source: str = "source",
 ) -> DataFrame:
-    """Words that the mix takes of every document.
+    """Words that the mix takes of every document, and when.
 
     Each source's documents stand in a shuffled stream, again and again up to ``max_repeats`` times,
-    cut into blocks of ``block_words`` words. A source's slot of rank r takes block r; the last block
-    ends at the source's quota (its target, rounded down), so that a source gets its target to the
-    word and no document more than ``max_repeats`` times its size.
-
-    Returns ``doc_id, source, size, source_size, target, taken, text_key``, a row for each row of the
-    input. Null texts and texts without words have size 0 and give 0; a null source is a source of its
-    own; repeated rows are mixed each for itself; an empty table gives none. ``text_key`` is a hash of
-    the text by which rows can be found again. Other columns are not carried.
+    cut into equal blocks, of so many words that ``slots`` of them hold the whole mix. The schedule
+    gives every slot to a source; a source's slot of rank r takes its block r, until the source has its
+    target, rounded down to a word; its last block ends there, and its further slots stay empty.
+
+    Returns ``doc_id, source, size, source_size, target, taken, first_slot, text_key``, a row for each
+    row of the input; ``first_slot`` is the slot in which the document first comes, null if nothing of
+    it is taken. Null texts and texts without words have size 0 and give 0; a null source is a source
+    of its own; repeated rows (equal id, source and text) are counted before anything is ordered and
+    mixed each for itself; an empty table gives none. ``text_key`` is a hash of the text by which rows
+    can be found again. Other columns are not carried.
     """
-    rows = materialize(documents.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("text_key")), "sizes")
-    targets = materialize(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats), "targets")
-    slots = block_schedule(targets, block_words)
-
-    known = targets.withColumnRenamed("source", "_source")
-    placed = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    placed = placed.withColumn("_ord", order_key(F.col("doc_id")))
-    placed = placed.withColumn("_bucket", F.substring("_ord", 1, bucket_digits(rows.count(), 8)))
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("text_key"))
+    rows = materialize(rows.groupBy("doc_id", "source", "size", "text_key").agg(F.count("*").alias("_copies")), "sizes")
+    stats = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("_copies")).alias("source_size"), F.count("*").alias("_rows"))
+    stats = materialize(stats, "sources")
+    targets = materialize(source_targets(stats.drop("_rows"), weights, max_repeats), "targets")
+    known = stats.agg(F.max("_rows")).first()[0] or 0
+    block = max(1, -(-(targets.agg(F.sum("quota")).first()[0] or 0) // slots))
+    schedule = block_schedule(targets, slots)
+
+    named = targets.withColumnRenamed("source", "_source")
+    placed = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    placed = placed.withColumn("_ord", stream_key(F.col("doc_id"), F.col("size")))
+    placed = placed.withColumn("_bucket", F.substring("_ord", 1, bucket_digits(known, 1)))
     order = ["_ord", "doc_id", "size", "text_key"]
-    placed = materialize(running_totals(placed, "src", "_bucket", order, {"_start": F.col("size"), "_row": F.lit(1).cast("long")}), "streams")
+    totals = {"_start": F.col("size") * F.col("_copies"), "_row": F.col("_copies")}
+    placed = running_totals(placed, "src", "_bucket", order, totals).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    placed = placed.withColumns({"_start": F.col("_start") + F.col("_copy") * F.col("size"), "_row": F.col("_row") + F.col("_copy")})
+    placed = materialize(placed, "streams")
 
     passes = F.sequence(F.lit(0).cast("long"), F.lit(max_repeats - 1).cast("long"))
     seen = placed.filter("size > 0").select("src", "_row", "size", "source_size", "quota", "_start", F.explode(passes).alias("_pass"))
     seen = seen.withColumn("_from", F.col("_pass") * F.col("source_size") + F.col("_start")).filter("_from < quota")
     seen = seen.withColumn("_to", F.least(F.col("_from") + F.col("size"), F.col("quota")))
-    seen = seen.withColumn("rank", F.explode(F.sequence(F.floor(F.col("_from") / block_words), F.floor((F.col("_to") - 1) / block_words))))
-    words = F.least(F.col("_to"), (F.col("rank") + 1) * block_words) - F.greatest(F.col("_from"), F.col("rank") * block_words)
-    taken = seen.join(slots, ["src", "rank"]).groupBy("src", "_row").agg(F.sum(words).alias("taken"))
+    seen = seen.withColumn("rank", F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_to") - 1) / block))))
+    words = F.least(F.col("_to"), (F.col("rank") + 1) * block) - F.greatest(F.col("_from"), F.col("rank") * block)
+    taken = seen.join(schedule, ["src", "rank"]).groupBy("src", "_row").agg(F.sum(words).alias("taken"), F.min("slot").alias("first_slot"))
 
     out = placed.join(taken, ["src", "_row"], "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "text_key")
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "text_key")
 
 
 def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mix itself: every document as often as the mix takes it, a part taken counting as a whole.
+    """The mix itself, in the order of its slots: every document as often as the mix takes it, a part taken counting as a whole.
 
-    Documents of which nothing is taken are not in the mix. Rows equal in id and text share what is
-    taken of them, rounded up for each. All columns stay.
+    Documents of which nothing is taken are not in the mix. Copies of a document stand together, at its
+    first slot. Rows equal in id and text share what is taken of them, rounded up for each. All columns
+    stay; the order is that of the result's partitions and of the rows in them.
     """
     found = mix_sources(documents, doc_id=doc_id, text=text, source=source, **options).filter("taken > 0")
-    shares = found.groupBy("doc_id", "text_key").agg(F.sum(F.ceil(F.col("taken") / F.col("size"))).alias("_n"), F.count("*").alias("_rows"))
-    shares = shares.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.ceil(F.col("_n") / F.col("_rows")).cast("int").alias("_times"))
+    shares = found.groupBy("doc_id", "text_key").agg(F.sum(F.ceil(F.col("taken") / F.col("size"))).alias("_n"), F.count("*").alias("_rows"), F.min("first_slot").alias("_slot"))
+    shares = shares.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "_slot", F.ceil(F.col("_n") / F.col("_rows")).cast("int").alias("_times"))
     joined = documents.join(shares, F.col(doc_id).eqNullSafe(F.col("_doc_id")) & (F.xxhash64(text) == F.col("_text_key")))
-    again = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return again.select(*documents.columns)
+    placed = joined.withColumn("_tie", order_key(F.col(doc_id))).repartitionByRange("_slot", "_tie").sortWithinPartitions("_slot", "_tie")
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*documents.columns)

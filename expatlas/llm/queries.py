@@ -26,8 +26,8 @@ def vocabulary_path(name: str) -> str:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words taken of every document when the sources are mixed 5 : 2 : 1."""
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """Words taken of every document when the sources are mixed 5 : 2 : 1, and the slot it first comes in."""
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,10 +93,10 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op7_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256.0::DOUBLE * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WITH v AS (SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(256.0::DOUBLE * CAST(x AS DOUBLE))) AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0),
-        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        s AS (SELECT q.n, q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score FROM v q JOIN v x ON q.n <> x.n AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT * FROM r WHERE rank <= 5""",
     "op8_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -115,14 +115,21 @@ ORACLE_SQL = {
         w AS (SELECT *, CASE src % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 3 AS cap FROM n),
         l AS (SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
                      / CAST(sum(weight) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level FROM w),
-        t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), max(level) OVER () * weight) AS target FROM l),
+        t AS (SELECT source, src, source_size, least(CAST(cap AS DOUBLE), max(level) OVER () * weight) AS target FROM l),
         q AS (SELECT *, CAST(floor(target) AS BIGINT) AS quota FROM t),
-        p AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota,
-                     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-              FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
-        SELECT doc_id, size, source_size, target,
-               CAST(CASE WHEN size = 0 THEN 0 ELSE size * (quota // source_size) + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken
-        FROM p""",
+        e AS (SELECT source, src, quota, coalesce(sum(quota) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(quota) OVER () AS total FROM q),
+        g AS (SELECT source, src, CAST((before * 65536 + total - 1) // total AS BIGINT) AS first, CAST(((before + quota) * 65536 + total - 1) // total AS BIGINT) AS stop FROM e WHERE quota > 0),
+        points AS (SELECT source, unnest(range(first, stop)) AS point FROM g),
+        slots AS (SELECT source, CAST(list_sum(list_transform(range(16), lambda i: ((point >> i) & 1) << (15 - i))) AS BIGINT) AS slot FROM points),
+        ranks AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank FROM slots UNION ALL SELECT source, src + 65536, stop - first FROM g),
+        p AS (SELECT d.doc_id, d.source, d.size, q.source_size, q.target, q.quota, greatest(1, CAST(((SELECT sum(quota) FROM q) + 65535) // 65536 AS BIGINT)) AS block,
+                     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.size), d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+              FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+        w AS (SELECT *, CAST(CASE WHEN size = 0 THEN 0 ELSE size * (quota // source_size) + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken FROM p),
+        b AS (SELECT w.*, row_number() OVER () AS n FROM w),
+        spans AS (SELECT n, source, block, pass * source_size + start AS low, least(pass * source_size + start + size, quota) AS high FROM b, range(3) r(pass) WHERE size > 0 AND pass * source_size + start < quota),
+        firsts AS (SELECT n, min(slot) AS first_slot FROM (SELECT n, source, unnest(range(CAST(low // block AS BIGINT), CAST((high - 1) // block AS BIGINT) + 1)) AS rank FROM spans) x JOIN ranks ON ranks.source IS NOT DISTINCT FROM x.source AND ranks.rank = x.rank GROUP BY n)
+        SELECT doc_id, size, source_size, target, taken, first_slot FROM b LEFT JOIN firsts USING (n)""",
     "op6_sharding": r"""
         WITH RECURSIVE n AS (SELECT unnest([16, 17]) AS n),
         keys AS (SELECT DISTINCT coalesce(doc_id, 0) AS key FROM documents),
