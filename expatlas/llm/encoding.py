@@ -11,21 +11,33 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from expatlas.llm.vocabulary import Bounded, Vocabulary, shared_vocabulary
+from expatlas.llm.vocabulary import NEWER_LOWER, NEWER_LOWER_RANGES, UNCOMBINED, Bounded, Pieces, Vocabulary, character_class, code_points, shared_vocabulary
 
 #: Fixed value: the split pattern of this word-level family; what it does not match is dropped.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
 
+_UNCOMBINED = re.compile(f"([{character_class(UNCOMBINED)}])")
+_LOWER = {int(a, 16): int(b, 16) for a, b in (pair.split() for pair in NEWER_LOWER.split(", "))}
+for _range, _step in (pair.split() for pair in NEWER_LOWER_RANGES.split(", ")):
+    _LOWER |= {c: c + int(_step, 16) for a, b in code_points(_range) for c in range(a, b + 1)}
+_TO_LOWER = re.compile("[" + "".join(map(chr, sorted(_LOWER))) + "]")
+
+
 def normalize(text: str) -> str:
-    """Composed form, then lower case character by character (a final sigma is no exception)."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    return text.lower()
+    """Composed form, then lower case character by character (a final sigma is no exception), by the library's tables."""
+    if text.isascii():
+        return text.lower()
+    if _UNCOMBINED.search(text):  # nothing composes or changes places with these
+        text = "".join([unicodedata.normalize("NFC", part) if i % 2 == 0 else part for i, part in enumerate(_UNCOMBINED.split(text))])
+    else:
+        text = unicodedata.normalize("NFC", text)
+    if _TO_LOWER.search(text):
+        text = text.translate(_LOWER)
+    return text.replace("Σ", "σ").lower()
 
 
 class Encoder:
@@ -40,7 +52,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.words = regex.compile(WORDS)
+        self.words = Pieces(WORDS)
         self.odd_space = re.compile("[\x1c-\x1f]")
         spelled: dict[int, str] = {}
         for byte in range(256):  # a symbol of its own for a byte at the end of a word
@@ -55,8 +67,8 @@ class Encoder:
             self.matches.add_word(letters, token)
         self.matches.make_automaton()
         self.inner_letters = {b: chr(0x200 + b) for b in range(256)}
-        self.pairs = Bounded(self._compatible, 500_000, None)
-        self.ids_of = Bounded(self._chunk, 300_000)
+        self.pairs = Bounded(self._compatible, 200_000, None)
+        self.ids_of = Bounded(self._chunk, 150_000)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave ``a`` and ``b`` apart when they stand side by side.

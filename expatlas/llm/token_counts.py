@@ -6,11 +6,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from expatlas.llm.vocabulary import Bounded, Vocabulary, shared_vocabulary
+from expatlas.llm.vocabulary import Bounded, Pieces, Vocabulary, shared_vocabulary
 
 #: Fixed value: the split pattern of this byte-level family.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -26,7 +25,7 @@ class Counter:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.pieces = regex.compile(PIECES)
+        self.pieces = Pieces(PIECES)
         self.cut, self.uneven = re.compile(r" (?=\S)"), re.compile(r" (?=\s|\Z)")
         self.at_start = Bounded(self._chunk, 500_000)
         self.after_space = Bounded(lambda chunk: self._chunk(" " + chunk), 500_000)
