@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from expatlas.scratch import materialize
 
-_BLOCK = "size int, pivot int, ring int, block long, near double, far double, ids array<long>, vectors binary"
-_CHUNK = "size int, chunk long, ids array<long>, vectors binary, floors array<double>"
+_BLOCK = "size int, pivot int, ring int, block long, near double, far double, ids array<long>, rows array<long>, vectors binary"
+_CHUNK = "size int, chunk long, ids array<long>, rows array<long>, vectors binary, floors array<double>"
 
 
 def _matrix(data: bytes, n: int) -> np.ndarray:
@@ -21,7 +21,7 @@ def _matrix(data: bytes, n: int) -> np.ndarray:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, id and score of each row's k highest scores not below its floor; ties to the smaller id."""
+    """Place, id and score of each query's k highest scores not below its floor; ties to the smaller id."""
     cut = floors
     if scores.shape[1] > k:
         cut = np.maximum(floors, np.partition(scores, scores.shape[1] - k, axis=1)[:, -k])
@@ -72,7 +72,7 @@ class Index:
 
 def exact_top_k(
     vectors: DataFrame, k: int = 5, query_every: int = 50, scale: float = 256.0, vec_id: str = "vec_id", vector: str = "embedding",
-    pivots: int = 32, rings: int = 48, per_block: int = 1024, per_chunk: int = 512, sample: int = 2048,
+    pivots: int = 32, rings: int = 48, per_block: int = 1024, per_chunk: int = 512, sample: int = 2048, meet_bytes: int = 32 << 20,
 ) -> DataFrame:
     """The ``k`` rows of highest integer inner product for every row whose id is divisible by ``query_every``.
 
@@ -86,15 +86,15 @@ def exact_top_k(
 
     Returns ``query_id, rank, vec_id, score``; a query with fewer other rows gets them all. Ties go to
     the smaller id. Rows with a null id or vector, with an empty vector or with null or non-finite
-    components take no part. A row is never its own answer, nor are others of the same id. Vectors of
-    different lengths do not meet. An empty table gives none; other columns are not carried. Scores
+    components take no part. A row is never its own answer, but others of the same id may be, and each
+    row of a repeated id asks for itself. Vectors of different lengths do not meet. An empty table gives none; other columns are not carried. Scores
     are exact while they stay below 2**53.
     """
     x = F.col(vector)
     finite = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < float("inf")) & ~F.isnan(c))
     rows = vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & (F.size(x) > 0) & finite)
     rows = rows.select(F.col(vec_id).cast("long").alias("id"), F.size(x).alias("size"), F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(scale)).cast("double")).alias("v"))
-    rows = materialize(rows, "vectors")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # ids may repeat, rows do not
     index = Index(rows, pivots, rings, sample)
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,9 +104,9 @@ def exact_top_k(
                 d = index.distances(size, index.lifted(x))
                 pivot = d.argmin(axis=1)
                 near = d[np.arange(len(d)), pivot]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "size": size, "pivot": pivot, "ring": (near / index.width(size)).astype(int), "distance": near, "v": [r.tobytes() for r in x]})
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "row": part["row"].to_numpy(), "size": size, "pivot": pivot, "ring": (near / index.width(size)).astype(int), "distance": near, "v": [r.tobytes() for r in x]})
 
-    keyed = rows.mapInPandas(key, "id long, size int, pivot int, ring int, distance double, v binary")
+    keyed = rows.mapInPandas(key, "id long, row long, size int, pivot int, ring int, distance double, v binary")
     order = ["size", "pivot", "ring", "distance", "id"]
     keyed = keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
 
@@ -116,7 +116,7 @@ def exact_top_k(
                 for begin in range(0, len(part), per_block):
                     p = part.iloc[begin : begin + per_block]
                     yield pd.DataFrame({"size": [size], "pivot": [pivot], "ring": [ring], "block": [int(p["place"].iloc[0])], "near": [p["distance"].min()], "far": [p["distance"].max()],
-                                        "ids": [p["id"].to_numpy()], "vectors": [b"".join(p["v"])]})
+                                        "ids": [p["id"].to_numpy()], "rows": [p["row"].to_numpy()], "vectors": [b"".join(p["v"])]})
 
     blocks = materialize(keyed.mapInPandas(cut, _BLOCK), "blocks")
 
@@ -124,15 +124,15 @@ def exact_top_k(
         """The queries of a partition's blocks in chunks, each with the floor its own block gives."""
         for b in batches:
             for row in b.itertuples():
-                ids = np.asarray(row.ids)
+                ids, own = np.asarray(row.ids), np.asarray(row.rows)
                 asks = np.flatnonzero(ids % query_every == 0)
                 x = _matrix(row.vectors, len(ids))
                 for begin in range(0, len(asks), per_chunk):
                     at = asks[begin : begin + per_chunk]
                     scores = x[at] @ x.T
-                    scores[ids[at][:, None] == ids[None, :]] = -np.inf
+                    scores[np.arange(len(at)), at] = -np.inf
                     floors = np.partition(scores, len(ids) - k, axis=1)[:, -k] if len(ids) > k else np.full(len(at), -np.inf)
-                    yield pd.DataFrame({"size": [row.size], "id": [ids[at]], "vectors": [x[at].tobytes()], "floors": [floors]})
+                    yield pd.DataFrame({"size": [row.size], "id": [ids[at]], "row": [own[at]], "vectors": [x[at].tobytes()], "floors": [floors]})
 
     def chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -141,7 +141,8 @@ def exact_top_k(
 
                 def out(held=held, size=size):
                     ids = np.concatenate([np.asarray(r.id) for r in held])
-                    return pd.DataFrame({"size": [size], "chunk": [int(ids.min())], "ids": [ids], "vectors": [b"".join(r.vectors for r in held)], "floors": [np.concatenate([np.asarray(r.floors) for r in held])]})
+                    own = np.concatenate([np.asarray(r.row) for r in held])
+                    return pd.DataFrame({"size": [size], "chunk": [0], "ids": [ids], "rows": [own], "vectors": [b"".join(r.vectors for r in held)], "floors": [np.concatenate([np.asarray(r.floors) for r in held])]})
 
                 for r in part.itertuples():
                     if held and sum(len(h.id) for h in held) + len(r.id) > per_chunk:
@@ -151,7 +152,7 @@ def exact_top_k(
                 if held:
                     yield out()
 
-    asked = blocks.mapInPandas(ask, "size int, id array<long>, vectors binary, floors array<double>")
+    asked = blocks.mapInPandas(ask, "size int, id array<long>, row array<long>, vectors binary, floors array<double>")
     chunks = materialize(asked.mapInPandas(chunk, _CHUNK).withColumn("chunk", F.monotonically_increasing_id()), "queries")
 
     def reach(x: np.ndarray, floors: np.ndarray) -> np.ndarray:
@@ -170,17 +171,23 @@ def exact_top_k(
                 high = np.floor(np.clip((d + r[:, None]).max(axis=0) / width, 0, last)).astype(int)
                 yield pd.DataFrame([(row.size, row.chunk, p, ring) for p in range(d.shape[1]) for ring in range(low[p], high[p] + 1)], columns=["size", "chunk", "pivot", "ring"])
 
-    shares = max(1, blocks.count() // 64)
+    # blocks and chunks meet by so many bytes, so that a block is sent once for all chunks of a part that want it
+    shares, parts = (max(1, -(-(df.agg(F.sum(F.octet_length("vectors"))).first()[0] or 0) // meet_bytes)) for df in (blocks, chunks))
     wanted = chunks.mapInPandas(plan, "size int, chunk long, pivot int, ring int")
-    pairs = wanted.join(blocks.select("size", "pivot", "ring", "block"), ["size", "pivot", "ring"]).select("chunk", "block", F.pmod(F.xxhash64("block"), F.lit(shares)).alias("share"))
+    pairs = wanted.join(blocks.select("size", "pivot", "ring", "block"), ["size", "pivot", "ring"])
+    pairs = pairs.select("size", "chunk", "block", F.pmod(F.xxhash64("block"), F.lit(shares)).alias("share"), F.pmod(F.xxhash64("chunk"), F.lit(parts)).alias("part"))
     pairs = materialize(pairs, "pairs")
-    left = pairs.select("chunk", "share").distinct().join(chunks, "chunk").withColumnsRenamed({"chunk": "asker", "share": "part"})
-    right = pairs.join(blocks.drop("size"), "block")
+    left = pairs.select("chunk", "share", "part").distinct().join(chunks, "chunk")
+    right = pairs.select("block", "share", "part").distinct().join(blocks, "block")
 
     def search(_, asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        row = asks.iloc[0]
-        names, x = np.asarray(row["ids"]), _matrix(row["vectors"], len(row["ids"]))
-        floors, d = np.array(row["floors"], np.float64), index.of_queries(x)
+        found = [_search(row, held) for row in asks.itertuples(index=False)]
+        return pd.concat(found) if found else pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []})
+
+    def _search(row, held: pd.DataFrame) -> pd.DataFrame:
+        """A chunk's queries in the blocks, nearest first; blocks that its bounds exclude are passed over."""
+        names, own, x = np.asarray(row.ids), np.asarray(row.rows), _matrix(row.vectors, len(row.ids))
+        floors, d = np.array(row.floors, np.float64), index.of_queries(x)
         gap = np.stack([np.maximum(0, np.maximum(d[:, b.pivot] - b.far, b.near - d[:, b.pivot])) for b in held.itertuples()])
         norms = (x * x).sum(axis=1) + index.most[x.shape[1]]
         none = np.zeros(0)
@@ -195,7 +202,7 @@ def exact_top_k(
             b = held.iloc[at]
             ids = np.asarray(b["ids"])
             scores = x[live] @ _matrix(b["vectors"], len(ids)).T
-            scores[names[live][:, None] == ids[None, :]] = -np.inf
+            scores[own[live][:, None] == np.asarray(b["rows"])[None, :]] = -np.inf
             r, found, s = _best(scores, ids, floors[live], k)
             rows_, ids_, scores_ = np.concatenate([rows_, live[r]]), np.concatenate([ids_, found]), np.concatenate([scores_, s])
             order_ = np.lexsort((ids_, -scores_, rows_))
@@ -204,8 +211,9 @@ def exact_top_k(
             rows_, ids_, scores_, place = (v[place < k] for v in (rows_, ids_, scores_, place))
             full = place == k - 1
             floors[rows_[full]] = np.maximum(floors[rows_[full]], scores_[full])
-        return pd.DataFrame({"query_id": names[rows_], "vec_id": ids_, "score": scores_.astype(np.int64)})
+        return pd.DataFrame({"row": own[rows_], "query_id": names[rows_], "vec_id": ids_, "score": scores_.astype(np.int64)})
 
-    found = left.groupBy("asker", "part").cogroup(right.groupBy("chunk", "share")).applyInPandas(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by = ["size", "share", "part"]
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
