@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from expatlas.llm.components import connected_components
-from expatlas.scratch import materialize
+from expatlas.scratch import discard, materialize
 
 
 def usable(vector: Column) -> Column:
@@ -31,6 +31,7 @@ def principal_axes(nodes: DataFrame, axes: int, sample: int = 4096) -> dict[int,
         x = np.array([r[0] for r in rows if len(r[0]) == size], np.float64)
         x /= np.abs(x).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x -= x.mean(axis=0)  # a direction that all share tells nothing apart
         found[size] = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :axes]
     return found
 
@@ -185,11 +186,12 @@ def embedding_duplicates(
     blocks = materialize(grid_blocks(nodes, cosine, per_block=per_block), "blocks")
     found = materialize(block_links(blocks, cosine), "found")
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))
-    linked = materialize(connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "components")
+    linked = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     firsts = linked.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("component_id")).hint("rebalance")
     labels = nodes.join(sums, "node", "left").join(linked.join(firsts, "root").select("node", "component_id"), "node", "left")
     labels = labels.select(F.col("label").alias("_label"), F.col("vector").alias("_vector"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "first_id").alias("component_id"))
     labels = materialize(labels, "labels")
+    discard(nodes, blocks, found, linked)
     same = linkable & (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector"))
     out = rows.join(labels, same, "left")
     component = F.coalesce("component_id", "vec_id")
