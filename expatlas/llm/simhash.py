@@ -12,8 +12,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from expatlas.llm.common import row_key
 from expatlas.llm.components import connected_components
-from expatlas.scratch import materialize, ship
+from expatlas.scratch import discard, materialize, ship
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -53,8 +54,8 @@ def fingerprints(documents: DataFrame, words_per_shingle: int = 3, doc_id: str =
             fps = pa.array([fingerprint(x, words_per_shingle) for x in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps, batch.column("key")], ["doc_id", "fp", "key"])
 
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(doc_id, text).alias("key"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint, key bigint")
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), row_key(F.col(doc_id), F.col(text)).alias("key"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint, key binary")
 
 
 def cell(fp: Column, segments: int) -> Column:
@@ -114,18 +115,20 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, doc_id: st
     """
     rows = materialize(fingerprints(documents, words_per_shingle, doc_id, text), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    linked = materialize(connected_components(hamming_links(nodes)), "components")
+    linked = connected_components(hamming_links(nodes))
     firsts = linked.join(nodes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first_id").alias("component_id")).hint("rebalance")
     labels = linked.join(firsts, "root").select(F.col("node").alias("fp"), "root", "component_id")
     labels = nodes.join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("component"), F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(materialize(labels, "labels"), "fp").select("doc_id", "fp", "key", "component", "component_id")
+    labels = materialize(labels, "labels")
+    discard(nodes, linked)
+    return rows.join(labels, "fp").select("doc_id", "fp", "key", "component", "component_id")
 
 
 def keep_one(documents: DataFrame, words_per_shingle: int = 3, least: float | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each component left: that of the smallest doc_id (null ids last).
 
     Without ``least``, links are fingerprints within two bits; with it, they are all pairs whose sets of
-    shingles have at least that Jaccard similarity, counted exactly (see ``shingle_join``). Rows equal in id and text are one document, known by a 64-bit hash of both. All columns stay.
+    shingles have at least that Jaccard similarity, counted exactly (see ``shingle_join``). Rows equal in id and text are one document, known by a 128-bit hash of both. All columns stay.
     """
     if least is None:
         found = near_duplicates(documents, words_per_shingle, doc_id, text)
@@ -135,7 +138,7 @@ def keep_one(documents: DataFrame, words_per_shingle: int = 3, least: float | No
         found = similar_documents(documents, words_per_shingle, least, doc_id, text)
     best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
     chosen = materialize(best.select(F.col("best.key").alias("_key")), "chosen")
-    kept = documents.withColumn("_key", F.xxhash64(doc_id, text)).join(chosen, "_key", "left_semi")
+    kept = documents.withColumn("_key", row_key(F.col(doc_id), F.col(text))).join(chosen, "_key", "left_semi")
     return kept.dropDuplicates(["_key"]).select(*documents.columns)
 
 
