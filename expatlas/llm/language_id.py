@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,20 +133,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(documents: DataFrame, sample: int = 4000, buckets: int = 2048, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """Fit on at most about ``sample`` labelled documents (never fewer than 50 a language where there are).
+    """Fit on at most ``sample`` labelled documents, or one for each language if there are more languages.
 
-    Documents are drawn evenly over languages by a hash of their text, among those not held out. Only
-    n-gram frequencies come to the driver, ``buckets`` floats a document. None if nothing is labelled.
+    Different texts are drawn, evenly over languages, by a hash of the text, among those not held out;
+    copies of a text count once. Only n-gram frequencies come to the driver, ``buckets`` floats a
+    document. None if nothing is labelled.
     """
     ship(documents.sparkSession)
-    known = documents.filter(F.col(lang).isNotNull() & ~held_out(F.col(doc_id)) & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = dict(known.groupBy("lang").count().collect())
+    known = documents.filter(F.col(lang).isNotNull() & ~held_out(F.col(doc_id)) & F.col(text).rlike(r"\p{L}"))
+    known = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("_h"))
+    counts = dict(known.groupBy("lang").agg(F.approx_count_distinct("_h")).collect())
     if not counts:
         return None
-    each = max(50, sample // len(counts))
+    each = max(1, sample // len(counts))
     spread = 1 << 40
-    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, int(spread * min(1.0, each / n)))]), F.col("lang"))
-    drawn = known.filter(F.pmod(F.xxhash64("text"), F.lit(spread)) < share)
+    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, int(spread * min(1.0, (1.3 * each + 20) / n)))]), F.col("lang"))
+    drawn = known.filter(F.pmod("_h", F.lit(spread)) < share).dropDuplicates(["lang", "_h"])
+    order = Window.partitionBy("lang").orderBy(F.pmod("_h", F.lit(spread)), "_h")
+    drawn = drawn.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
