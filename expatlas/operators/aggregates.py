@@ -34,12 +34,18 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def summary_stats(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
-    return df.groupBy(*(by or [])).agg(F.min(col).alias("min"), F.median(col).alias("median"), F.max(col).alias("max"), F.mode(col, True).alias("mode"))
+    """Least, median, largest and most frequent value (of equals the smallest) of each group, over counts of values."""
+    by = by or []
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count("*").alias("_c"))
+    rest = counts.groupBy(*by).agg(F.min(col).alias("min"), F.max(col).alias("max"), F.min_by(col, F.struct(-F.col("_c"), col)).alias("mode"))
+    median = percentile_columns(df, col, {0.5: "median"}, by)
+    joined = rest.join(median, by) if by else rest.join(F.broadcast(median))
+    return joined.select(*by, "min", "median", "max", "mode")
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     points = {0.25: "q1", 0.5: "q2", 0.75: "q3"}
-    found = exact_percentiles(df, col, list(points)).agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in points.items()])
+    found = percentile_columns(df, col, points)
     rest = df.agg(F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"))
     return rest.join(F.broadcast(found)).select("n", "mean", "std", "min", *points.values(), "max")
 
@@ -170,17 +176,27 @@ def sequence_ids(df: DataFrame, order: list[str], fmt: str, out: str = "id") ->
     return numbered(df, order).select(*df.columns, F.format_string(fmt, F.col("_number")).alias(out))
 
 
-def exact_percentiles(df: DataFrame, col: str, points: list[float]) -> DataFrame:
-    """Percentiles, interpolated, as one row a point (``point, value``): values are counted, sorted by range
-    and summed up, so that no task holds them all; the rows at the wanted places are picked."""
-    counted = running_sum(df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("_n")), [], [col], F.col("_n"))
-    n = counted.agg(F.sum("_n").alias("n"))
+def exact_percentiles(df: DataFrame, col: str, points: list[float], by: list[str] = ()) -> DataFrame:
+    """Percentiles, interpolated, as one row a point and group (``point, value``): values are counted, sorted by
+    range and summed up, so that no task holds a group; the rows at the wanted places are picked."""
+    by = list(by)
+    counted = running_sum(df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count("*").alias("_n")), by, [col], F.col("_n"))
+    n = counted.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(F.sum("_n").alias("n"))
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")
-    places = n.select("n", wanted).filter("n > 0").withColumn("at", F.col("point") * (F.col("n") - 1))
-    places = places.select("point", "at", F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("place")).distinct()
-    met = counted.join(F.broadcast(places), (F.col("place") < F.col("_sum")) & (F.col("place") >= F.col("_sum") - F.col("_n")))
+    places = n.select("*", wanted).filter("n > 0").withColumn("at", F.col("point") * (F.col("n") - 1))
+    places = places.withColumn("place", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at"))))).drop("n")
+    here = (F.col("place") < F.col("_sum")) & (F.col("place") >= F.col("_sum") - F.col("_n"))
+    for c in by:
+        here = here & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    met = counted.join(places if by else F.broadcast(places), here)
     low, high = F.min_by(col, "place"), F.max_by(col, "place")
-    return met.groupBy("point").agg((low + (high - low) * (F.first("at") - F.min("place"))).alias("value"))
+    return met.groupBy(*by, "point").agg((low + (high - low) * (F.first("at") - F.min("place"))).alias("value"))
+
+
+def percentile_columns(df: DataFrame, col: str, points: dict[float, str], by: list[str] = ()) -> DataFrame:
+    """The same, wide: a column a point."""
+    found = exact_percentiles(df, col, list(points), by)
+    return found.groupBy(*by).agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in points.items()])
 
 
 def gaps_between(df: DataFrame, part: str, start: str, end: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from expatlas.operators.aggregates import rank_average
+from expatlas.operators.aggregates import rank_average, running_sum
 
 LOGS = {None: lambda c: c, "log2": lambda c: F.log2(c + 1), "log10": lambda c: F.log10(c + 1), "ln": lambda c: F.log1p(c)}
 
@@ -196,7 +196,8 @@ def quantile_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Difference of two tracks (chrom, pos, value) after giving both the mean of their sorted values."""
 
     def ranked(df: DataFrame, name: str) -> DataFrame:
-        return df.select("chrom", F.col("pos").alias(f"pos_{name}"), F.col("value").alias(f"v_{name}"), F.row_number().over(Window.partitionBy("chrom").orderBy("value", "pos")).alias("_rank"))
+        rows = running_sum(df.select("chrom", "pos", "value"), ["chrom"], ["value", "pos"], F.lit(1).cast("long"), "_rank")
+        return rows.select("chrom", F.col("pos").alias(f"pos_{name}"), F.col("value").alias(f"v_{name}"), "_rank")
 
     paired = ranked(a, "a").join(ranked(b, "b"), ["chrom", "_rank"]).withColumn("_mean", (F.col("v_a") + F.col("v_b")) / 2)
     return paired.select("chrom", F.col("pos_a").alias("pos"), F.col("_mean").alias("_ma")).join(paired.select("chrom", F.col("pos_b").alias("pos"), F.col("_mean").alias("_mb")), ["chrom", "pos"]).select("chrom", "pos", (F.col("_ma") - F.col("_mb")).alias("diff"))
@@ -312,12 +313,15 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
     return scaled.select(*[((F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") == 0, 1.0).otherwise(F.col(f"_s_{c}"))).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def pca(df: DataFrame, cols: list[str], k: int) -> tuple[DataFrame, DataFrame]:
-    """Scores (``pc``) and explained variance (``component, ratio``)."""
+def pca(df: DataFrame, cols: list[str], k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scores (``pc``), explained variance (``component, ratio``) and loadings (``column, component, loading``)."""
     whole = VectorAssembler(inputCols=cols, outputCol="_v").transform(df)
     model = PCA(k=k, inputCol="_v", outputCol="_p").fit(whole)
-    ratio = df.sparkSession.createDataFrame([(i + 1, float(r)) for i, r in enumerate(model.explainedVariance)], "component int, ratio double")
-    return model.transform(whole).withColumn("pc", vector_to_array("_p")).drop("_v", "_p"), ratio
+    spark = df.sparkSession
+    ratio = spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(model.explainedVariance)], "component int, ratio double")
+    axes = model.pc.toArray()
+    loadings = spark.createDataFrame([(c, i + 1, float(axes[j, i])) for j, c in enumerate(cols) for i in range(k)], "column string, component int, loading double")
+    return model.transform(whole).withColumn("pc", vector_to_array("_p")).drop("_v", "_p"), ratio, loadings
 
 
 def covariance_rows(vectors: DataFrame) -> DataFrame:

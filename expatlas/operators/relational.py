@@ -136,7 +136,9 @@ def gate(df: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
 
 def percentile_gate(df: DataFrame, positive: list[str], negative: list[str], q: float = 0.5) -> DataFrame:
     """Rows not below the percentile in any positive metric and not above it in any negative one."""
-    cuts = df.agg(*[F.percentile(c, F.lit(q)).alias(f"_cut_{c}") for c in [*positive, *negative]])
+    from expatlas.operators.aggregates import percentile_columns
+
+    cuts = reduce(lambda a, b: a.join(F.broadcast(b)), [percentile_columns(df, c, {q: f"_cut_{c}"}) for c in [*positive, *negative]])  # one row each
     rules = [F.col(c) >= F.col(f"_cut_{c}") for c in positive] + [F.col(c) <= F.col(f"_cut_{c}") for c in negative]
     return df.join(F.broadcast(cuts)).filter(reduce(lambda a, b: a & b, rules)).select(*df.columns)
 
@@ -282,7 +284,9 @@ def page(df: DataFrame, order: list, skip: int, limit: int) -> DataFrame:
 
 
 def below_percentile(df: DataFrame, col: str, q: float) -> DataFrame:
-    cut = df.agg(F.percentile(col, F.lit(q)).alias("_cut"))
+    from expatlas.operators.aggregates import percentile_columns
+
+    cut = percentile_columns(df, col, {q: "_cut"})
     return df.join(F.broadcast(cut)).filter(F.col(col) < F.col("_cut")).drop("_cut")
 
 

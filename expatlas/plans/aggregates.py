@@ -61,7 +61,8 @@ def a09_describe(spark, d):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1")
 def a10_percentiles(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(F.percentile("value", F.lit(0.05)), 6).alias("p05"), F.round(F.percentile("value", F.lit(0.95)), 6).alias("p95"))
+    x = A.percentile_columns(table(spark, d, "events"), "value", {0.05: "p05", 0.95: "p95"}, ["event_type"])
+    return x.select("event_type", F.round("p05", 6).alias("p05"), F.round("p95", 6).alias("p95"))
 
 
 @query("SELECT user_id, round(median(value), 6) AS median, round(stddev_samp(value), 6) AS std, round(avg(value), 6) AS mean FROM events GROUP BY 1")

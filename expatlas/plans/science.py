@@ -280,12 +280,17 @@ def _vectors(spark, d):
 def _principal(spark, d, k):
     cols = [f"c{i}" for i in range(64)]
     x = _vectors(spark, d).select("id", *[F.get("vector", F.lit(i)).alias(c) for i, c in enumerate(cols)])
-    return N.pca(x, cols, k)[0]
+    return N.pca(x, cols, k)
 
 
 @query()
 def n14_pca(spark, d):
-    return _principal(spark, d, 4).select("id", "pc")
+    return _principal(spark, d, 4)[0].select("id", "pc")
+
+
+@query()
+def n14_pca_loadings(spark, d):
+    return _principal(spark, d, 4)[2]
 
 
 @query("SELECT CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j, round(covar_pop(CAST(embedding[i] AS DOUBLE), CAST(embedding[j] AS DOUBLE)), 8) + 0.0 AS cov FROM embeddings, range(1, 65) a(i), range(1, 65) b(j) WHERE i <= j GROUP BY 1, 2")
@@ -389,7 +394,7 @@ def m07_random_forest(spark, d):
 
 @query()
 def m10_kmeans(spark, d):
-    return N.kmeans(_principal(spark, d, 40).select("id", F.col("pc").alias("vector")), 15)
+    return N.kmeans(_principal(spark, d, 40)[0].select("id", F.col("pc").alias("vector")), 15)
 
 
 # -- labels and text ---------------------------------------------------------------------------------

@@ -155,3 +155,16 @@ def test_reads_in_splits(spark, tmp_path):
     assert len(got) == 6000 and all(r.h1 == f"@r{r.read_no}" and len(r.seq) == len(r.qual) == 2 + r.read_no % 50 for r in got)
     assert {(r.item_id, r.mate) for r in got} == {("SRR7", 1), ("SRR8", 2)}
     assert sums == {"SRR7_1.fastq": hashlib.md5(text.encode()).hexdigest(), "SRR8_2.fastq": hashlib.md5(text[:-1].encode()).hexdigest()}
+
+
+def test_mixtures(spark):
+    class Forest:
+        key, seed = "id", 0
+
+        def transform(self, df):
+            return df.withColumn("outlier", F.col("far"))
+
+    base = spark.range(100).withColumn("far", F.lit(False))
+    other = spark.range(1000, 1040).withColumn("far", F.lit(True))
+    got = {r.fraction: r.outliers for r in M.mixin_curve(Forest(), base, other, [0.0, 0.25, 0.5, 1.0]).collect()}
+    assert got == {0.0: 0.0, 0.25: 0.25, 0.5: 0.5, 1.0: 1.0}

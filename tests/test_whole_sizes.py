@@ -14,6 +14,8 @@ def test_pca_uses_all_components(spark):
     got = {r.id: r.pc for r in registry.QUERIES["n14_pca"](spark, DIR).collect()}
     got = np.array([got[r.vec_id] for r in rows])
     assert np.allclose(np.abs(got), np.abs(x @ axes.T), atol=1e-6)
+    loadings = {(r.column, r.component): r.loading for r in registry.QUERIES["n14_pca_loadings"](spark, DIR).collect()}
+    assert np.allclose([[abs(loadings[(f"c{j}", i + 1)]) for j in range(64)] for i in range(4)], np.abs(axes), atol=1e-6)
 
 
 def test_clusters(spark):
