@@ -178,7 +178,7 @@ def exact_top_k(
     pairs = pairs.select("size", "chunk", "block", F.pmod(F.xxhash64("block"), F.lit(shares)).alias("share"), F.pmod(F.xxhash64("chunk"), F.lit(parts)).alias("part"))
     pairs = materialize(pairs, "pairs")
     left = pairs.select("chunk", "share", "part").distinct().join(chunks, "chunk")
-    right = pairs.select("block", "share", "part").distinct().join(blocks, "block")
+    right = pairs.select("block", "share", "part").distinct().join(blocks, "block").withColumnsRenamed({"size": "size_", "share": "share_", "part": "part_"})
 
     def search(_, asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         found = [_search(row, held) for row in asks.itertuples(index=False)]
@@ -213,7 +213,6 @@ def exact_top_k(
             floors[rows_[full]] = np.maximum(floors[rows_[full]], scores_[full])
         return pd.DataFrame({"row": own[rows_], "query_id": names[rows_], "vec_id": ids_, "score": scores_.astype(np.int64)})
 
-    by = ["size", "share", "part"]
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "row long, query_id long, vec_id long, score long")
+    found = left.groupBy("size", "share", "part").cogroup(right.groupBy("size_", "share_", "part_")).applyInPandas(search, "row long, query_id long, vec_id long, score long")
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
