@@ -414,6 +414,60 @@ def test_pipeline(spark, odd, empty):
     assert rows.count() > 0 and rows.filter("size(ids) <> n_tokens").count() == 0
 
 
+def test_pipeline_stages_by_brute_force(spark):
+    """Each stage on what the one before it kept, against a plain computation."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from expatlas.llm import shingle_join
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").orderBy("doc_id").limit(90)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    known = stages["language_id"](spark, docs, DIR)
+    assert {r.doc_id for r in known.collect()} == {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
+
+    rows = sorted(known.collect(), key=lambda r: r.doc_id)
+    flat = [(k, x) for k, r in enumerate(rows) for x in r.text.split("\n")]
+    names = sorted({x for _, x in flat if x.strip()}, key=[x for _, x in flat].index)
+    letters = np.array([np.bincount([ord(c) % 64 for c in x], minlength=64) for x in names])
+
+    def close(i, j):
+        return np.abs(letters[i] - letters[j]).sum() <= 4 and near(names[i], names[j])
+
+    root = components(range(len(names)), close)
+    seen, want = set(), {}
+    for k, r in enumerate(rows):
+        kept = []
+        for x in r.text.split("\n"):
+            name = root[names.index(x)] if x.strip() else None
+            if name is None or name not in seen:
+                kept.append(x)
+            if name is not None:
+                seen.add(name)
+        if any(x.strip() for x in kept):
+            want[r.doc_id] = "\n".join(kept)
+    lines = stages["line_dedup"](spark, known, DIR)
+    assert {r.doc_id: r.text for r in lines.collect()} == want
+
+    rows = sorted(lines.collect(), key=lambda r: r.doc_id)
+    sets = [set(shingle_join.shingle_set(r.text, 5).tolist()) for r in rows]
+    root = components(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    single = stages["simhash"](spark, lines, DIR)
+    assert sorted(r.doc_id for r in single.collect()) == [r.doc_id for k, r in enumerate(rows) if root[k] == k]
+
+    mixed = stages["mixing"](spark, single, DIR)
+    taken = {r.doc_id: -(-r.taken // r["size"]) for r in mixing.mix_sources(single).collect() if r.taken}
+    assert Counter(r.doc_id for r in mixed.collect()) == Counter(taken)
+
+    library = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    texts = {r.doc_id: r.text for r in mixed.collect()}
+    out = stages["bpe"](spark, mixed, DIR).collect()
+    assert len(out) == sum(taken.values())
+    for r in out:
+        assert r.ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids and r.decoded == library.decode(r.ids, skip_special_tokens=False)
+
+
 def _changed(text, rng, share):
     return " ".join(w if rng.random() > share else f"new{rng.integers(10**6)}" for w in text.split())
 
