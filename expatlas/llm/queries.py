@@ -125,8 +125,8 @@ ORACLE_SQL = {
         p AS (SELECT d.doc_id, d.source, d.size, q.source_size, q.target, q.quota, greatest(1, CAST(((SELECT sum(quota) FROM q) + 65535) // 65536 AS BIGINT)) AS block,
                      coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.size), d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
               FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-        w AS (SELECT *, CAST(CASE WHEN size = 0 THEN 0 ELSE size * (quota // source_size) + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken FROM p),
-        b AS (SELECT w.*, row_number() OVER () AS n FROM w),
+        amounts AS (SELECT *, CAST(CASE WHEN size = 0 THEN 0 ELSE size * (quota // source_size) + greatest(0, least(size, quota % source_size - start)) END AS BIGINT) AS taken FROM p),
+        b AS (SELECT amounts.*, row_number() OVER () AS n FROM amounts),
         spans AS (SELECT n, source, block, pass * source_size + start AS low, least(pass * source_size + start + size, quota) AS high FROM b, range(3) r(pass) WHERE size > 0 AND pass * source_size + start < quota),
         firsts AS (SELECT n, min(slot) AS first_slot FROM (SELECT n, source, unnest(range(CAST(low // block AS BIGINT), CAST((high - 1) // block AS BIGINT) + 1)) AS rank FROM spans) x JOIN ranks ON ranks.source IS NOT DISTINCT FROM x.source AND ranks.rank = x.rank GROUP BY n)
         SELECT doc_id, size, source_size, target, taken, first_slot FROM b LEFT JOIN firsts USING (n)""",
