@@ -1,15 +1,19 @@
-"""Queries of the ten operators over the whole tables, and DuckDB SQL where it can say the same."""
+"""Queries of the operators over the whole tables, and DuckDB SQL where it can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from expatlas.llm.alignment import align_documents
+from expatlas.llm.common import WORD
 from expatlas.llm.embedding_dedup import embedding_duplicates
 from expatlas.llm.encoding import encode_documents
 from expatlas.llm.language_id import fit, identify
 from expatlas.llm.line_dedup import dedup_lines
 from expatlas.llm.mixing import mix_sources
+from expatlas.llm.periodic_runs import periodic_runs
+from expatlas.llm.positional_index import contamination
 from expatlas.llm.sharding import shard_documents
 from expatlas.llm.simhash import fingerprint_text, near_duplicates
 from expatlas.llm.suffix_dedup import remove_repeats
@@ -78,6 +82,39 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of ten words of benchmark items, and those items."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), "contaminated")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers fit together in every document."""
+    return align_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """A tenth of the documents, by the CRC of their ids, repeat a stretch of theirs up to the end."""
+    words, h = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)), F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    a = F.pmod(g, F.greatest(F.size("_w"), F.lit(1)))
+    p = 1 + F.floor((F.size("_w") - F.col("_a")) / (3 + F.pmod(g, F.lit(8))))
+    moved = F.transform("_w", lambda x, i: F.when(i < F.col("_a"), x).otherwise(F.get("_w", (F.col("_a") + F.pmod(i - F.col("_a"), F.col("_p"))).cast("int"))))
+    planted = documents.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_w")).withColumn("_a", a).withColumn("_p", p)
+    return planted.select("doc_id", F.when(F.size("_w") > 0, F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of them planted, and what is left without the repeats."""
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("_b"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    exponent = F.floor(F.lit(1000) * F.col("_b.length") / -F.col("_b.period")).cast("long")
+    return rows.select("doc_id", "n_runs", (-F.col("_b.start")).alias("start"), F.col("_b.length").alias("length"), (-F.col("_b.period")).alias("period"), exponent.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_language_id": op2_language_id,
@@ -89,9 +126,43 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op11_decontamination": op11_decontamination,
+    "op12_alignment": op12_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
+    "op11_decontamination": r"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        c AS (SELECT item, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS g FROM c),
+        sizes AS (SELECT DISTINCT l FROM windows),
+        e AS (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, sizes WHERE len(w) >= l),
+        met AS (SELECT r, i, e.l, item FROM e JOIN windows ON windows.l = e.l AND windows.g = array_to_string(w[i:i + e.l - 1], ' ')),
+        hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS p FROM met) GROUP BY r),
+        items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)""",
+    "op13_periodic_runs": r"""
+        WITH RECURSIVE crc AS (SELECT i, 0 AS r, CAST(i AS BIGINT) AS c FROM range(256) t(i)
+            UNION ALL SELECT i, r + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE r < 8),
+        crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE r = 8),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                     xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda x: CAST('0x' || x AS BIGINT)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295)) AS h
+              FROM documents, crc_table),
+        e AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a FROM d),
+        f AS (SELECT *, 1 + (len(w) - a) // (3 + (coalesce(h, 0) // 10) % 8) AS p FROM e),
+        words AS (SELECT r, i, CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END AS x FROM (SELECT r, w, a, p, unnest(range(len(w))) AS i FROM f)),
+        same AS (SELECT u.r, u.i, v.i - u.i AS q FROM words u JOIN words v ON u.r = v.r AND u.x = v.x AND u.i < v.i),
+        stretches AS (SELECT r, q, min(i) AS s, count(*) + q AS n FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM same) GROUP BY r, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+        runs AS (SELECT r, s, n, min(q) AS q FROM stretches GROUP BY r, s, n),
+        told AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines, min((-n, s, q)) AS best FROM runs GROUP BY r),
+        dropped AS (SELECT DISTINCT r, unnest(range(s + q, s + n)) AS i FROM runs),
+        kept AS (SELECT words.r, string_agg(x, ' ' ORDER BY words.i) AS t FROM words ANTI JOIN dropped ON words.r = dropped.r AND words.i = dropped.i GROUP BY words.r)
+        SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best[2] AS BIGINT) AS start, CAST(-best[1] AS BIGINT) AS length, CAST(best[3] AS BIGINT) AS period,
+               CAST(1000 * -best[1] // best[3] AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+        FROM f LEFT JOIN told USING (r) LEFT JOIN kept USING (r)""",
     "op7_topk": """
         WITH v AS (SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(256.0::DOUBLE * CAST(x AS DOUBLE))) AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
