@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from expatlas.llm.positional_index import pack, unpack
 from expatlas.llm.vocabulary import byte_symbols
 from expatlas.scratch import discard, materialize, ship
 
@@ -93,7 +94,7 @@ class Aligner:
     when they hold more than ``most``.
     """
 
-    def __init__(self, file_a: str, model_b: bytes, most: int = 600_000) -> None:
+    def __init__(self, file_a: str, model_b: bytes, most: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         import tokenizers
@@ -200,6 +201,7 @@ class Aligner:
             digest = hashlib.sha256("".join(map(self.groups.__getitem__, at.tolist()))[:-1].encode()).hexdigest()
             out.append((*self.sizes[at].sum(axis=0).tolist(), digest))
             ptr[i + 1] = len(at)
+            at.sort()
             rows.append(at)
         met, at = np.unique(np.concatenate(rows), return_inverse=True) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         sizes = np.diff(self.links.ptr)[met]
@@ -237,7 +239,20 @@ def _array(x: bytes) -> np.ndarray:
     return np.frombuffer(x, np.uint32).astype(np.int64)
 
 
-def align_documents(documents: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", segment_chars: int = 4 << 20) -> DataFrame:
+def _packed_rows(m: Csr) -> bytes:
+    """The columns of a matrix as distances within each row, in few bytes."""
+    gaps = np.diff(m.columns, prepend=0)
+    heads = m.ptr[:-1][np.diff(m.ptr) > 0]
+    gaps[heads] = m.columns[heads]
+    return pack(gaps)[0].tobytes()
+
+
+def _unpacked_rows(blob: bytes, ptr: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(unpack(blob))])
+    return total[1:] - np.repeat(total[ptr[:-1]], np.diff(ptr))
+
+
+def align_documents(documents: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", segment_chars: int = 2 << 20) -> DataFrame:
     """Tokens of a space and every whole text by two tokenizers, and how they fit together.
 
     ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``: tokens by either side;
@@ -269,7 +284,7 @@ def align_documents(documents: DataFrame, path_a: str, path_b: str, doc_id: str
             named = [dict(zip(("n_a", "n_b", "n_groups", "groups_sha256"), x, strict=True)) for x in found]
             of_chunk = np.bincount(docs.columns, minlength=docs.width)
             counts = np.bincount(chunks.columns, np.repeat(of_chunk, np.diff(chunks.ptr)), len(pairs)).astype(np.int64)
-            blobs = [pa.array([_blob(x)], pa.binary()) for x in (docs.ptr, docs.columns, chunks.ptr, chunks.columns)]
+            blobs = [pa.array([x], pa.binary()) for x in (_blob(docs.ptr), _packed_rows(docs), _blob(chunks.ptr), _blob(chunks.columns))]
             whole = pa.concat_arrays(ids)
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
             return pa.RecordBatch.from_arrays([pa.array([segment], pa.int64()), one(whole), pa.array([named], shape), *blobs, one(pa.array(pairs)), one(pa.array(counts))], columns)
@@ -301,7 +316,8 @@ def align_documents(documents: DataFrame, path_a: str, path_b: str, doc_id: str
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, digests, *matrices, n, best = (c[i] for c in batch.columns)
-                text_ptr, text_chunks, chunk_ptr, chunk_pairs = (_array(x.as_py()) for x in matrices)
+                text_ptr, chunk_ptr, chunk_pairs = (_array(matrices[m].as_py()) for m in (0, 2, 3))
+                text_chunks = _unpacked_rows(matrices[1].as_py(), text_ptr)
                 count = np.array(n.as_py() or [], np.int64)
                 is_best = np.array(best.as_py() or [], np.int64)
                 zero = lambda v, ptr: np.concatenate([[0], np.cumsum(v)])[ptr]

@@ -72,8 +72,8 @@ def re_pair(sequences: list[list[int]], terminals: int) -> tuple[list[tuple[int,
         base, m = len(symbol), len(s)
         starts.append(base if s else -1)
         symbol += s
-        after += [*range(base + 1, base + m), -1]
-        before += [-1, *range(base, base + m - 1)]
+        after += [*range(base + 1, base + m), -1][:m]
+        before += [-1, *range(base, base + m - 1)][:m]
         for i, pair in enumerate(zip(s, s[1:], strict=False), base):
             pairs[pair].append(i)
     rules: list[tuple[int, int]] = []
