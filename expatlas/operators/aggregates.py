@@ -199,12 +199,6 @@ def percentile_columns(df: DataFrame, col: str, points: dict[float, str], by: li
     return found.groupBy(*by).agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in points.items()])
 
 
-def gaps_between(df: DataFrame, part: str, start: str, end: str) -> DataFrame:
-    """What lies between a row's end and the next row's start."""
-    following = F.lead(start).over(Window.partitionBy(part).orderBy(start, end))
-    return df.select(part, (F.col(end) + 1).alias("gap_start"), (following - 1).alias("gap_end")).filter("gap_start <= gap_end")
-
-
 def zscore(df: DataFrame, part: list[str], col: str, out: str = "z") -> DataFrame:
     """Groups' means and deviations are aggregated and joined back, as there may be few, large groups."""
     stats = df.groupBy(*part).agg(F.avg(col).alias("_m"), F.stddev_samp(col).alias("_s")).withColumnsRenamed({c: f"_k_{c}" for c in part})

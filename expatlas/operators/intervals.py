@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from expatlas.operators.aggregates import sequence_ids
+from expatlas.scratch import ship
 
 
 def islands(df: DataFrame, by: list[str], start: str = "start", stop: str = "stop", touching: bool = False, tile: int = 1 << 16) -> DataFrame:
@@ -105,23 +108,119 @@ def merge(df: DataFrame, by: list[str]) -> DataFrame:
     return islands(df, by, touching=True).groupBy(*by, "island").agg(F.max("stop").alias("stop")).withColumnRenamed("island", "start").select(*by, "start", "stop")
 
 
+def neighbours(df: DataFrame, by: list[str], start: str, stop: str, tile: int = 1 << 16) -> DataFrame:
+    """Add ``_ended``, the largest end of the rows before in the order of starts, and ``_next``, the start of the row behind.
+
+    Starts are cut into tiles; ends and starts are carried over the short list of tiles, as in
+    ``islands``, so that no task holds a chromosome.
+    """
+    placed = df.withColumn("_tile", F.floor(F.col(start) / tile))
+    tiles, same = Window.partitionBy(*by).orderBy("_tile"), [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+    ends = placed.groupBy(*by, "_tile").agg(F.max(stop).alias("_e"), F.min(start).alias("_s"))
+    ends = ends.select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_tile").alias("_t"), F.max("_e").over(tiles.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.lead("_s").over(tiles).alias("_behind"))
+    inside = Window.partitionBy(*by, "_tile").orderBy(start, stop)
+    rows = placed.withColumn("_in", F.max(stop).over(inside.rowsBetween(Window.unboundedPreceding, -1))).withColumn("_out", F.lead(start).over(inside))
+    met = rows.join(ends, [*same, F.col("_tile").eqNullSafe(F.col("_t"))])
+    return met.select(*df.columns, F.greatest("_in", "_before").alias("_ended"), F.coalesce("_out", "_behind").alias("_next"))
+
+
 def complement(df: DataFrame, sizes: DataFrame, by: str = "chrom") -> DataFrame:
     """Half-open gaps between merged intervals, up to the ends of each chromosome."""
     merged = merge(df, [by])
-    w = Window.partitionBy(by).orderBy("start")
-    gaps = merged.select(by, F.coalesce(F.lag("stop").over(w), F.lit(0)).alias("_from"), F.col("start").alias("_to"))
+    gaps = neighbours(merged, [by], "start", "stop").select(by, F.coalesce("_ended", F.lit(0)).alias("_from"), F.col("start").alias("_to"))
     last = sizes.join(merged.groupBy(by).agg(F.max("stop").alias("_end")), by, "left").select(by, F.coalesce("_end", F.lit(0)).alias("_from"), F.col("size").alias("_to"))
     return gaps.union(last).filter("_from < _to").select(by, F.col("_from").alias("start"), F.col("_to").alias("stop"))
 
 
-def elementary(df: DataFrame, tile: int = 1 << 16) -> DataFrame:
-    """Coverage runs cut at every edge of any sample: ``chrom, start, stop, sample, value``, tile by tile."""
-    tiles = F.sequence(F.floor(F.col("start") / tile), F.floor((F.col("stop") - 1) / tile))
-    cut = df.withColumn("_tile", F.explode(tiles)).withColumns({"start": F.greatest("start", F.col("_tile") * tile), "stop": F.least("stop", (F.col("_tile") + 1) * tile)})
-    edges = cut.select("chrom", "_tile", F.explode(F.array("start", "stop")).alias("_from")).distinct()
-    edges = edges.withColumn("_to", F.lead("_from").over(Window.partitionBy("chrom", "_tile").orderBy("_from"))).filter("_to is not null")
-    met = edges.join(cut, ["chrom", "_tile"]).filter("start <= _from and stop >= _to")
-    return met.select("chrom", F.col("_from").alias("start"), F.col("_to").alias("stop"), "sample", "value")
+def gaps_between(df: DataFrame, part: str, start: str, end: str, tile: int = 1 << 16) -> DataFrame:
+    """What lies between a row's end and the next row's start."""
+    rows = neighbours(df.select(part, start, end), [part], start, end, tile)
+    return rows.select(part, (F.col(end) + 1).alias("gap_start"), (F.col("_next") - 1).alias("gap_end")).filter("gap_start <= gap_end")
+
+
+def _tiled(df: DataFrame, tile: int, most: int) -> DataFrame:
+    """Coverage runs cut at the borders of tiles, ``_low`` the tile's first place; ``_from`` is where a run began.
+
+    Tiles with over ``most`` runs are halved as often as that takes, so that a dense stretch is many groups.
+    """
+
+    def cut(rows: DataFrame, width: Column) -> DataFrame:
+        low = F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("stop") - 1) / width)))
+        return rows.withColumn("_i", low).withColumn("_low", F.col("_i") * width).withColumns({"start": F.greatest("start", "_low"), "stop": F.least("stop", F.col("_low") + width)}).drop("_i")
+
+    rows = cut(df.filter("start < stop").withColumn("_from", F.col("start")), F.lit(tile))
+    halvings = F.least(F.greatest(F.ceil(F.log2(F.count("*") / F.lit(float(most)))), F.lit(0)), F.lit(tile.bit_length() - 1)).cast("int")
+    width = F.expr(f"shiftright({tile}, _halved)")
+    dense = rows.groupBy("chrom", "_low").agg(halvings.alias("_halved")).select(F.col("chrom").alias("_c"), F.col("_low").alias("_l"), width.alias("_width"))
+    met = rows.join(dense, F.col("chrom").eqNullSafe(F.col("_c")) & (F.col("_low") == F.col("_l")))
+    return cut(met.drop("_low"), F.col("_width")).drop("_c", "_l", "_width")
+
+
+#: Rows of places and columns of samples, NaN where a sample has no run, to one value a row.
+_REDUCE: dict[str, Callable[[np.ndarray], np.ndarray]] = {
+    "sum": lambda v: v.sum(axis=1), "mean": lambda v: v.mean(axis=1), "max": lambda v: v.max(axis=1), "median": lambda v: np.quantile(v, 0.5, axis=1),
+    "p75": lambda v: np.quantile(v, 0.75, axis=1), "p95": lambda v: np.quantile(v, 0.95, axis=1), "positive": lambda v: (v > 0).sum(axis=1).astype(float),
+}
+
+
+def _sweep(start: np.ndarray, stop: np.ndarray, begun: np.ndarray, sample: np.ndarray, value: np.ndarray, cells: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Starts, ends and samples' values between all edges of some runs, blocks of ``cells`` numbers at a time.
+
+    Edges are passed in order with every sample's current value at hand, so that the work grows with
+    edges times samples. Of overlapping runs of a sample the later one cuts the earlier off.
+    """
+    order = np.lexsort((begun, start, sample))
+    start, stop, sample, value = start[order], stop[order], sample[order], value[order]
+    stop[:-1] = np.where(sample[1:] == sample[:-1], np.minimum(stop[:-1], start[1:]), stop[:-1])
+    kept = start < stop
+    start, stop, sample, value = start[kept], stop[kept], sample[kept], value[kept]
+    edges = np.unique(np.concatenate([start, stop]))
+    at = np.concatenate([np.searchsorted(edges, stop), np.searchsorted(edges, start)])  # a run's end comes before the next run's start
+    who, what = np.concatenate([sample, sample]), np.concatenate([np.full(len(stop), np.nan), value])
+    order = np.argsort(at, kind="stable")
+    at, who, what = at[order], who[order], what[order]
+    state, step = np.full(int(sample.max()) + 1 if len(sample) else 1, np.nan), 0
+    step = max(1, cells // len(state))
+    for low in range(0, len(edges) - 1, step):
+        high = min(low + step, len(edges) - 1)
+        a, b = np.searchsorted(at, [low, high])
+        block, changed = np.empty((high - low + 1, len(state))), np.zeros((high - low + 1, len(state)), np.int64)
+        block[0] = state
+        block[at[a:b] - low + 1, who[a:b]] = what[a:b]
+        changed[at[a:b] - low + 1, who[a:b]] = at[a:b] - low + 1
+        full = np.take_along_axis(block, np.maximum.accumulate(changed, axis=0), axis=0)
+        state = full[-1].copy()
+        yield edges[low:high], edges[low + 1 : high + 1], full[1:]
+
+
+def swept(df: DataFrame, how: str, samples: int, missing: str = "zero", tile: int = 1 << 16, most: int = 100_000) -> DataFrame:
+    """``chrom, start, stop, value``: an aggregate over samples between any two edges that some run covers.
+
+    Every tile's edges are swept once by one task; ``most`` bounds the runs of a tile. A sample
+    without a run, or with a null in it, counts as 0, or makes the place null (``propagate``).
+    """
+    rows = _tiled(df.select("chrom", "start", "stop", "sample", F.col("value").cast("double").alias("value")), tile, most)
+    kind, place = df.schema["chrom"].dataType.simpleString(), {"start": "bigint", "stop": "bigint"}
+    ship(df.sparkSession)
+
+    def run(group: pa.Table) -> pa.Table:
+        column = lambda c: group.column(c).to_numpy()
+        sample = group.column("sample").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        own = int(sample.max()) + 1
+        wide = max(own, samples)
+        parts = []
+        for start, stop, values in _sweep(*(column(c).astype(np.int64) for c in ("start", "stop", "_from")), sample, column("value").astype(float), (1 << 20) * own // wide):
+            there = np.count_nonzero(~np.isnan(values), axis=1)
+            on = there > 0
+            filled = np.zeros((np.count_nonzero(on), wide))
+            filled[:, : values.shape[1]] = np.where(np.isnan(values[on]), 0.0, values[on])
+            told = _REDUCE[how](filled) if len(filled) else np.zeros(0)
+            parts.append(pa.table({"start": start[on], "stop": stop[on], "value": pa.array(told, mask=(there[on] < samples) if missing != "zero" else None)}))
+        whole = pa.concat_tables(parts) if parts else pa.table({"start": pa.array([], pa.int64()), "stop": pa.array([], pa.int64()), "value": pa.array([], pa.float64())})
+        chrom = pa.DictionaryArray.from_arrays(pa.array(np.zeros(whole.num_rows, np.int32)), group.column("chrom").slice(0, 1).combine_chunks()).dictionary_decode()
+        return whole.add_column(0, "chrom", chrom)
+
+    return rows.groupBy("chrom", "_low").applyInArrow(run, f"chrom {kind}, " + ", ".join(f"{c} {t}" for c, t in place.items()) + ", value double")
 
 
 def merge_coverage(df: DataFrame, how: str, samples: int, missing: str = "zero", region: tuple | None = None, scale: bool = False, threshold: float | None = None) -> DataFrame:
@@ -133,29 +232,10 @@ def merge_coverage(df: DataFrame, how: str, samples: int, missing: str = "zero",
     if region:
         chrom, a, b = region
         df = df.filter((F.col("chrom") == chrom) & (F.col("start") < b) & (F.col("stop") > a)).withColumns({"start": F.greatest("start", F.lit(a)), "stop": F.least("stop", F.lit(b))})
-    lists = elementary(df).groupBy("chrom", "start", "stop").agg(F.collect_list("value").alias("_v"))
-    short = F.lit(samples) - F.size("_v")
-    filled = F.concat("_v", F.array_repeat(F.lit(0.0), short)) if missing == "zero" else F.when(short <= 0, F.col("_v"))
-    value = _over_array(filled, how)
-    if scale:
-        value = value / samples
+    value = F.col("value") / samples if scale else F.col("value")
     if threshold is not None:
         value = F.when(value < threshold, 0.0).otherwise(value)
-    return compress(lists.select("chrom", "start", "stop", value.alias("value")))
-
-
-def _over_array(values: Column, how: str) -> Column:
-    total = F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
-    if how == "sum":
-        return total
-    if how == "mean":
-        return total / F.size(values)
-    if how == "max":
-        return F.array_max(values)
-    q = {"median": 0.5, "p75": 0.75, "p95": 0.95}[how]
-    ordered, place = F.array_sort(values), (F.size(values) - 1) * F.lit(q)
-    low, high = F.floor(place).cast("int"), F.ceil(place).cast("int")
-    return F.get(ordered, low) + (F.get(ordered, high) - F.get(ordered, low)) * (place - low)
+    return compress(swept(df, how, samples, missing).withColumn("value", value))
 
 
 def compress(df: DataFrame, tile: int = 1 << 16) -> DataFrame:
@@ -223,16 +303,14 @@ def feature_metadata(features: DataFrame, names: DataFrame, inclusive: bool = Fa
 
 def coverage_prevalence(df: DataFrame, samples: int) -> DataFrame:
     """Share of the samples with coverage at each place."""
-    seen = elementary(df).groupBy("chrom", "start", "stop").agg((F.count_if(F.col("value") > 0) / samples).alias("value"))
-    return compress(seen)
+    return compress(swept(df, "positive", samples).withColumn("value", F.col("value") / samples))
 
 
 def background_level(coverage: DataFrame, features: DataFrame, sizes: DataFrame, q: float = 0.99) -> DataFrame:
     """Median over chromosomes of the coverage percentile outside features; uncovered places are zeros."""
     gaps = complement(features, sizes)
-    closed = coverage.withColumn("stop", F.col("stop") - 1)
-    met = overlap_join(gaps.withColumn("stop", F.col("stop") - 1), closed.select("chrom", "start", "stop", "value"), ["chrom"])
-    parts = met.select("chrom", F.col("b_value").alias("value"), (F.least("stop", "b_stop") - F.greatest("start", "b_start") + 1).alias("n"))
+    met = overlap_join(gaps, coverage.select("chrom", "start", "stop", "value"), ["chrom"])
+    parts = met.select("chrom", F.col("b_value").alias("value"), (F.least("stop", "b_stop") - F.greatest("start", "b_start")).alias("n"))
     whole = gaps.groupBy("chrom").agg(F.sum(F.col("stop") - F.col("start")).alias("_n"))
     zero = whole.join(parts.groupBy("chrom").agg(F.sum("n").alias("_c")), "chrom", "left").select("chrom", F.lit(0.0).alias("value"), (F.col("_n") - F.coalesce("_c", F.lit(0))).alias("n"))
     weighted = parts.union(zero).filter("n > 0").groupBy("chrom").agg(F.percentile("value", F.lit(q), F.col("n")).alias("level"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from expatlas.functions.text import person, replace_phrases, scrub_title, tokens
+from expatlas.scratch import materialize
 
 
 def build_documents(df: DataFrame, key: str, cols: list[str], phrases: list[tuple[str, str]]) -> DataFrame:
@@ -26,6 +27,7 @@ def top_terms(docs: DataFrame, key: str, text: str, vocabulary: DataFrame) -> Da
 def weights(docs: DataFrame, key: str, text: str, sublinear: bool = False, smooth: bool = False, least_docs: int = 1) -> DataFrame:
     """TF-IDF of the tokens, each document of length 1: ``key, term, weight``."""
     counts = docs.select(key, F.explode(tokens(F.lower(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    counts = materialize(counts, "terms")  # read twice, tokens are split once
     seen = counts.groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least_docs)
     total = docs.agg(F.count("*").alias("_docs"))
     tf = 1 + F.log("n") if sublinear else F.col("n")

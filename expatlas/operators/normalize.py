@@ -148,7 +148,7 @@ def corr_matrix(counts: DataFrame, per_block: int = 256) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     dealt = groups.withColumn("_other", other).withColumns({"_p": F.least("block", "_other"), "_q": F.greatest("block", "_other")})
 
-    def multiply(key, x: pd.DataFrame) -> pd.DataFrame:
+    def multiply(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
         """Rows, sparse, of two blocks (or one) to their correlations, a stretch of features at a time."""
         first, second = x[x["block"] == key[0]], x[x["block"] == key[1]]
         named, at = np.unique(np.concatenate([np.concatenate(list(part["f"])) for part in (first, second)]), return_inverse=True) if len(first) and len(second) else (np.zeros(0), np.zeros(0, int))
@@ -324,33 +324,6 @@ def pca(df: DataFrame, cols: list[str], k: int) -> tuple[DataFrame, DataFrame, D
     return model.transform(whole).withColumn("pc", vector_to_array("_p")).drop("_v", "_p"), ratio, loadings
 
 
-def covariance_rows(vectors: DataFrame) -> DataFrame:
-    """Covariance of the components, long, in one aggregation: means, and products ``i <= j``."""
-    x = F.col("vector")
-    wide = vectors.filter(x.isNotNull()).select(F.posexplode(F.transform(x, lambda c, i: F.struct(c.alias("a"), F.slice(x, i + 1, F.size(x) - i).alias("rest")))).alias("i", "p"))
-    pairs = wide.select("i", F.col("p.a").alias("a"), F.posexplode("p.rest").alias("o", "b"))
-    return pairs.groupBy("i", (F.col("i") + F.col("o")).alias("j")).agg(F.covar_pop("a", "b").alias("cov"))
-
-
-def shrunk_cov(vectors: DataFrame, shrinkage: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """Covariance shrunk towards a multiple of the identity, and its inverse; p x p numbers come to the driver."""
-    rows = covariance_rows(vectors).collect()
-    p = 1 + max(r["j"] for r in rows)
-    c = np.zeros((p, p))
-    for r in rows:
-        c[r["i"], r["j"]] = c[r["j"], r["i"]] = r["cov"]
-    c = (1 - shrinkage) * c + shrinkage * np.trace(c) / p * np.eye(p)
-    return c, np.linalg.inv(c)
-
-
-def whiten(vectors: DataFrame, inverse: np.ndarray) -> DataFrame:
-    """Vectors whose Euclidean distances are Mahalanobis distances."""
-    root = np.linalg.cholesky(inverse).T.tolist()
-    lines = F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in root])
-    dot = lambda line: F.aggregate(F.zip_with(line, "vector", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return vectors.withColumn("vector", F.transform(lines, dot))
-
-
 def binned_profiles(vectors: DataFrame, bins: int) -> DataFrame:
     """Each component's equal-width bin, from 0, between its least and largest value; constant components are all 0."""
     ends = vectors.select(F.posexplode("vector").alias("i", "x")).groupBy("i").agg(F.min("x").alias("a"), F.max("x").alias("b"))
@@ -370,7 +343,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean
     rows = vectors.select("id", "vector", home[0].alias("r"), F.explode(F.sequence(F.lit(0), F.lit(shares[1] - 1))).alias("c"))
     asks = queries.select("id", "vector", F.explode(F.sequence(F.lit(0), F.lit(shares[0] - 1))).alias("r"), home[1].alias("c"))
 
-    def nearest(_, x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+    def nearest(_: tuple, x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(x) and len(q):
             m, ids = np.array(list(x["vector"]), np.float64), x["id"].to_numpy()
@@ -388,15 +361,6 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean
     return met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def mahalanobis_to_mean(vectors: DataFrame, shrinkage: float = 0.0) -> DataFrame:
-    """Squared distance of each row to the mean."""
-    _, inverse = shrunk_cov(vectors, shrinkage)
-    white = whiten(vectors, inverse)
-    means = white.select(F.posexplode("vector").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("_mean"))
-    gap = F.aggregate(F.zip_with("vector", "_mean", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    return white.join(F.broadcast(means)).select("id", gap.alias("distance2"))
-
-
 def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.groupBy(label, pred).agg(F.count("*").alias("n"))
 

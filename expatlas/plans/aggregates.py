@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from expatlas.functions import text as X
 from expatlas.operators import aggregates as A
+from expatlas.operators import intervals as R
 from expatlas.plans.base import BRIDGE, COUNTS, bridge, counts, query
 from expatlas.scratch import table
 
@@ -210,7 +211,7 @@ def w06_with_group_total(spark, d):
 @query("WITH x AS (SELECT user_id, event_id * 10 AS s, event_id * 10 + CAST(floor(value) AS BIGINT) AS e FROM events), n AS (SELECT user_id, e + 1 AS gap_start, lead(s) OVER (PARTITION BY user_id ORDER BY s, e) - 1 AS gap_end FROM x) SELECT * FROM n WHERE gap_start <= gap_end")
 def w08_gaps_between(spark, d):
     x = table(spark, d, "events").select("user_id", (F.col("event_id") * 10).alias("s"), (F.col("event_id") * 10 + F.floor("value")).alias("e"))
-    return A.gaps_between(x, "user_id", "s", "e")
+    return R.gaps_between(x, "user_id", "s", "e")
 
 
 @query("SELECT event_id, round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS z FROM events WINDOW w AS (PARTITION BY event_type)")

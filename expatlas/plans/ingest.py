@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from expatlas.functions.text import scrub_title
@@ -170,9 +170,15 @@ def s13_ingest_sn(spark, d):
     return S.ingest_sn(spark, path, ["raw total sequences", "average length"])
 
 
+def _decimal(part: str, whole: str, digits: int) -> Column:
+    """A percentage as text, cut off after some digits, made of whole numbers so that any engine writes the same."""
+    scaled = F.floor(F.col(part) * 100 * 10**digits / F.col(whole))
+    return F.concat(F.floor(scaled / 10**digits).cast("string"), F.lit("."), F.lpad((scaled % 10**digits).cast("string"), digits, "0"))
+
+
 def _trim_files(spark, d):
     s, thousands = _suppliers(spark, d), lambda c: F.format_number(c, 0)
-    share = F.format_string("%.1f", F.col("r") * 100.0 / F.col("n"))
+    share = _decimal("r", "n", 1)
     return _report(
         s, "trim", F.concat(F.lit("Total reads processed:           "), thousands("q")), F.concat(F.lit("Reads with adapter:              "), thousands("r"), F.lit(" ("), share, F.lit("%)")),
         F.concat(F.lit("Reads that were too short:       "), thousands("a")), F.concat(F.lit("Reads written (passing filters): "), thousands("o")),
@@ -180,7 +186,7 @@ def _trim_files(spark, d):
     )
 
 
-@query(f"WITH {_SUP} SELECT sample, r AS adapters_R1, CAST(printf('%.1f', r * 100.0::DOUBLE / n) AS DOUBLE) AS pct_adapters_R1, q AS total_processed, o AS total_written, a AS too_short FROM sup")
+@query(f"WITH {_SUP} SELECT sample, r AS adapters_R1, CAST((r * 1000 // n) // 10 || '.' || (r * 1000 // n) % 10 AS DOUBLE) AS pct_adapters_R1, q AS total_processed, o AS total_written, a AS too_short FROM sup")
 def s14_ingest_trim(spark, d):
     return S.ingest(spark, "trim", _trim_files(spark, d)).drop("adapters_R2", "pct_adapters_R2")
 
@@ -190,12 +196,12 @@ def s14_trim_adapters(spark, d):
     return S.trim_adapters(spark, _trim_files(spark, d))
 
 
-@query(f"WITH {_SUP} SELECT sample, CAST(n AS DOUBLE) AS num_reads, CAST(n AS DOUBLE) AS num_reads_unpaired, CAST(NULL AS DOUBLE) AS num_reads_paired, CAST(a AS DOUBLE) AS num_unaligned, CAST(r AS DOUBLE) AS num_uniquely_aligned, CAST(o AS DOUBLE) AS num_multimappers, CAST(printf('%.2f', r * 100.0::DOUBLE / n) AS DOUBLE) AS per_alignment FROM sup")
+@query(f"WITH {_SUP} SELECT sample, CAST(n AS DOUBLE) AS num_reads, CAST(n AS DOUBLE) AS num_reads_unpaired, CAST(NULL AS DOUBLE) AS num_reads_paired, CAST(a AS DOUBLE) AS num_unaligned, CAST(r AS DOUBLE) AS num_uniquely_aligned, CAST(o AS DOUBLE) AS num_multimappers, CAST((r * 10000 // n) // 100 || '.' || lpad(CAST((r * 10000 // n) % 100 AS VARCHAR), 2, '0') AS DOUBLE) AS per_alignment FROM sup")
 def s15_ingest_align(spark, d):
     def of(c, text):
         return F.concat(F.lit("    "), F.col(c).cast("string"), F.lit(f" (1.00%) {text}"))
 
-    path = _report(_suppliers(spark, d), "align", F.concat(F.col("n").cast("string"), F.lit(" reads; of these:")), of("n", "were unpaired; of these:"), of("a", "aligned 0 times"), of("r", "aligned exactly 1 time"), of("o", "aligned >1 times"), F.concat(F.format_string("%.2f", F.col("r") * 100.0 / F.col("n")), F.lit("% overall alignment rate")))
+    path = _report(_suppliers(spark, d), "align", F.concat(F.col("n").cast("string"), F.lit(" reads; of these:")), of("n", "were unpaired; of these:"), of("a", "aligned 0 times"), of("r", "aligned exactly 1 time"), of("o", "aligned >1 times"), F.concat(_decimal("r", "n", 2), F.lit("% overall alignment rate")))
     return S.ingest(spark, "align", path).select("sample", "num_reads", "num_reads_unpaired", "num_reads_paired", "num_unaligned", "num_uniquely_aligned", "num_multimappers", "per_alignment")
 
 
@@ -239,6 +245,10 @@ def s18_read_features(spark, d):
     return _features(spark, d).select("chrom", "start", "stop", F.array_join(F.col("attrs")["gene_id"], "|").alias("genes"), F.col("attrs")["transcript_id"][0].alias("transcript"))
 
 
+_STRUCTURE = """e AS (SELECT DISTINCT 'g' || l_suppkey AS gene, l_orderkey % 5 AS t, l_partkey * 10 AS s, l_partkey * 10 + 7 + l_linenumber AS e FROM lineitem), x AS (SELECT *, lead(s) OVER (PARTITION BY gene, t ORDER BY s, e) AS n FROM e),
+    g AS (SELECT gene, count(DISTINCT t) AS transcripts, count(DISTINCT s || '-' || e) AS exons, count(DISTINCT CASE WHEN n > e + 1 THEN (e + 1) || '-' || (n - 1) END) AS introns FROM x GROUP BY gene)"""
+
+
 @query("""WITH e AS (SELECT DISTINCT 'g' || l_suppkey AS gene, l_orderkey % 5 AS t, l_partkey * 10 AS s, l_partkey * 10 + 7 + l_linenumber AS e FROM lineitem), x AS (SELECT *, lead(s) OVER (PARTITION BY gene, t ORDER BY s, e) AS n FROM e)
     SELECT gene, count(DISTINCT t) AS transcripts, count(DISTINCT s || '-' || e) AS exons, count(DISTINCT CASE WHEN n > e + 1 THEN (e + 1) || '-' || (n - 1) END) AS introns FROM x GROUP BY gene""")
 def a28_feature_structure(spark, d):
@@ -246,6 +256,11 @@ def a28_feature_structure(spark, d):
     return R.feature_structure(exons)
 
 
+@query(f"WITH {_STRUCTURE}, l AS (SELECT unnest(['transcripts', 'exons', 'introns']) AS feature, unnest([transcripts, exons, introns]) AS n FROM g) SELECT feature, quantile_cont(n, 0.25) AS q1, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.75) AS q3 FROM l GROUP BY 1")
+def a28_structure_quartiles(spark, d):
+    return R.structure_quartiles(a28_feature_structure(spark, d))
+
+
 @query("SELECT DISTINCT p_type AS term FROM part WHERE NOT contains(p_type, 'ECONOMY')")
 def s19_read_terms(spark, d):
     path = _folder(spark, "terms")
@@ -413,8 +428,9 @@ def _rows(spark, d):
 def m08_repeated_votes(spark, d):
     from expatlas.operators.aggregates import vote_consensus
 
-    votes = M.repeated_votes(_rows(spark, d).filter("label <> 'OTHER'"), _COLS, "label", "id", 5)
-    return vote_consensus(votes, "id", "predicted", 5, 2)
+    x = _rows(spark, d)
+    votes = M.repeated_votes(x.filter("label <> 'OTHER'"), _COLS, "label", "id", 20, 0.2, others=x.filter("label = 'OTHER'"))
+    return vote_consensus(votes, "id", "predicted", 20, 15)
 
 
 @query()
@@ -448,7 +464,7 @@ def m11_svm_weights(spark, d):
 
 @query()
 def m12_cross_validate(spark, d):
-    return M.cross_validate(_rows(spark, d).filter("label <> 'OTHER'"), _COLS, "label", "id", 3, [{"components": 0, "trees": 10}, {"components": 2, "trees": 10}])
+    return M.cross_validate(_rows(spark, d).filter("label <> 'OTHER'"), _COLS, "label", "id", [2, 4], [0.01, 1.0], folds=5, repeats=2)
 
 
 @query()

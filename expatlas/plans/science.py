@@ -12,6 +12,7 @@ from expatlas.operators import labels as T
 from expatlas.operators import normalize as N
 from expatlas.operators import outliers as M
 from expatlas.operators import reads as Q
+from expatlas.operators import vectors as V
 from expatlas.plans.base import COUNTS, LENGTHS, counts, lengths, query
 from expatlas.scratch import materialize, shared_dir, table
 
@@ -140,12 +141,20 @@ def r15_intersect_fraction(spark, d):
     return R.intersect_fraction(*_halves(spark, d), ["chrom"], 0.9, True).select("name", "b_name", "shared")
 
 
-@query()
+@query(f"""WITH {_IV}, ev AS (SELECT * FROM iv WHERE CAST(name AS BIGINT) % 2 = 0){_MRG.replace("FROM iv)", "FROM ev)")}, {_SZ}, {_TRACK},
+    g AS (SELECT chrom, coalesce(lag(stop) OVER (PARTITION BY chrom ORDER BY start), 0) AS start, start AS stop FROM merged UNION ALL SELECT chrom, max(stop), max(size) FROM merged JOIN sizes USING (chrom) GROUP BY chrom),
+    at AS (SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos, list_sum(v) AS value FROM cov), free AS (SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos FROM g WHERE start < stop)
+    SELECT median(level) AS level FROM (SELECT chrom, quantile_cont(coalesce(value, 0), 0.99) AS level FROM free LEFT JOIN at USING (chrom, pos) GROUP BY chrom)""")
 def r16_background_level(spark, d):
     a = intervals(spark, d).filter(F.col("name").cast("long") % 2 == 0).select("chrom", "start", "stop", "name")
     return R.background_level(R.merge_coverage(_track(spark, d), "sum", 3), a, sizes(spark, d))
 
 
+@query(f"WITH {_IV} SELECT name, greatest(value - 20, 0) AS value FROM iv")
+def r16_subtract_clip(spark, d):
+    return R.subtract_clip(intervals(spark, d), 20.0).select("name", "value")
+
+
 @query(f"WITH {_TRACK} SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos, CAST(len(list_filter(v, lambda x: x > 0)) AS DOUBLE) / 3 AS value FROM cov")
 def r17_coverage_prevalence(spark, d):
     return _positions(R.coverage_prevalence(_track(spark, d), 3))
@@ -157,6 +166,11 @@ def r18_scale_by_max(spark, d):
     return R.scale_by_max(x.filter("strand = '+'").drop("strand"), x.filter("strand = '-'").drop("strand")).select("name", F.round("value", 8).alias("value"))
 
 
+@query(f"WITH {_IV}, t AS (SELECT chrom, min((-value, start))[2] AS at FROM iv GROUP BY chrom) SELECT chrom, greatest(at - 500, 0) AS start, at + 500 AS stop FROM t")
+def r18_window_around_max(spark, d):
+    return R.window_around_max(intervals(spark, d), 500)
+
+
 # -- normalisation and statistics -------------------------------------------------------------------
 
 
@@ -165,6 +179,12 @@ def n01_cpm(spark, d):
     return N.cpm(counts(spark, d), log="log2").select("group_id", "feature_id", F.round("cpm", 6).alias("cpm"))
 
 
+@query(f"WITH {COUNTS} SELECT group_id, feature_id, round(sqrt(count / sum(count) OVER (PARTITION BY group_id) * 1e6), 6) AS cpm FROM counts")
+def x02_own_function(spark, d):
+    """A caller's function of the normalised value in place of a logarithm."""
+    return N.cpm(counts(spark, d), log=lambda c: F.sqrt(c)).select("group_id", "feature_id", F.round("cpm", 6).alias("cpm"))
+
+
 @query(f"WITH {COUNTS}, {LENGTHS}, t AS (SELECT *, sum(count) OVER (PARTITION BY group_id) AS total FROM counts) SELECT group_id, feature_id, round(count * 1e9 / (total * length), 4) AS rpkm FROM t JOIN lengths USING (feature_id)")
 def n02_rpkm(spark, d):
     return N.rpkm(counts(spark, d), lengths(spark, d)).select("group_id", "feature_id", F.round("rpkm", 4).alias("rpkm"))
@@ -293,17 +313,23 @@ def n14_pca_loadings(spark, d):
     return _principal(spark, d, 4)[2]
 
 
+@query()
+def n14_wide_pca(spark, d):
+    """Groups by features as a long table; up to 50 components, of as many features as there are."""
+    return V.wide_pca(counts(spark, d), "group_id", "feature_id", "count", 50)[0]
+
+
 @query("SELECT CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j, round(covar_pop(CAST(embedding[i] AS DOUBLE), CAST(embedding[j] AS DOUBLE)), 8) + 0.0 AS cov FROM embeddings, range(1, 65) a(i), range(1, 65) b(j) WHERE i <= j GROUP BY 1, 2")
 def n15_covariance(spark, d):
-    return N.covariance_rows(_vectors(spark, d)).withColumn("cov", F.round("cov", 8) + 0.0)
+    return V.covariance_rows(_vectors(spark, d)).withColumn("cov", F.round("cov", 8) + 0.0)
 
 
 @query()
 def n16_knn(spark, d):
     """By Mahalanobis distance; every row whose id is divisible by 50 asks."""
     v = _vectors(spark, d).drop("label")
-    white = materialize(N.whiten(v, N.shrunk_cov(v)[1]), "white")
-    return N.knn(white, white.filter("id % 50 = 0"), 5)
+    white = materialize(V.whiten(v, V.shrunk_cov(v)[1]), "white")
+    return V.knn_indexed(white, white.filter("id % 50 = 0"), 5)
 
 
 @query("""WITH v AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), r AS (SELECT i, min(x) AS a, max(x) AS b FROM v GROUP BY 1),
@@ -313,12 +339,12 @@ def n16_knn(spark, d):
 def n17_knn_hamming(spark, d):
     """On profiles of ten equal-width bins a component; every row whose id is divisible by 50 asks."""
     v = materialize(N.binned_profiles(_vectors(spark, d).drop("label"), 10), "profiles")
-    return N.knn(v, v.filter("id % 50 = 0"), 5, "hamming")
+    return V.knn_hamming(v, v.filter("id % 50 = 0"), 5)[0]
 
 
 @query()
 def n18_mahalanobis_to_mean(spark, d):
-    return N.mahalanobis_to_mean(_vectors(spark, d), 0.1)
+    return V.mahalanobis_to_mean(_vectors(spark, d), 0.1)
 
 
 @query("WITH x AS (SELECT o_orderstatus AS label, CASE WHEN o_totalprice > 200000 THEN 'O' WHEN o_totalprice > 100000 THEN 'F' ELSE 'P' END AS pred FROM orders), k AS (SELECT label AS k, count(*) AS n FROM x GROUP BY 1), s AS (SELECT pred AS k, count(*) AS said, count(*) FILTER (label = pred) AS tp FROM x GROUP BY 1) SELECT round((SELECT avg(CAST(label = pred AS INTEGER)) FROM x), 8) AS accuracy, round(sum(tp / said * n) / sum(n), 8) AS weighted_precision FROM k JOIN s USING (k)")
@@ -367,7 +393,7 @@ def m03_isolation_forest(spark, d):
 @query()
 def m04_prop_outliers(spark, d):
     x = _features(spark, d)
-    return M.prop_outliers(M.IsolationForest(_FEATURES, "id", 100).fit(x).transform(x), ["label"])
+    return M.split_proportions(M.split_outliers(x, _FEATURES, "id"), ["label"])
 
 
 @query()
@@ -385,6 +411,13 @@ def m06_mixin_curve(spark, d):
     return reduce(lambda a, b: a.union(b), curves)
 
 
+@query("""WITH s AS (SELECT l_orderkey AS id, unnest(['A', 'N', 'R']) AS class, unnest([avg(CAST(l_returnflag = 'A' AS INTEGER)), avg(CAST(l_returnflag = 'N' AS INTEGER)), avg(CAST(l_returnflag = 'R' AS INTEGER))]) AS p FROM lineitem GROUP BY 1)
+    SELECT * FROM (SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY p DESC, class) AS INTEGER) AS rank, class, p FROM s) WHERE rank <= 2""")
+def w10_top2_classes(spark, d):
+    shares = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.array(*[F.avg((F.col("l_returnflag") == c).cast("int")) for c in "ANR"]).alias("probability"))
+    return M.top2_classes(shares, "id", ["A", "N", "R"])
+
+
 @query()
 def m07_random_forest(spark, d):
     x = _features(spark, d)

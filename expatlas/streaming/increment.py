@@ -8,54 +8,47 @@ from pyspark.sql import functions as F
 from expatlas.sources.reports import ACCESSIONS
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def _named() -> Column:
     """A file's folder and name, the name first, as accessions stand in either."""
     return F.concat(F.col("_metadata.file_name"), F.lit("/"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
 
 
-def append_new(rows: DataFrame, batch: int, sink: str, key: str) -> None:
-    """Append rows of keys that the store does not hold yet.
+def first_of_key(stream: DataFrame, key: str) -> DataFrame:
+    """The first row of every key that a stream ever brings.
 
-    A batch is written under its own number and overwritten if it is run again, and keys are looked
-    up in the other batches only, so that a restart neither loses nor repeats rows.
+    Keys seen are the stream's state: a batch looks up its own keys and writes its own changes, so that
+    what it reads does not grow with what is stored, and a restart from the checkpoint neither loses nor
+    repeats a key. State is dealt out by key; with ``spark.sql.streaming.stateStore.providerClass`` set to the
+    RocksDB provider it lives on the executors' disks.
     """
-    spark = rows.sparkSession
-    if _exists(spark, sink):
-        store = spark.read.option("basePath", sink).parquet(sink)
-        if "batch" in store.columns:
-            rows = rows.join(store.filter(F.col("batch") != batch).select(key).distinct(), key, "left_anti")
-    rows.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
+    return stream.dropDuplicates([key])
 
 
 def stream_counts(spark: SparkSession, folder: str, sink: str, checkpoint: str, kind: str = "srx", files_per_batch: int = 1000):
-    """Count tables that arrive in a folder, appended once a sample."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    """Count tables that arrive in a folder, a file a sample, appended once a sample: later files of a known sample are left out."""
+    files = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder, wholetext=True)
+    fresh = first_of_key(files.select(F.regexp_extract(_named(), ACCESSIONS[kind], 1).alias("sample"), "value"), "sample")
+    lines = fresh.select("sample", F.explode(F.split("value", r"\r?\n")).alias("value"))
     parts = F.split("value", "\t")
-    sample = F.regexp_extract(_named(), ACCESSIONS[kind], 1)
-    rows = lines.filter(~F.col("value").startswith("#")).select(sample.alias("sample"), parts[0].alias("feature_id"), F.element_at(parts, -1).try_cast("long").alias("count")).filter("count is not null")
-    return rows.writeStream.foreachBatch(lambda df, n: append_new(df, n, sink, "sample")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    rows = lines.filter(~F.col("value").startswith("#")).select("sample", parts[0].alias("feature_id"), F.element_at(parts, -1).try_cast("long").alias("count")).filter("count is not null")
+    return _append(rows, sink, checkpoint)
 
 
 def stream_metrics(spark: SparkSession, folder: str, schema: str, sink: str, checkpoint: str, key: str = "srr", done: DataFrame | None = None):
     """Metric rows that arrive as Parquet files, one row a key, only for keys that are done."""
+    rows = spark.readStream.schema(schema).parquet(folder)
+    return _append(first_of_key(rows if done is None else rows.join(done.select(key).distinct(), key, "left_semi"), key), sink, checkpoint)
 
-    def put(df: DataFrame, n: int) -> None:
-        rows = df.dropDuplicates([key])
-        append_new(rows if done is None else rows.join(done.select(key), key, "left_semi"), n, sink, key)
 
-    return spark.readStream.schema(schema).parquet(folder).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _append(rows: DataFrame, sink: str, checkpoint: str):
+    return rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_flags(spark: SparkSession, folder: str, sink: str, checkpoint: str, kind: str = "srr"):
     """Flag files (item from the name, flag from the suffix, text inside) as ``item, flag, note, seen``."""
     name = F.col("_metadata.file_name")
-    rows = spark.readStream.option("wholetext", True).text(folder).select(F.regexp_extract(_named(), ACCESSIONS[kind], 1).alias("item"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("flag"), F.trim("value").alias("note"), F.col("_metadata.file_modification_time").alias("seen"))
-    return rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    rows = spark.readStream.text(folder, wholetext=True).select(F.regexp_extract(_named(), ACCESSIONS[kind], 1).alias("item"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("flag"), F.trim("value").alias("note"), F.col("_metadata.file_modification_time").alias("seen"))
+    return _append(rows, sink, checkpoint)
 
 
 def latest_flags(flags: DataFrame) -> DataFrame:
