@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,19 @@ def _union(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"node": nodes, "root": [top(x) for x in nodes]}, dtype="int64")
 
 
+def spanning(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of ``n`` nodes that each is linked with, directly or not, by the links ``i, j``."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
 def connected_components(links: DataFrame, at_once: int = 10_000) -> DataFrame:
     """Smallest node reachable from every linked node: ``node, root``.
 
