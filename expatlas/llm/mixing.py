@@ -70,9 +70,9 @@ def mix_sources(
     gives every slot to a source; a source's slot of rank r takes its block r, until the source has its
     target, rounded down to a word; its last block ends there, and its further slots stay empty.
 
-    Returns ``doc_id, source, size, source_size, target, taken, first_slot, text_key``, a row for each
-    row of the input; ``first_slot`` is the slot in which the document first comes, null if nothing of
-    it is taken. Null texts and texts without words have size 0 and give 0; a null source is a source
+    Returns ``doc_id, source, size, source_size, target, taken, first_slot, slots, text_key``, a row for
+    each row of the input; ``slots`` are those in which the document begins in each pass that takes it,
+    ``max_repeats`` at most, and ``first_slot`` is the first of them, null if nothing is taken. Null texts and texts without words have size 0 and give 0; a null source is a source
     of its own; repeated rows (equal id, source and text) are counted before anything is ordered and
     mixed each for itself; an empty table gives none. ``text_key`` is a hash of the text by which rows
     can be found again. Other columns are not carried.
@@ -102,22 +102,28 @@ def mix_sources(
     seen = seen.withColumn("_to", F.least(F.col("_from") + F.col("size"), F.col("quota")))
     seen = seen.withColumn("rank", F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_to") - 1) / block))))
     words = F.least(F.col("_to"), (F.col("rank") + 1) * block) - F.greatest(F.col("_from"), F.col("rank") * block)
-    taken = seen.join(schedule, ["src", "rank"]).groupBy("src", "_row").agg(F.sum(words).alias("taken"), F.min("slot").alias("first_slot"))
+    passed = seen.join(schedule, ["src", "rank"]).groupBy("src", "_row", "_pass").agg(F.sum(words).alias("_words"), F.min("slot").alias("_slot"))
+    taken = passed.groupBy("src", "_row").agg(F.sum("_words").alias("taken"), F.min("_slot").alias("first_slot"), F.array_sort(F.collect_list("_slot")).alias("slots"))
 
     out = placed.join(taken, ["src", "_row"], "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "text_key")
+    none = F.array().cast("array<bigint>")
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", F.coalesce("slots", none).alias("slots"), "text_key")
 
 
 def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself, in the order of its slots: every document as often as the mix takes it, a part taken counting as a whole.
 
-    Documents of which nothing is taken are not in the mix. Copies of a document stand together, at its
-    first slot. Rows equal in id and text share what is taken of them, rounded up for each. All columns
-    stay; the order is that of the result's partitions and of the rows in them.
+    Documents of which nothing is taken are not in the mix. Each time that a document is taken it
+    stands at the slot of that pass, so that its copies lie as far apart as the passes of its source.
+    Rows equal in id and text take as many slots each, those of the earliest of them. All columns stay;
+    the order is that of the result's partitions and of the rows in them.
     """
     found = mix_sources(documents, doc_id=doc_id, text=text, source=source, **options).filter("taken > 0")
-    shares = found.groupBy("doc_id", "text_key").agg(F.sum(F.ceil(F.col("taken") / F.col("size"))).alias("_n"), F.count("*").alias("_rows"), F.min("first_slot").alias("_slot"))
-    shares = shares.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "_slot", F.ceil(F.col("_n") / F.col("_rows")).cast("int").alias("_times"))
+    taken = found.select("doc_id", "text_key", F.posexplode("slots").alias("_time", "_slot"))
+    taken = taken.groupBy("doc_id", "text_key", "_time").agg(F.count("*").alias("_n"), F.min("_slot").alias("_slot"))
+    shares = taken.groupBy("doc_id", "text_key").agg(F.sum("_n").alias("_n"), F.max("_n").alias("_rows"), F.array_sort(F.collect_list("_slot")).alias("_slots"))
+    slots = F.slice("_slots", 1, F.ceil(F.col("_n") / F.col("_rows")).cast("int"))
+    shares = shares.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), slots.alias("_slots"))
     joined = documents.join(shares, F.col(doc_id).eqNullSafe(F.col("_doc_id")) & (F.xxhash64(text) == F.col("_text_key")))
-    placed = joined.withColumn("_tie", order_key(F.col(doc_id))).repartitionByRange("_slot", "_tie").sortWithinPartitions("_slot", "_tie")
-    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*documents.columns)
+    placed = joined.withColumn("_slot", F.explode("_slots")).withColumn("_tie", order_key(F.col(doc_id)))
+    return placed.repartitionByRange("_slot", "_tie").sortWithinPartitions("_slot", "_tie").select(*documents.columns)
