@@ -10,9 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from expatlas.scratch import materialize
+from expatlas.scratch import discard, materialize
 
-_BLOCK = "size int, pivot int, ring int, block long, near double, far double, ids array<long>, rows array<long>, vectors binary"
+_BLOCK = "size int, pivot int, ring int, block long, near double, far double, ids array<long>, rows array<long>, asks array<boolean>, vectors binary"
 _CHUNK = "size int, chunk long, ids array<long>, rows array<long>, vectors binary, floors array<double>"
 
 
@@ -21,17 +21,17 @@ def _matrix(data: bytes, n: int) -> np.ndarray:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, id and score of each query's k highest scores not below its floor; ties to the smaller id."""
+    """Place, column and score of each query's k highest scores not below its floor; ties to the smaller id."""
     cut = floors
     if scores.shape[1] > k:
         cut = np.maximum(floors, np.partition(scores, scores.shape[1] - k, axis=1)[:, -k])
     row, col = np.nonzero((scores >= cut[:, None]) & (scores > -np.inf))
-    found, score = ids[col], scores[row, col]
-    order = np.lexsort((found, -score, row))
-    row, found, score = row[order], found[order], score[order]
+    score = scores[row, col]
+    order = np.lexsort((ids[col], -score, row))
+    row, col, score = row[order], col[order], score[order]
     place = np.arange(len(row)) - np.searchsorted(row, row)
     keep = place < k
-    return row[keep], found[keep], score[keep]
+    return row[keep], col[keep], score[keep]
 
 
 class Index:
@@ -82,7 +82,9 @@ def exact_top_k(
     inequality only rings within this distance of the query's own distance to each pivot can matter.
     Those are searched nearest first and the search stops when no further block can reach the floor,
     which rises on the way. The bounds leave nothing out; pivots are fitted on a bounded sample and
-    every row is indexed.
+    every row is indexed. Equal vectors are one in the index, with the ``k + 1`` smallest of their rows,
+    more of which cannot be answers: ``k + 1`` rows are sought for every different vector that asks, the
+    asking one included, which each row that asks then leaves out.
 
     Returns ``query_id, rank, vec_id, score``; a query with fewer other rows gets them all. Ties go to
     the smaller id. Rows with a null id or vector, with an empty vector or with null or non-finite
@@ -95,7 +97,12 @@ def exact_top_k(
     rows = vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & (F.size(x) > 0) & finite)
     rows = rows.select(F.col(vec_id).cast("long").alias("id"), F.size(x).alias("size"), F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(scale)).cast("double")).alias("v"))
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # ids may repeat, rows do not
-    index = Index(rows, pivots, rings, sample)
+    k, given = k + 1, k
+    first, asks = F.slice(F.array_sort(F.collect_list(F.struct("id", "row"))), 1, k), F.max(F.col("id") % query_every == 0)
+    salted = rows.groupBy("size", "v", F.pmod(F.xxhash64("row"), F.lit(1 << 16)).alias("_salt")).agg(first.alias("first"), asks.alias("asks"))
+    merged = salted.groupBy("size", "v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("first"))), 1, k).alias("first"), F.max("asks").alias("asks"))
+    values = materialize(merged.withColumn("id", F.get("first", F.lit(0))["id"]).withColumn("row", F.monotonically_increasing_id()), "values")
+    index = Index(values, pivots, rings, sample)
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -104,9 +111,9 @@ def exact_top_k(
                 d = index.distances(size, index.lifted(x))
                 pivot = d.argmin(axis=1)
                 near = d[np.arange(len(d)), pivot]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "row": part["row"].to_numpy(), "size": size, "pivot": pivot, "ring": (near / index.width(size)).astype(int), "distance": near, "v": [r.tobytes() for r in x]})
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "row": part["row"].to_numpy(), "asks": part["asks"].to_numpy(bool), "size": size, "pivot": pivot, "ring": (near / index.width(size)).astype(int), "distance": near, "v": [r.tobytes() for r in x]})
 
-    keyed = rows.mapInPandas(key, "id long, row long, size int, pivot int, ring int, distance double, v binary")
+    keyed = values.select("id", "row", "asks", "size", "v").mapInPandas(key, "id long, row long, asks boolean, size int, pivot int, ring int, distance double, v binary")
     order = ["size", "pivot", "ring", "distance", "id"]
     keyed = keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
 
@@ -116,7 +123,7 @@ def exact_top_k(
                 for begin in range(0, len(part), per_block):
                     p = part.iloc[begin : begin + per_block]
                     yield pd.DataFrame({"size": [size], "pivot": [pivot], "ring": [ring], "block": [int(p["place"].iloc[0])], "near": [p["distance"].min()], "far": [p["distance"].max()],
-                                        "ids": [p["id"].to_numpy()], "rows": [p["row"].to_numpy()], "vectors": [b"".join(p["v"])]})
+                                        "ids": [p["id"].to_numpy()], "rows": [p["row"].to_numpy()], "asks": [p["asks"].to_numpy(bool)], "vectors": [b"".join(p["v"])]})
 
     blocks = materialize(keyed.mapInPandas(cut, _BLOCK), "blocks")
 
@@ -125,12 +132,11 @@ def exact_top_k(
         for b in batches:
             for row in b.itertuples():
                 ids, own = np.asarray(row.ids), np.asarray(row.rows)
-                asks = np.flatnonzero(ids % query_every == 0)
+                asks = np.flatnonzero(np.asarray(row.asks, bool))
                 x = _matrix(row.vectors, len(ids))
                 for begin in range(0, len(asks), per_chunk):
                     at = asks[begin : begin + per_chunk]
                     scores = x[at] @ x.T
-                    scores[np.arange(len(at)), at] = -np.inf
                     floors = np.partition(scores, len(ids) - k, axis=1)[:, -k] if len(ids) > k else np.full(len(at), -np.inf)
                     yield pd.DataFrame({"size": [row.size], "id": [ids[at]], "row": [own[at]], "vectors": [x[at].tobytes()], "floors": [floors]})
 
@@ -182,16 +188,16 @@ def exact_top_k(
 
     def search(_, asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         found = [_search(row, held) for row in asks.itertuples(index=False)]
-        return pd.concat(found) if found else pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []})
+        return pd.concat(found) if found else pd.DataFrame({"row": [], "other": [], "score": []})
 
     def _search(row, held: pd.DataFrame) -> pd.DataFrame:
         """A chunk's queries in the blocks, nearest first; blocks that its bounds exclude are passed over."""
-        names, own, x = np.asarray(row.ids), np.asarray(row.rows), _matrix(row.vectors, len(row.ids))
+        own, x = np.asarray(row.rows), _matrix(row.vectors, len(row.ids))
         floors, d = np.array(row.floors, np.float64), index.of_queries(x)
         gap = np.stack([np.maximum(0, np.maximum(d[:, b.pivot] - b.far, b.near - d[:, b.pivot])) for b in held.itertuples()])
         norms = (x * x).sum(axis=1) + index.most[x.shape[1]]
         none = np.zeros(0)
-        rows_, ids_, scores_ = none.astype(int), none.astype(np.int64), none
+        rows_, ids_, others_, scores_ = none.astype(int), none.astype(np.int64), none.astype(np.int64), none
         ahead = np.minimum.accumulate(gap[(order := np.argsort(gap.min(axis=1)))][::-1], axis=0)[::-1]  # nearest of the blocks still to come
         for step, at in enumerate(order):
             if not ((norms - np.maximum(0, ahead[step] - 1e-6) ** 2) / 2 >= floors).any():
@@ -202,17 +208,25 @@ def exact_top_k(
             b = held.iloc[at]
             ids = np.asarray(b["ids"])
             scores = x[live] @ _matrix(b["vectors"], len(ids)).T
-            scores[own[live][:, None] == np.asarray(b["rows"])[None, :]] = -np.inf
-            r, found, s = _best(scores, ids, floors[live], k)
-            rows_, ids_, scores_ = np.concatenate([rows_, live[r]]), np.concatenate([ids_, found]), np.concatenate([scores_, s])
+            r, c, s = _best(scores, ids, floors[live], k)
+            rows_, ids_, others_, scores_ = (np.concatenate(v) for v in ((rows_, live[r]), (ids_, ids[c]), (others_, np.asarray(b["rows"])[c]), (scores_, s)))
             order_ = np.lexsort((ids_, -scores_, rows_))
-            rows_, ids_, scores_ = rows_[order_], ids_[order_], scores_[order_]
+            rows_, ids_, others_, scores_ = (v[order_] for v in (rows_, ids_, others_, scores_))
             place = np.arange(len(rows_)) - np.searchsorted(rows_, rows_)
-            rows_, ids_, scores_, place = (v[place < k] for v in (rows_, ids_, scores_, place))
+            rows_, ids_, others_, scores_, place = (v[place < k] for v in (rows_, ids_, others_, scores_, place))
             full = place == k - 1
             floors[rows_[full]] = np.maximum(floors[rows_[full]], scores_[full])
-        return pd.DataFrame({"row": own[rows_], "query_id": names[rows_], "vec_id": ids_, "score": scores_.astype(np.int64)})
-
-    found = left.groupBy("size", "share", "part").cogroup(right.groupBy("size_", "share_", "part_")).applyInPandas(search, "row long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        return pd.DataFrame({"row": own[rows_], "other": others_, "score": scores_.astype(np.int64)})
+
+    found = left.groupBy("size", "share", "part").cogroup(right.groupBy("size_", "share_", "part_")).applyInPandas(search, "row long, other long, score long")
+    answers = values.select(F.col("row").alias("other"), F.explode("first").alias("_f"))
+    met = found.join(answers, "other").select("row", "score", F.col("_f.id").alias("vec_id"), F.col("_f.row").alias("_own"))
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id", "_own")
+    met = met.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k).groupBy("row").agg(F.collect_list(F.struct("_n", "score", "vec_id", "_own")).alias("_best"))
+    queries = rows.filter(F.col("id") % query_every == 0).join(values.filter("asks").select(F.col("size").alias("_size"), F.col("v").alias("_v"), F.col("row").alias("_value")), (F.col("size") == F.col("_size")) & (F.col("v") == F.col("_v")))
+    told = queries.select(F.col("id").alias("query_id"), F.col("row").alias("_row"), "_value").join(met, F.col("_value") == F.col("row"))
+    others = F.filter(F.array_sort("_best"), lambda x: x["_own"] != F.col("_row"))
+    done = told.select("query_id", F.posexplode(F.slice(others, 1, given)).alias("rank", "_b"))
+    done = materialize(done.select("query_id", (F.col("rank") + 1).alias("rank"), "_b.vec_id", "_b.score"), "nearest")
+    discard(rows, values, blocks, chunks, pairs)
+    return done
