@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from expatlas.scratch import discard, materialize
@@ -151,10 +151,15 @@ def _each(f, names: str):
 
 
 def stars(rows: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that link all lines of one side of a key (``key, hash, short``) with the smallest of the other."""
-    of = Window.partitionBy("key")
-    both = rows.withColumns({"x": F.min(F.when(F.col("short"), F.col("hash"))).over(of), "y": F.min(F.when(~F.col("short"), F.col("hash"))).over(of)})
-    return _pairs(both.filter("x is not null and y is not null").select("hash", F.when(F.col("short"), F.col("y")).otherwise(F.col("x")).alias("other")))
+    """Pairs ``a, b`` that link all lines of one side of a key (``key, hash, short``) with the smallest of the other.
+
+    Keys' smallest lines are aggregated, on either side of the shuffle, and joined back: a key with very
+    many lines is split like any skewed join key.
+    """
+    rows = materialize(rows, "keys")
+    smallest = lambda on: F.min(F.when(on, F.col("hash")))
+    ends = rows.groupBy("key").agg(smallest(F.col("short")).alias("x"), smallest(~F.col("short")).alias("y")).filter("x is not null and y is not null")
+    return _pairs(rows.join(ends, "key").select("hash", F.when(F.col("short"), F.col("y")).otherwise(F.col("x")).alias("other")))
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -163,16 +168,12 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 def _grouped(rows: DataFrame, key: str, most: int) -> DataFrame:
     """The rows of keys with lines of both sides, two different ones at least. ``crowded`` says whether over
-    ``most`` are the shorter ones; where not, ``met`` lists those."""
-    of, short = Window.partitionBy(key), F.col("role") == SHORT
-    rank = F.row_number().over(of.orderBy(F.when(short, 0).otherwise(1), "hash"))
-    x = F.count(F.when(short, 1)).over(of)
-    known = rows.withColumn("_rank", rank).withColumns({
-        "_x": x, "_y": F.count(F.when(~short, 1)).over(of), "_low": F.min("hash").over(of), "_high": F.max("hash").over(of),
-        "met": F.collect_list(F.when(short & (F.col("_rank") <= most), F.col("hash"))).over(of),
-    })
-    known = known.filter("_x > 0 and _y > 0 and _low < _high")
-    return known.select(*rows.columns, (F.col("_x") > most).alias("crowded"), F.when(F.col("_x") <= most, F.col("met")).alias("met"))
+    ``most`` are the shorter ones; where not, ``met`` lists those. No task holds the lines of a crowded key."""
+    rows, short = materialize(rows, "grouped"), F.col("role") == SHORT
+    ends = rows.groupBy(key).agg(F.count_if(short).alias("_x"), F.count_if(~short).alias("_y"), F.min("hash").alias("_low"), F.max("hash").alias("_high"))
+    ends = ends.filter("_x > 0 and _y > 0 and _low < _high").select(key, "_x")
+    few = rows.filter(short).join(ends.filter(F.col("_x") <= most).select(key), key, "left_semi").groupBy(key).agg(F.collect_list("hash").alias("met"))
+    return rows.join(ends, key).join(few, key, "left").select(*rows.columns, (F.col("_x") > most).alias("crowded"), "met")
 
 
 def _calm(grouped: DataFrame) -> DataFrame:
@@ -202,8 +203,9 @@ def two_places(state: DataFrame, most: int, tasks: int) -> list[DataFrame]:
     named = materialize(work.coalesce(tasks).mapInPandas(_each(parts, "hash role ctx content place kind text"), "hash long, role int, ctx long, content long, place long, kind int, text string"), "parts")
     contents = named.select("content", "place", "kind", "text").dropDuplicates(["content"])
     keyed = contents.coalesce(tasks).mapInPandas(_each(keys, "content edit kind short plain"), "content long, edit long, kind int, short boolean, plain long")
-    of = Window.partitionBy("edit")
-    alive = keyed.withColumns({"_low": F.min("plain").over(of), "_high": F.max("plain").over(of), "_one": F.max("short").over(of), "_all": F.min("short").over(of)}).filter("_low < _high and _one and not _all")
+    keyed = materialize(keyed, "edits")
+    ends = keyed.groupBy("edit").agg(F.min("plain").alias("_low"), F.max("plain").alias("_high"), F.max("short").alias("_one"), F.min("short").alias("_all"))
+    alive = keyed.join(ends.filter("_low < _high and _one and not _all").select("edit"), "edit", "left_semi")
     hits = materialize(alive.groupBy("content").agg(F.collect_set(F.struct("kind", "edit")).alias("hits")), "hits")
     found = named.select("hash", "role", "ctx", "content").join(hits, "content").groupBy("hash", "role", "ctx").agg(F.collect_list(F.struct("content", "hits")).alias("found")).filter(F.size("found") > 1)
 
@@ -220,7 +222,7 @@ def two_places(state: DataFrame, most: int, tasks: int) -> list[DataFrame]:
 
     combined = work.join(found, ["hash", "role", "ctx"]).coalesce(tasks).mapInPandas(_each(combine, "key hash short"), "key long, hash long, short boolean")
     out = materialize(stars(combined), "stars")
-    discard(work, named, hits)
+    discard(work, named, keyed, hits)
     return [_calm(rests), out]
 
 
