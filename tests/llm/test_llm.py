@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from expatlas.llm import embedding_dedup, encoding, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, suffix_sort, token_counts, topk
+from expatlas.llm import embedding_dedup, encoding, language_id, line_dedup, mixing, sharding, shingle_join, simhash, suffix_dedup, suffix_sort, token_counts, topk
 from expatlas.llm.queries import vocabulary_path
 from expatlas.llm.vocabulary import Vocabulary
 
@@ -83,13 +83,21 @@ def test_schedule_decides_the_slots(spark, monkeypatch):
     rows = [(i, "w " * (1 + i % 9), "abc"[i % 3]) for i in range(300)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
     first = {r.doc_id: r.first_slot for r in mixing.mix_sources(table).collect()}
-    order = [first[r.doc_id] for r in mixing.mixed_documents(table).collect()]
-    assert order == sorted(order)
+    slots = {r.doc_id: r.slots for r in mixing.mix_sources(table).collect()}
+    assert all((v[0] if v else None) == first[k] and v == sorted(v) for k, v in slots.items())
+    mix, times, order = [r.doc_id for r in mixing.mixed_documents(table).collect()], Counter(), []
+    for k in mix:  # every repeat stands at the slot of its own pass
+        order.append(slots[k][times[k]])
+        times[k] += 1
+    assert order == sorted(order) and max(times.values()) == 3
+    assert not any(a == b for a, b in zip(mix, mix[1:], strict=False))
     taken = {r.doc_id: -(-r.taken // r["size"]) for r in mixing.mix_sources(table).collect()}
     assert Counter(r.doc_id for r in mixing.mixed_documents(table).collect()) == Counter({k: v for k, v in taken.items() if v})
     plain = mixing.block_schedule
     monkeypatch.setattr(mixing, "block_schedule", lambda t, n: plain(t, n).withColumn("slot", F.col("src") * 10**6 + F.col("rank")))
     assert {r.doc_id: r.first_slot for r in mixing.mix_sources(table).collect()} != first
+    by_source = [r.source for r in mixing.mixed_documents(table).collect()]
+    assert by_source == sorted(by_source) and Counter(r.doc_id for r in mixing.mixed_documents(table).collect()) == times  # the schedule alone decides the order
 
 
 def test_language_held_out(docs, odd, empty):
@@ -506,3 +514,48 @@ def test_similar_prefixes_meet():
         last = np.sort(a[: n // 3])
         for order in (last, last[:0]):
             assert set(shingle_join.prefix(a, 0.8, order).tolist()) & set(shingle_join.prefix(b, 0.8, order).tolist())
+
+
+def test_family_of_similar_texts_meets_in_blocks(spark):
+    """Two thousand texts, most pairs of which are similar by 0.5 to 0.95, link as all pairs do, whatever the blocks."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(400):
+        share = rng.choice([0.005, 0.02, 0.05])
+        texts.append((i, " ".join(w if rng.random() > share else f"n{rng.integers(10**6)}" for w in base)))
+    texts += [(400 + i, " ".join(f"u{i}.{j}" for j in range(40))) for i in range(40)]
+    sets = [set(shingle_join.shingle_set(t, 5).tolist()) for _, t in texts]
+    root = components(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for options in ({}, {"crowd": 2, "per_block": 7}, {"crowd": 2, "block_bytes": 5000}):
+        found = {r.doc_id: r.component for r in shingle_join.similar_documents(docs, **options).collect()}
+        groups, want = {}, {}
+        for i, _ in texts:
+            groups.setdefault(found[i], set()).add(i)
+            want.setdefault(root[i], set()).add(i)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_overlaps_of_sets():
+    rng = np.random.default_rng(13)
+    for _ in range(20):
+        sets = [[np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(n)] for n in (5, 7)]
+        got = shingle_join.overlaps(*sets, stretch=int(rng.integers(1, 50)))
+        assert (got == [[len(np.intersect1d(a, b)) for b in sets[1]] for a in sets[0]]).all()
+
+
+def test_top_k_of_equal_vectors(spark):
+    rng = np.random.default_rng(14)
+    values = rng.normal(size=(6, 8))
+    rows = [(i, values[0 if i % 3 else i % 6].tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = np.floor(256 * np.array([r[1] for r in rows]))
+    scores = (v @ v.T).astype(int)
+    got = {}
+    for r in topk.exact_top_k(df).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in range(0, 900, 50):
+        want = sorted((-scores[q, j], j) for j in range(900) if j != q)[:5]
+        assert sorted(got[q]) == [(k + 1, j, -s) for k, (s, j) in enumerate(want)]
+    assert len(got) == 18
