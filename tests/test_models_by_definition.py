@@ -53,7 +53,7 @@ def test_every_row_has_every_vote(rows):
 def test_draws_with_replacement_and_feature_subsets(spark):
     rng = np.random.default_rng(4)
     cols = [f"c{i}" for i in range(9)]
-    data = [(i, "ab"[i % 2], *rng.normal(size=9).tolist()) for i in range(512)] + [(900, "a", 0.0, 0.0, 25.0, *[0.0] * 6), (901, None, *[0.0] * 9), (902, "rare", *[1.0] * 9)]
+    data = [(i, "ab"[i % 2], *rng.normal(size=9).tolist()) for i in range(512)] + [(900, "a", 0.0, 0.0, 25.0, *[0.0] * 6), (901, None, *[0.0] * 9), (902, "rare", *[1.0] * 9), (903, "a", *[0.0] * 9)]
     df = spark.createDataFrame(data, "id long, label string, " + ", ".join(f"{c} double" for c in cols))
     forests = M.bootstrap_forests(df, "label", cols, "id")
     told = forests.collect()
@@ -64,7 +64,7 @@ def test_draws_with_replacement_and_feature_subsets(spark):
     assert all({n["feature"] for n in r.nodes} - {-1} <= {cols.index(c) for c in r.used} for r in told)
     for per_task in (100_000, 40):
         got = {r.id: r.score for r in M.score_by_class(df, forests, "label", cols, "id", per_task).collect()}
-        assert len(got) == 514 and min((k for k in got if k != 902), key=got.get) == 900  # far out in one column
+        assert len(got) == 515 and got[900] < got[903] - 0.03  # far out in one column, which a third of the trees look at
     one = forests.filter("label = 'a'").orderBy("tree").collect()
     parsed = [(np.array([n["feature"] for n in r.nodes]), np.array([n["cut"] for n in r.nodes]), np.array([n["left"] for n in r.nodes])) for r in one]
     x = np.array([d[2:] for d in data if d[1] == "a"])
