@@ -48,30 +48,36 @@ def normalize_all(counts: DataFrame, lengths: DataFrame) -> DataFrame:
     return known.select("group_id", "feature_id", (F.col("count") / F.col("_total") * 1e6).alias("cpm"), (F.col("count") * 1e9 / (F.col("_total") * F.col("length"))).alias("rpkm"), (F.col("_rate") / _total("_rate") * 1e6).alias("tpm"))
 
 
-def _compare_pairs(counts: DataFrame, pairs: DataFrame, out: str, judge) -> DataFrame:
+def _compare_pairs(counts: DataFrame, pairs: DataFrame, out: str, judge, per_group: int = 64) -> DataFrame:
     """A row for each pair ``item_a, item_b`` out of ``judge(x, y)``, the items' counts side by side by feature.
 
     An item is one row with its features and counts, sorted, so that items and not features are dealt
     out to pairs; an absent feature counts 0. An item has as many entries as there are features at most.
+    An item meets its partners in groups of some ``per_group``, so that it is sent once a group.
     """
     items = counts.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("feature_id", F.col("count").cast("double").alias("count")))).alias("_l"))
     items = items.select("item_id", F.col("_l.feature_id").alias("f"), F.col("_l.count").alias("v"))
-    sides = [items.withColumnsRenamed({"item_id": f"item_{s}", "f": f"f_{s}", "v": f"v_{s}"}) for s in "ab"]
-    met = pairs.select("item_a", "item_b").join(sides[0], "item_a").join(sides[1], "item_b")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for r in b.itertuples(index=False):
-                named, at = np.unique(np.concatenate([r.f_a, r.f_b]), return_inverse=True)
-                x, y = np.zeros(len(named)), np.zeros(len(named))
-                np.add.at(x, at[: len(r.f_a)], r.v_a)
-                np.add.at(y, at[len(r.f_a) :], r.v_b)
-                rows.append((r.item_a, r.item_b, *judge(x, y)))
-            yield pd.DataFrame(rows, columns=["item_a", "item_b", *[c.split()[0] for c in out.split(", ")]])
-
-    kind = met.schema["item_a"].dataType.simpleString()
-    return met.select("item_a", "item_b", "f_a", "v_a", "f_b", "v_b").mapInPandas(run, f"item_a {kind}, item_b {kind}, {out}")
+    asked = pairs.select("item_a", "item_b")
+    groups = asked.groupBy(F.col("item_a").alias("_a")).agg(F.ceil(F.count("*") / per_group).cast("int").alias("_groups"))
+    asked = asked.join(groups, F.col("item_a") == F.col("_a")).select("item_a", "item_b", F.pmod(F.xxhash64("item_b"), F.col("_groups")).cast("int").alias("_g"))
+    others = asked.join(items.withColumnsRenamed({"item_id": "item_b", "f": "f_b", "v": "v_b"}), "item_b")
+    firsts = groups.withColumn("_g", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).join(items, F.col("_a") == F.col("item_id")).select(F.col("_a").alias("first"), F.col("_g").alias("part"), F.col("f").alias("f_a"), F.col("v").alias("v_a"))
+    names = ["item_a", "item_b", *[c.split()[0] for c in out.split(", ")]]
+
+    def run(first: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for own, f_a, v_a in zip(first["first"], first["f_a"], first["v_a"], strict=True):
+            for other, f_b, v_b in zip(met["item_b"], met["f_b"], met["v_b"], strict=True):
+                at = np.minimum(np.searchsorted(f_a, f_b), len(f_a) - 1)
+                shared = f_a[at] == f_b
+                y = np.zeros(len(f_a))
+                y[at[shared]] = v_b[shared]
+                rest = v_b[~shared]
+                rows.append((own, other, *judge(np.concatenate([v_a, np.zeros(len(rest))]), np.concatenate([y, rest]))))
+        return pd.DataFrame(rows, columns=names)
+
+    kind = asked.schema["item_a"].dataType.simpleString()
+    return firsts.groupBy("first", "part").cogroup(others.groupBy("item_a", "_g")).applyInPandas(run, f"item_a {kind}, item_b {kind}, {out}")
 
 
 def _mean_ranks(x: np.ndarray) -> np.ndarray:

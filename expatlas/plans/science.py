@@ -143,8 +143,8 @@ def r15_intersect_fraction(spark, d):
 
 @query(f"""WITH {_IV}, ev AS (SELECT * FROM iv WHERE CAST(name AS BIGINT) % 2 = 0){_MRG.replace("FROM iv)", "FROM ev)")}, {_SZ}, {_TRACK},
     g AS (SELECT chrom, coalesce(lag(stop) OVER (PARTITION BY chrom ORDER BY start), 0) AS start, start AS stop FROM merged UNION ALL SELECT chrom, max(stop), max(size) FROM merged JOIN sizes USING (chrom) GROUP BY chrom),
-    at AS (SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos, list_sum(v) AS value FROM cov), free AS (SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos FROM g WHERE start < stop)
-    SELECT median(level) AS level FROM (SELECT chrom, quantile_cont(coalesce(value, 0), 0.99) AS level FROM free LEFT JOIN at USING (chrom, pos) GROUP BY chrom)""")
+    held AS (SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos, list_sum(v) AS value FROM cov), free AS (SELECT chrom, unnest(generate_series(start, stop - 1)) AS pos FROM g WHERE start < stop)
+    SELECT median(level) AS level FROM (SELECT chrom, quantile_cont(coalesce(value, 0), 0.99) AS level FROM free LEFT JOIN held USING (chrom, pos) GROUP BY chrom)""")
 def r16_background_level(spark, d):
     a = intervals(spark, d).filter(F.col("name").cast("long") % 2 == 0).select("chrom", "start", "stop", "name")
     return R.background_level(R.merge_coverage(_track(spark, d), "sum", 3), a, sizes(spark, d))
@@ -166,7 +166,7 @@ def r18_scale_by_max(spark, d):
     return R.scale_by_max(x.filter("strand = '+'").drop("strand"), x.filter("strand = '-'").drop("strand")).select("name", F.round("value", 8).alias("value"))
 
 
-@query(f"WITH {_IV}, t AS (SELECT chrom, min((-value, start))[2] AS at FROM iv GROUP BY chrom) SELECT chrom, greatest(at - 500, 0) AS start, at + 500 AS stop FROM t")
+@query(f"WITH {_IV}, t AS (SELECT chrom, min((-value, start))[2] AS peak FROM iv GROUP BY chrom) SELECT chrom, greatest(peak - 500, 0) AS start, peak + 500 AS stop FROM t")
 def r18_window_around_max(spark, d):
     return R.window_around_max(intervals(spark, d), 500)
 

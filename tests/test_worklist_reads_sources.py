@@ -84,3 +84,25 @@ def test_increment(spark, tmp_path):
     (folder / "SRX2.tsv").write_text("g1\t3\n")
     stream_counts(spark, str(folder), sink, state).awaitTermination()
     assert sorted((r.sample, r.feature_id, r["count"]) for r in spark.read.parquet(sink).collect()) == [("SRX1", "g1", 1), ("SRX1", "g2", 2), ("SRX2", "g1", 3)]
+
+
+def test_batches_read_their_own_files_only(spark, tmp_path):
+    """Keys seen are state of the stream: what a batch reads does not grow with what is stored."""
+    from expatlas.streaming.increment import stream_counts, stream_metrics
+
+    folder, sink, state = tmp_path / "in", str(tmp_path / "sink"), str(tmp_path / "state")
+    folder.mkdir()
+    for round_ in range(3):
+        for i in range(4):
+            (folder / f"SRX{round_ * 2 + i}.{round_}.tsv").write_text(f"# head\ng1\t{round_}\r\ng2\tx\n")
+        query = stream_counts(spark, str(folder), sink, state)
+        query.awaitTermination()
+        assert sum(p["numInputRows"] for p in query.recentProgress) == 4
+    got = sorted((r.sample, r["count"]) for r in spark.read.parquet(sink).collect())
+    assert got == [("SRX0", 0), ("SRX1", 0), ("SRX2", 0), ("SRX3", 0), ("SRX4", 1), ("SRX5", 1), ("SRX6", 2), ("SRX7", 2)]
+
+    metrics, done = tmp_path / "metrics", spark.createDataFrame([("a",), ("b",)], "srr string")
+    for i, rows in enumerate(([("a", 1), ("a", 1), ("c", 5)], [("a", 2), ("b", 3)])):
+        spark.createDataFrame(rows, "srr string, n long").coalesce(1).write.mode("append").parquet(str(metrics))
+        stream_metrics(spark, str(metrics), "srr string, n long", f"{sink}.m", f"{state}.m", done=done).awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{sink}.m").collect()) == [("a", 1), ("b", 3)]
