@@ -9,12 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from expatlas.operators.aggregates import rank_average, running_sum
+from expatlas.operators.vectors import moments
 
 LOGS = {None: lambda c: c, "log2": lambda c: F.log2(c + 1), "log10": lambda c: F.log10(c + 1), "ln": lambda c: F.log1p(c)}
 
@@ -320,14 +320,28 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def pca(df: DataFrame, cols: list[str], k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scores (``pc``), explained variance (``component, ratio``) and loadings (``column, component, loading``)."""
-    whole = VectorAssembler(inputCols=cols, outputCol="_v").transform(df)
-    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(whole)
+    """Scores (``pc``), explained variance (``component, ratio``) and loadings (``column, component, loading``).
+
+    The tasks sum up the covariance (``moments``); its eigenvectors, p x p numbers, are found on the driver
+    by a symmetric solver, which always converges. Rows with a null take no part and have null scores.
+    """
     spark = df.sparkSession
-    ratio = spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(model.explainedVariance)], "component int, ratio double")
-    axes = model.pc.toArray()
-    loadings = spark.createDataFrame([(c, i + 1, float(axes[j, i])) for j, c in enumerate(cols) for i in range(k)], "column string, component int, loading double")
-    return model.transform(whole).withColumn("pc", vector_to_array("_p")).drop("_v", "_p"), ratio, loadings
+    vector = F.array(*[F.col(c).cast("double") for c in cols])
+    known = ~F.exists(vector, lambda x: x.isNull())
+    lines = moments(df.select(vector.alias("vector"))).select("i", "line").collect()  # a line a column
+    cov = np.array([r["line"] for r in sorted(lines, key=lambda r: r["i"])]).reshape(-1, len(cols)) if lines else np.zeros((len(cols), len(cols)))
+    values, axes = np.linalg.eigh((cov + cov.T) / 2)
+    values, axes = np.maximum(values[::-1], 0), axes[:, ::-1][:, :k]
+    share = values / (values.sum() or 1.0)
+    ratio = spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(share[:k])], "component int, ratio double")
+    loadings = spark.createDataFrame([(c, i + 1, float(axes[j, i])) for j, c in enumerate(cols) for i in range(axes.shape[1])], "column string, component int, loading double")
+
+    @F.pandas_udf("array<double>")
+    def turned(x: pd.Series) -> pd.Series:
+        out = [None if v is None else np.asarray(v, np.float64) @ axes for v in x]
+        return pd.Series(out, dtype=object)
+
+    return df.withColumn("pc", turned(F.when(known, vector))), ratio, loadings
 
 
 def binned_profiles(vectors: DataFrame, bins: int) -> DataFrame:

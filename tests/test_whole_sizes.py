@@ -18,6 +18,23 @@ def test_pca_uses_all_components(spark):
     assert np.allclose([[abs(loadings[(f"c{j}", i + 1)]) for j in range(64)] for i in range(4)], np.abs(axes), atol=1e-6)
 
 
+def test_pca_of_tied_and_missing_values(spark):
+    """Equal eigenvalues, a constant column and nulls; the solver of the first form could fail to converge."""
+    rng = np.random.default_rng(3)
+    x = np.hstack([np.repeat(np.eye(6), 20, axis=0), np.full((120, 1), 2.0), rng.integers(0, 2, (120, 3))])
+    cols = [f"c{i}" for i in range(10)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)] + [(120, *[1.0] * 9, None)], ", ".join(["id int", *[f"{c} double" for c in cols]]))
+    scores, ratio, loadings = science.N.pca(df, cols, 10)
+    values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+    assert np.allclose([r.ratio for r in ratio.orderBy("component").collect()], values / values.sum(), atol=1e-12)
+    axes = np.zeros((10, 10))
+    for r in loadings.collect():
+        axes[int(r.column[1:]), r.component - 1] = r.loading
+    assert np.allclose(axes.T @ axes, np.eye(10)) and np.allclose(axes.T @ np.cov(x.T) @ axes, np.diag(values), atol=1e-12)
+    got = {r.id: r.pc for r in scores.collect()}
+    assert got[120] is None and np.allclose([got[i] for i in range(120)], x @ axes)
+
+
 def test_clusters(spark):
     assert registry.QUERIES["m10_kmeans"](spark, DIR).select("cluster").distinct().count() == 15
 
