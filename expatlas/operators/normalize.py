@@ -131,11 +131,14 @@ def median_corr(counts: DataFrame, bridge: DataFrame) -> DataFrame:
     """
     rows = counts.select("item_id", "feature_id", F.col("count").cast("double").alias("x")).join(bridge.select("group_id", "item_id"), "item_id")
     sizes = bridge.groupBy("group_id").agg(F.count("*").alias("_items"))
-    lists = rows.groupBy("group_id", "feature_id").agg(F.array_sort(F.collect_list("x")).alias("_v")).join(sizes, "group_id")
-    full = F.array_sort(F.concat("_v", F.array_repeat(F.lit(0.0), F.col("_items").cast("int") - F.size("_v"))))
+    # zeros of absent items are counted and not written out; where they hold the middle the median is 0
+    here = rows.groupBy("group_id", "feature_id").agg(F.count_if(F.col("x") < 0).alias("_below"), F.count_if(F.col("x") > 0).alias("_above"), F.array_sort(F.collect_list(F.when(F.col("x") != 0, F.col("x")))).alias("_v"))
+    lists = here.join(sizes, "group_id").filter(F.greatest("_below", "_above") * 2 >= F.col("_items"))
+    zeros = (F.col("_items") - F.size("_v")).cast("int")
+    at = lambda i: F.when(i < F.col("_below"), F.get("_v", i)).when(i < F.col("_below") + zeros, F.lit(0.0)).otherwise(F.get("_v", i - zeros))
     half = (F.col("_items") / 2).cast("int")
-    middle = F.when(F.col("_items") % 2 == 1, F.get("_f", half)).otherwise((F.get("_f", half - 1) + F.get("_f", half)) / 2)
-    medians = lists.select("group_id", "feature_id", "_items", full.alias("_f")).select("group_id", "feature_id", middle.alias("m")).filter("m <> 0")
+    middle = F.when(F.col("_items") % 2 == 1, at(half)).otherwise((at(half - 1) + at(half)) / 2)
+    medians = lists.select("group_id", "feature_id", middle.alias("m")).filter("m <> 0")
     n = counts.agg(F.count_distinct("feature_id").alias("_n"))
     own = rows.groupBy("group_id", "item_id").agg(F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"))
     of_group = medians.groupBy("group_id").agg(F.sum("m").alias("sm"), F.sum(F.col("m") * F.col("m")).alias("smm"))
@@ -199,6 +202,7 @@ def replicate_flags(bridge: DataFrame, counts: DataFrame, cutoff: float = 0.97)
     Of two items that correlate below the cutoff the smaller goes; of more, those that do so with the
     group's median profile.
     """
+    counts = materialize(counts.select("item_id", "feature_id", "count"), "counts")
     sizes = bridge.withColumn("items", F.count("*").over(Window.partitionBy("group_id")))
     of_two = sizes.filter("items = 2").groupBy("group_id").agg(F.min("item_id").alias("item_a"), F.max("item_id").alias("item_b"))
     pairs = sizes.filter("items = 2").select("group_id", "item_id")

@@ -70,3 +70,15 @@ def test_negative_counts_are_refused(spark, bridge):
     rows = spark.createDataFrame([("i00", "a", -1), ("i03", "a", 2)], "item_id string, feature_id string, count long")
     with pytest.raises(ValueError):
         N.pair_corr(rows.withColumn("count", F.col("count")), bridge)
+
+
+@pytest.mark.parametrize("items", [4, 5])
+def test_medians_of_groups_with_many_zeros(spark, items):
+    """Also with counts below zero; the zeros of absent items are not written out as lists."""
+    rng = np.random.default_rng(items)
+    x = rng.integers(-3, 6, (items, 30)) * (rng.random((items, 30)) < np.linspace(0.1, 1, 30))
+    rows = spark.createDataFrame([(i, f, int(x[i, f])) for i in range(items) for f in range(30) if x[i, f] or f % 2 or not i], "item_id int, feature_id int, count long")
+    got = N.median_corr(rows, spark.createDataFrame([(7, i) for i in range(items)], "group_id int, item_id int"))
+    assert "array_repeat" not in got._jdf.queryExecution().analyzed().toString()
+    want = [np.corrcoef(v, np.median(x, axis=0))[0, 1] for v in x]
+    assert np.allclose([r["corr"] for r in got.orderBy("item_id").collect()], want)
