@@ -106,3 +106,18 @@ def test_batches_read_their_own_files_only(spark, tmp_path):
         spark.createDataFrame(rows, "srr string, n long").coalesce(1).write.mode("append").parquet(str(metrics))
         stream_metrics(spark, str(metrics), "srr string, n long", f"{sink}.m", f"{state}.m", done=done).awaitTermination()
     assert sorted(tuple(r) for r in spark.read.parquet(f"{sink}.m").collect()) == [("a", 1), ("b", 3)]
+
+
+def test_report_files_are_written_by_many_tasks(spark):
+    """Short reports of many samples are not joined into one task, which would open every file in turn."""
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from expatlas.plans import ingest
+
+    lines = spark.range(200).select(F.concat(F.lit("SRR"), "id").alias("sample"), F.lit(0).alias("at"), F.concat(F.lit("n="), "id").alias("value"))
+    pattern = ingest._reports(lines, "many")
+    files = list(Path(pattern.removesuffix("/*").removeprefix("file:")).glob("sample=*/part-*"))
+    assert len(files) == 200 and len({f.name.split("-")[1] for f in files}) > 8
+    assert sorted(f.read_text() for f in files) == sorted(f"n={i}\n" for i in range(200))
