@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from expatlas.sources.reports import ACCESSIONS
+from expatlas.sources.reports import ACCESSIONS, PACKED_WHOLE, is_packed
 
 
-def _named() -> Column:
+def _named(df: DataFrame) -> Column:
     """A file's folder and name, the name first, as accessions stand in either."""
-    return F.concat(F.col("_metadata.file_name"), F.lit("/"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    parts = F.split(F.col("file" if "file" in df.columns else "_metadata.file_path"), "/")
+    return F.concat_ws("/", F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2)))
+
+
+def _arriving(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """``value`` of each report that arrives: a text file each, or rows of packed reports, a row a report."""
+    stream = spark.readStream if files_per_batch is None else spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.schema(PACKED_WHOLE).parquet(folder) if is_packed(folder) else stream.text(folder, wholetext=True)
 
 
 def first_of_key(stream: DataFrame, key: str) -> DataFrame:
@@ -26,8 +33,8 @@ def first_of_key(stream: DataFrame, key: str) -> DataFrame:
 
 def stream_counts(spark: SparkSession, folder: str, sink: str, checkpoint: str, kind: str = "srx", files_per_batch: int = 1000):
     """Count tables that arrive in a folder, a file a sample, appended once a sample: later files of a known sample are left out."""
-    files = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder, wholetext=True)
-    fresh = first_of_key(files.select(F.regexp_extract(_named(), ACCESSIONS[kind], 1).alias("sample"), "value"), "sample")
+    files = _arriving(spark, folder, files_per_batch)
+    fresh = first_of_key(files.select(F.regexp_extract(_named(files), ACCESSIONS[kind], 1).alias("sample"), "value"), "sample")
     lines = fresh.select("sample", F.explode(F.split("value", r"\r?\n")).alias("value"))
     parts = F.split("value", "\t")
     rows = lines.filter(~F.col("value").startswith("#")).select("sample", parts[0].alias("feature_id"), F.element_at(parts, -1).try_cast("long").alias("count")).filter("count is not null")
@@ -46,8 +53,9 @@ def _append(rows: DataFrame, sink: str, checkpoint: str):
 
 def stream_flags(spark: SparkSession, folder: str, sink: str, checkpoint: str, kind: str = "srr"):
     """Flag files (item from the name, flag from the suffix, text inside) as ``item, flag, note, seen``."""
-    name = F.col("_metadata.file_name")
-    rows = spark.readStream.text(folder, wholetext=True).select(F.regexp_extract(_named(), ACCESSIONS[kind], 1).alias("item"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("flag"), F.trim("value").alias("note"), F.col("_metadata.file_modification_time").alias("seen"))
+    files = _arriving(spark, folder)
+    name = F.element_at(F.split(F.col("file" if "file" in files.columns else "_metadata.file_path"), "/"), -1)
+    rows = files.select(F.regexp_extract(_named(files), ACCESSIONS[kind], 1).alias("item"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("flag"), F.trim("value").alias("note"), F.col("_metadata.file_modification_time").alias("seen"))
     return _append(rows, sink, checkpoint)
 
 
@@ -57,5 +65,5 @@ def latest_flags(flags: DataFrame) -> DataFrame:
 
 def flag_from_logs(lines: DataFrame, phrase: str = "failed to resolve accession") -> DataFrame:
     """Items whose log holds the phrase; works on a batch or a stream of text lines."""
-    item = F.regexp_extract(_named(), ACCESSIONS["srr"], 1)
+    item = F.regexp_extract(_named(lines), ACCESSIONS["srr"], 1)
     return lines.filter(F.contains("value", F.lit(phrase))).select(item.alias("item"), F.lit("download_bad").alias("flag"))

@@ -1,6 +1,7 @@
 """Work-list algebra, reads, report scans and incremental ingest."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from expatlas.operators import reads as Q
 from expatlas.operators import relational as R
@@ -121,3 +122,26 @@ def test_report_files_are_written_by_many_tasks(spark):
     files = list(Path(pattern.removesuffix("/*").removeprefix("file:")).glob("sample=*/part-*"))
     assert len(files) == 200 and len({f.name.split("-")[1] for f in files}) > 8
     assert sorted(f.read_text() for f in files) == sorted(f"n={i}\n" for i in range(200))
+
+
+def test_packed_reports_read_like_files(spark, tmp_path):
+    """The same reports as files and packed give the same rows, lines and checksums, in far fewer files than there are reports."""
+    from pathlib import Path
+
+    from expatlas.plans import ingest
+
+    texts = {f"SRR{i}": ["# note", "Geneid\tChr\tx.bam", *[f"g{j}\t2L\t{i * j}" for j in range(i % 5)], ""] for i in range(60)}
+    lines = spark.createDataFrame([(k, 7 * n, x) for k, v in texts.items() for n, x in enumerate(v)], "sample string, at long, value string")
+    files, packed = ingest._reports(lines, "files"), ingest._packed(lines, "packed")
+    assert len(list(Path(packed.removeprefix("file:")).glob("*.parquet"))) < 60
+    as_rows = lambda df: sorted(map(tuple, df.collect()))
+    for read in (
+        lambda p: S.read_counts(spark, p, "srr"), lambda p: S._whole(spark, p, "srr").select("sample", "value"),
+        lambda p: S.lines_of_files(spark, p, "srr").select("sample", "at", "value"),
+        lambda p: S.checksum_manifest(spark, p).select(F.regexp_extract("file", r"sample=(\w+)", 1), "md5"),
+        lambda p: S.parse_files(spark, p, lambda sample, found: [(sample, len(found))], "sample string, n int"),
+    ):
+        assert as_rows(read(files)) == as_rows(read(packed))
+    before = set(Path(tmp_path.root, "tmp").glob("spark-*/*/reports/own-*/sample=*"))
+    assert ingest.x01_own_parser(spark, "/root/testdata/sf0.001").count() > 0
+    assert set(Path(tmp_path.root, "tmp").glob("spark-*/*/reports/own-*/sample=*")) == before
