@@ -72,12 +72,21 @@ def segment(df: DataFrame, by: list[str], attribute: str, tile: int = 1 << 10) -
     return met.groupBy(*by, "start", "stop").agg(F.array_sort(F.collect_set("_m")).alias("members"))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, by: list[str], bin_size: int = 1024) -> DataFrame:
+def bin_for(a: DataFrame, b: DataFrame) -> int:
+    """A power of two about the mean length of the intervals: bins are then some three rows an interval at most, and
+    rows that meet in a bin are some few times the pairs that overlap, however dense the intervals are."""
+    spans = a.select("start", "stop").union(b.select("start", "stop"))
+    mean = spans.agg(F.avg(F.greatest(F.col("stop") - F.col("start"), F.lit(0)))).first()[0] or 0
+    return 1 << max(0, int(mean).bit_length())
+
+
+def overlap_join(a: DataFrame, b: DataFrame, by: list[str], bin_size: int | None = None) -> DataFrame:
     """Pairs that overlap as in ``islands``; columns of ``b`` get the prefix ``b_``.
 
     Both sides are listed in the bins they touch and joined on (group, bin); a pair is kept in its
-    first common bin only, so that it comes once.
+    first common bin only, so that it comes once. Bins are as wide as intervals are long on average.
     """
+    bin_size = bin_size or bin_for(a, b)
 
     def binned(df: DataFrame) -> DataFrame:
         return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor(F.col("stop") / bin_size))))

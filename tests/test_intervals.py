@@ -45,3 +45,18 @@ def test_coverage_propagates_missing(spark):
     t = spark.createDataFrame([("c", 0, 10, "a", 1.0), ("c", 5, 10, "b", 3.0)], "chrom string, start long, stop long, sample string, value double")
     assert [tuple(r) for r in R.merge_coverage(t, "mean", 2).orderBy("start").collect()] == [("c", 0, 5, 0.5), ("c", 5, 10, 2.0)]
     assert [r.value for r in R.merge_coverage(t, "mean", 2, missing="propagate").orderBy("start").collect()] == [None, 2.0]
+
+
+def test_dense_intervals_meet_in_narrow_bins(spark):
+    """Rows that meet in a bin are a few times the pairs that overlap, and the pairs are those of brute force."""
+    import random
+
+    rng = random.Random(4)
+    sides = [[(s, s + rng.choice([0, 1, 3, 9, 40])) for s in (rng.randrange(2000) for _ in range(400))] for _ in range(2)]
+    a, b = (table(spark, rows) for rows in sides)
+    width = R.bin_for(a, b)
+    assert width <= 16 and R.bin_for(a.limit(0), b.limit(0)) == 1
+    bins = [{k: sum(s // width <= k <= e // width for s, e in rows) for k in range(2100 // width)} for rows in sides]
+    want = sorted((f"g{i}", f"g{j}") for i, (s, e) in enumerate(sides[0]) for j, (t, f) in enumerate(sides[1]) if s < f and t < e)
+    assert sum(bins[0][k] * bins[1][k] for k in bins[0]) < 6 * len(want)
+    assert sorted((r["name"], r.b_name) for r in R.overlap_join(a, b, ["chrom"]).collect()) == want
