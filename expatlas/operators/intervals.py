@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from expatlas.operators.aggregates import sequence_ids
-from expatlas.scratch import ship
+from expatlas.scratch import materialize, ship
 
 
 def islands(df: DataFrame, by: list[str], start: str = "start", stop: str = "stop", touching: bool = False, tile: int = 1 << 16) -> DataFrame:
@@ -274,12 +274,21 @@ def mapped_share(idxstats: DataFrame, chroms: list[str]) -> DataFrame:
     return rows.select("sample", *[F.try_divide(F.col(c), total).alias(c) for c in chroms])
 
 
-def feature_structure(exons: DataFrame) -> DataFrame:
-    """Transcripts, different exons and different introns of each gene, from exons ``gene, transcript, start, stop``."""
-    following = F.lead("start").over(Window.partitionBy("gene", "transcript").orderBy("start", "stop"))
-    rows = exons.select("gene", "transcript", "start", "stop").distinct().withColumn("_next", following)
+def feature_structure(exons: DataFrame, per_task: int = 100_000) -> DataFrame:
+    """Transcripts, different exons and different introns of each gene, from exons ``gene, transcript, start, stop``.
+
+    Genes are dealt to as many tasks as make some ``per_task`` exons each, so that what a task sorts and
+    counts does not grow with the table.
+    """
+    known = materialize(exons.select("gene", "transcript", "start", "stop"), "exons")
+    tasks = max(int(exons.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known.count() // per_task))
+    own = Window.partitionBy("gene", "transcript").orderBy("start", "stop")
+    rows = known.repartition(tasks, "gene").distinct().withColumn("_next", F.lead("start").over(own)).withColumn("_t", F.row_number().over(own) == 1)
     intron = F.when(F.col("_next") > F.col("stop") + 1, F.struct(F.col("stop") + 1, F.col("_next") - 1))
-    return rows.groupBy("gene").agg(F.count_distinct("transcript").alias("transcripts"), F.count_distinct(F.struct("start", "stop")).alias("exons"), F.count_distinct(intron).alias("introns"))
+    first = lambda *c: F.row_number().over(Window.partitionBy("gene", *c).orderBy("transcript")) == 1  # noqa: E731  one of equal ones counts
+    rows = rows.withColumn("_e", first("start", "stop")).withColumn("_i", intron)
+    rows = rows.withColumn("_i", F.col("_i").isNotNull() & first("_i"))
+    return rows.groupBy("gene").agg(F.count_if(F.col("_t") & F.col("transcript").isNotNull()).alias("transcripts"), F.count_if("_e").alias("exons"), F.count_if("_i").alias("introns"))
 
 
 def structure_quartiles(structure: DataFrame) -> DataFrame:

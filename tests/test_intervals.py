@@ -60,3 +60,15 @@ def test_dense_intervals_meet_in_narrow_bins(spark):
     want = sorted((f"g{i}", f"g{j}") for i, (s, e) in enumerate(sides[0]) for j, (t, f) in enumerate(sides[1]) if s < f and t < e)
     assert sum(bins[0][k] * bins[1][k] for k in bins[0]) < 6 * len(want)
     assert sorted((r["name"], r.b_name) for r in R.overlap_join(a, b, ["chrom"]).collect()) == want
+
+
+def test_tasks_of_feature_structure_grow_with_exons(spark):
+    rows = [(f"g{i % 40}", f"t{i % 3}", 10 * i, 10 * i + 5 + i % 2) for i in range(2000)] * 2
+    exons = spark.createDataFrame(rows, "gene string, transcript string, start long, stop long")
+    found = R.feature_structure(exons, per_task=100)
+    assert found.rdd.getNumPartitions() >= len(rows) // 100
+    got = {r.gene: (r.transcripts, r.exons, r.introns) for r in found.collect()}
+    for g in {r[0] for r in rows}:
+        own = sorted({r[1:] for r in rows if r[0] == g})
+        introns = {(x[2] + 1, y[1] - 1) for x, y in zip(own, own[1:]) if x[0] == y[0] and y[1] > x[2] + 1}
+        assert got[g] == (len({x[0] for x in own}), len({x[1:] for x in own}), len(introns))
