@@ -559,3 +559,28 @@ def test_top_k_of_equal_vectors(spark):
         want = sorted((-scores[q, j], j) for j in range(900) if j != q)[:5]
         assert sorted(got[q]) == [(k + 1, j, -s) for k, (s, j) in enumerate(want)]
     assert len(got) == 18
+
+
+def test_lines_of_other_letters_are_no_candidates(spark):
+    """Every pair within two edits stays a candidate; lines that share a segment and little else are none."""
+    rng = np.random.default_rng(21)
+    letters = list("abcdefghij \u00e9\u4e2d\U0001f600")
+    lines = []
+    for _ in range(30):
+        base = "".join(rng.choice(letters, 40))
+        lines.append(base)
+        for _ in range(4):
+            x = list(base)
+            for _ in range(rng.integers(1, 3)):
+                i = int(rng.integers(len(x)))
+                x[i : i + 1] = [[], [str(rng.choice(letters))], [x[i], str(rng.choice(letters))]][rng.integers(3)]
+            lines.append("".join(x))
+    start = "".join(rng.choice(letters, 20))
+    apart = [start + "".join(rng.choice(list("klmnopqrstuvwxyz"), 20)) for _ in range(20)]
+    names = sorted({*lines, *apart})
+    df = spark.createDataFrame(list(enumerate(names)), "hash long, line string")
+    got = {(r.a, r.b) for r in line_dedup.candidate_pairs(df, 2, 8, 32).collect()}
+    within = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if line_dedup.edits_within(names[i], names[j], 2)}
+    assert within and within <= got
+    far = [names.index(x) for x in apart]
+    assert len([p for p in got if set(p) <= set(far)]) < 40  # of 190 that share a segment
