@@ -19,18 +19,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from expatlas.scratch import discard, materialize
+from expatlas.scratch import discard, materialize, ship
 
 SHORT, PARTS, LEAF = 9, 8, 16
 #: What the first and the second edit add to the longer line: a letter (1), none (0), or one less (-1).
 KINDS = [(0, 0), (1, -1), (-1, 1), (0, 1), (1, 0), (1, 1)]
 _BASE, _ODD = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _POWERS: list[np.ndarray] = []
-_STATE = "hash long, role int, ctx long, edits int, w string"
+_STATE = "hash long, odd int, role int, ctx long, edits int, w string"
+
+
+def letter_parities(lines: pa.Array) -> pa.Array:
+    """For each line a bit for each of 32 classes of letters: whether it has an odd number of them.
+
+    An edit takes one letter, adds one or both, so that it changes two bits at most. A letter's class is made of its first byte.
+    """
+    texts = [x.encode("utf-8", "surrogatepass") for x in lines.to_pylist()]
+    octets = np.frombuffer(b"".join(x + b"\x80" for x in texts), np.uint8)  # a byte that counts nothing, so that no line is empty
+    bits = np.where(octets & 0xC0 == 0x80, 0, np.left_shift(np.int64(1), (octets & 31).astype(np.int64)))
+    starts = np.cumsum([0, *(len(x) + 1 for x in texts)])[:-1]
+    found = np.bitwise_xor.reduceat(bits, starts) if len(texts) else bits
+    return pa.array(found.astype(np.uint32).view(np.int32), pa.int32())
+
+
+def may_be_near(odd: Column, other: Column, edits: int) -> Column:
+    """Whether two lines' parities allow so few edits."""
+    return F.bit_count(odd.bitwiseXOR(other)) <= 2 * edits
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -168,27 +187,28 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 def _grouped(rows: DataFrame, key: str, most: int) -> DataFrame:
     """The rows of keys with lines of both sides, two different ones at least. ``crowded`` says whether over
-    ``most`` are the shorter ones; where not, ``met`` lists those. No task holds the lines of a crowded key."""
+    ``most`` are the shorter ones; where not, ``met`` lists those, with their parities. No task holds the lines of a crowded key."""
     rows, short = materialize(rows, "grouped"), F.col("role") == SHORT
     ends = rows.groupBy(key).agg(F.count_if(short).alias("_x"), F.count_if(~short).alias("_y"), F.min("hash").alias("_low"), F.max("hash").alias("_high"))
     ends = ends.filter("_x > 0 and _y > 0 and _low < _high").select(key, "_x")
-    few = rows.filter(short).join(ends.filter(F.col("_x") <= most).select(key), key, "left_semi").groupBy(key).agg(F.collect_list("hash").alias("met"))
+    few = rows.filter(short).join(ends.filter(F.col("_x") <= most).select(key), key, "left_semi").groupBy(key).agg(F.collect_list(F.struct("hash", "odd")).alias("met"))
     return rows.join(ends, key).join(few, key, "left").select(*rows.columns, (F.col("_x") > most).alias("crowded"), "met")
 
 
-def _calm(grouped: DataFrame) -> DataFrame:
-    """Pairs of the keys that are not crowded."""
-    return _pairs(grouped.filter(~F.col("crowded") & (F.col("role") != SHORT)).select("hash", F.explode("met").alias("other")))
+def _calm(grouped: DataFrame, edits: int) -> DataFrame:
+    """Pairs of the keys that are not crowded; lines that share a key and whose parities lie too far apart make none."""
+    near = F.filter("met", lambda x: may_be_near(x["odd"], F.col("odd"), edits))
+    return _pairs(grouped.filter(~F.col("crowded") & (F.col("role") != SHORT)).select("hash", F.explode(near).alias("x")).select("hash", F.col("x.hash").alias("other")))
 
 
-def two_places(state: DataFrame, most: int, tasks: int) -> list[DataFrame]:
+def two_places(state: DataFrame, edits: int, most: int, tasks: int) -> list[DataFrame]:
     """Pairs with one edit in each of two parts of their windows; at most ``tasks`` run Python at a time."""
-    rests = state.mapInPandas(_each(lambda r: [(k, r.hash, r.role, r.ctx, a, b, s) for k, a, b, s in _rests(r, Spans(r.w))], "key hash role ctx a b s"), "key long, hash long, role int, ctx long, a int, b int, s int")
+    rests = state.mapInPandas(_each(lambda r: [(k, r.hash, r.odd, r.role, r.ctx, a, b, s) for k, a, b, s in _rests(r, Spans(r.w))], "key hash odd role ctx a b s"), "key long, hash long, odd int, role int, ctx long, a int, b int, s int")
     rests = materialize(_grouped(rests, "key", most), "rests")
     need = rests.filter("crowded").groupBy("hash", "role", "ctx").agg(F.collect_set(F.struct("a", "b", "s")).alias("need"))
     work = materialize(state.join(need, ["hash", "role", "ctx"]), "work")
     if work.isEmpty():
-        return [_calm(rests)]
+        return [_calm(rests, edits)]
 
     def parts(row) -> Iterator[tuple]:
         for part in {p for one, other, _ in _two_parts(row, row.need) for p in (one, other)}:
@@ -223,7 +243,7 @@ def two_places(state: DataFrame, most: int, tasks: int) -> list[DataFrame]:
     combined = work.join(found, ["hash", "role", "ctx"]).coalesce(tasks).mapInPandas(_each(combine, "key hash short"), "key long, hash long, short boolean")
     out = materialize(stars(combined), "stars")
     discard(work, named, keyed, hits)
-    return [_calm(rests), out]
+    return [_calm(rests, edits), out]
 
 
 def one_place(state: DataFrame) -> DataFrame:
@@ -234,22 +254,24 @@ def one_place(state: DataFrame) -> DataFrame:
         spans = Spans(row.w)
         for a in range(PARTS):
             ctx = mix(row.ctx, a, spans.of(0, at[a]), spans.of(at[a + 1] + more, spans.size))
-            yield row.hash, row.role, int(ctx[0]), row.edits, row.w[at[a] : at[a + 1] + more]
+            yield row.hash, row.odd, row.role, int(ctx[0]), row.edits, row.w[at[a] : at[a + 1] + more]
 
-    return state.mapInPandas(_each(cut, "hash role ctx edits w"), _STATE)
+    return state.mapInPandas(_each(cut, "hash odd role ctx edits w"), _STATE)
 
 
 def crowd_pairs(lines: DataFrame, allowed, edits: int, most: int) -> DataFrame:
     """Pairs ``a, b`` of the lines ``hash, line, n``, the links among them: a superset of all pairs within
-    ``allowed(n)`` edits, n being the shorter length, but for stars in place of crowds.
+    ``allowed(n)`` edits, n being the shorter length, but for stars in place of crowds and without pairs whose letters' parities rule them out.
 
     ``edits`` is 2 at most. The number of levels grows with the logarithm of the longest line and ends
     where no group is crowded; each is written to the shared folder.
     """
+    ship(lines.sparkSession)
+    lines = lines.select("hash", "n", "line", F.arrow_udf(letter_parities, "int")("line").alias("odd"))
     n = F.col("n") - F.col("more")
     longer = lines.select("*", F.explode(F.array(*[F.lit(i) for i in range(edits + 1)])).alias("more")).filter(allowed(n) >= F.greatest("more", F.lit(1)))
-    longer = longer.select("hash", F.col("more").alias("role"), F.xxhash64(n).alias("ctx"), allowed(n).alias("edits"), F.col("line").alias("w"))
-    shorter = lines.filter(allowed(F.col("n")) > 0).select("hash", F.lit(SHORT).alias("role"), F.xxhash64("n").alias("ctx"), allowed(F.col("n")).alias("edits"), F.col("line").alias("w"))
+    longer = longer.select("hash", "odd", F.col("more").alias("role"), F.xxhash64(n).alias("ctx"), allowed(n).alias("edits"), F.col("line").alias("w"))
+    shorter = lines.filter(allowed(F.col("n")) > 0).select("hash", "odd", F.lit(SHORT).alias("role"), F.xxhash64("n").alias("ctx"), allowed(F.col("n")).alias("edits"), F.col("line").alias("w"))
     crowd, found = materialize(shorter.union(longer), "windows"), []  # lines of one length, which share nothing yet
     short_window = F.char_length("w") - F.when(F.col("role") == SHORT, 0).otherwise(F.col("role")) <= LEAF
     while n_rows := crowd.count():
@@ -259,11 +281,11 @@ def crowd_pairs(lines: DataFrame, allowed, edits: int, most: int) -> DataFrame:
         if not crowd.filter(short_window).isEmpty():
             found.append(materialize(stars(leaves), "stars"))
         rest = crowd.filter(~short_window)
-        found += two_places(rest, most, tasks)
+        found += two_places(rest, edits, most, tasks)
         parts = materialize(_grouped(one_place(rest), "ctx", most), "parts")
-        found.append(_calm(parts))
+        found.append(_calm(parts, edits))
         discard(crowd)
-        crowd = materialize(parts.filter("crowded").select("hash", "role", "ctx", "edits", "w"), "crowd")
+        crowd = materialize(parts.filter("crowded").select("hash", "odd", "role", "ctx", "edits", "w"), "crowd")
     if not found:
         return lines.select(F.col("hash").alias("a"), F.col("hash").alias("b")).limit(0)
     out = found[0]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from expatlas.llm.common import marks, with_mark
 from expatlas.llm.components import connected_components
-from expatlas.llm.edit_stars import crowd_pairs
+from expatlas.llm.edit_stars import crowd_pairs, letter_parities, may_be_near
 from expatlas.scratch import discard, materialize, ship
 
 _KEY_BITS = (1 << 48) - 1
@@ -137,19 +136,6 @@ def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return body.filter(F.col("line").rlike(r"\S"))
 
 
-def letter_parities(lines: pa.Array) -> pa.Array:
-    """For each line a bit for each of 32 classes of letters: whether it has an odd number of them.
-
-    An edit takes one letter, adds one or both, so that it changes two bits at most. A letter's class is made of its first byte.
-    """
-    texts = [x.encode("utf-8", "surrogatepass") for x in lines.to_pylist()]
-    octets = np.frombuffer(b"".join(x + b"\x80" for x in texts), np.uint8)  # a byte that counts nothing, so that no line is empty
-    bits = np.where(octets & 0xC0 == 0x80, 0, np.left_shift(np.int64(1), (octets & 31).astype(np.int64)))
-    starts = np.cumsum([0, *(len(x) + 1 for x in texts)])[:-1]
-    found = np.bitwise_xor.reduceat(bits, starts) if len(texts) else bits
-    return pa.array(found.astype(np.uint32).view(np.int32), pa.int32())
-
-
 def candidate_pairs(lines: DataFrame, edits: int, letters_per_edit: int, most: int) -> DataFrame:
     """Pairs ``a < b`` of the hashes of different lines (``hash, line``) among which is every link, or a chain of links in its place.
 
@@ -163,7 +149,7 @@ def candidate_pairs(lines: DataFrame, edits: int, letters_per_edit: int, most: i
     crowded = materialize(index.groupBy("key").count().filter(F.col("count") > most).select("key"), "crowded")
     if not crowded.isEmpty():  # one row stands for a crowd, to tell who belongs to it
         index = index.join(crowded, "key", "left_anti").select("x", "x_odd", "key").union(crowded.select(F.lit(None).cast("long"), F.lit(None).cast("int"), "key"))
-    near = F.bit_count(F.col("x_odd").bitwiseXOR(F.col("y_odd"))) <= 2 * edits
+    near = may_be_near(F.col("x_odd"), F.col("y_odd"), edits)
     met = probes.join(index, "key").filter(F.col("x").isNull() | ((F.col("x") != F.col("y")) & near))
     met = materialize(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "met")
     pairs, names = met.filter("a <> b"), met.filter("a = b").select(F.col("a").alias("hash"))
@@ -179,7 +165,7 @@ def wanted_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
     Most lines are in no pair; marks of bounded size keep them out of the exact join that follows.
     """
-    names = pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct()
+    names = materialize(pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct(), "names")  # read twice
     seen = with_mark(lines, "hash", marks(names, "hash")).filter("_marked").select("hash", "line")
     return seen.dropDuplicates(["hash"]).join(names, "hash")
 

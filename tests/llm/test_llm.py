@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -584,3 +585,22 @@ def test_lines_of_other_letters_are_no_candidates(spark):
     assert within and within <= got
     far = [names.index(x) for x in apart]
     assert len([p for p in got if set(p) <= set(far)]) < 40  # of 190 that share a segment
+
+
+def test_crowds_of_other_letters_make_no_pairs(spark):
+    """Lines of one long frame, in which each of five words is one of a few, crowd every segment; only those within two edits meet."""
+    from expatlas.llm import edit_stars
+
+    rng = np.random.default_rng(22)
+    words = ["abcdefg", "hijklmn", "opqrstu", "vwxyzab", "cegikmo", "dfhjlnp"]
+    frame = [f"{i}{'-' * 12}" for i in range(5)]
+    names = sorted({"".join(f + str(rng.choice(words)) for f in frame) for _ in range(150)})
+    names = sorted({*names, *(x[:-1] + "!" for x in names[:40])})
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(names)], "hash long, line string, n int")
+    got = {(r.a, r.b) for r in edit_stars.crowd_pairs(df, lambda n: line_dedup.allowed(n, 2, 8), 2, 8).collect()}
+    within = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if line_dedup.edits_within(names[i], names[j], 2)}
+    assert within
+    assert components(range(len(names)), lambda i, j: (i, j) in got and (i, j) in within) == components(range(len(names)), lambda i, j: (i, j) in within)
+    far = [(i, j) for i, j in got if (i, j) not in within]
+    odd = edit_stars.letter_parities(pa.array(names)).to_pylist()
+    assert not [p for p in far if ((odd[p[0]] ^ odd[p[1]]) & 0xFFFFFFFF).bit_count() > 4]
