@@ -1,6 +1,10 @@
 """Queries without SQL use all components and the sizes of the survey."""
 
+import hashlib
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from expatlas.plans import registry, science
 
@@ -50,6 +54,52 @@ def test_mixin_curve_and_trees(spark, monkeypatch):
     assert sorted((r.source, r.fraction) for r in got) == sorted((s, i / 10) for s in ("N", "R", "price") for i in range(11))
 
 
+def test_mixtures_score_each_row_once(spark):
+    """Rows that no mixture takes are not scored, and those that are, once for all sources and fractions."""
+    from expatlas.operators import outliers as M
+
+    asked = spark.sparkContext.accumulator(0)
+
+    class Forest:
+        key, seed = "id", 0
+
+        def transform(self, df):
+            def far(i):
+                asked.add(1)
+                return i >= 1000
+
+            return df.withColumn("outlier", F.udf(far, "boolean")("id"))
+
+    base, wide, few = spark.range(100), spark.range(900, 1700), spark.range(2000, 2010)
+    fractions = [0.0, 0.3, 0.5, 1.0]
+    got = {(r.source, r.fraction): r.outliers for r in M.mixin_curves(Forest(), base, {"wide": wide, "few": few}, fractions).collect()}
+    assert {f: got["few", f] for f in fractions} == {f: f for f in fractions}
+    hashed = sorted(range(900, 1700), key=lambda i: hashlib.md5(f"0:{i}".encode()).hexdigest())[:100]
+    for f in fractions:
+        assert got["wide", f] == pytest.approx(sum(i >= 1000 for i in hashed[: int(100 * f)]) / 100)
+    assert asked.value == 100 + 100 + 10
+
+
+def test_scores_equal_a_walk_down_each_tree():
+    from expatlas.operators import outliers as M
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 3))
+    x[5, 1] = np.nan
+    trees = [M._grow(rng.normal(size=(40, 3)), rng, 6) for _ in range(7)] + [[(-1, 0.5, 0)]]
+    forest = [tuple(np.array(c) for c in zip(*t, strict=True)) for t in trees]
+
+    def depth(row, tree):
+        at = 0
+        while tree[at][0] >= 0:
+            at += 1 if row[tree[at][0]] < tree[at][1] else 1 + tree[at][2]
+        return tree[at][1]
+
+    want = [-(2 ** (-sum(depth(row, t) for t in trees) / len(trees) / 5.0)) for row in x]
+    assert np.allclose(M._scores(x, forest, 5.0), want, rtol=1e-12)
+    assert len(M._scores(x[:0], forest, 5.0)) == 0
+
+
 def test_background_level_reads_all_events(spark, monkeypatch):
     seen = []
     merge = science.R.merge_coverage
