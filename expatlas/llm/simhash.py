@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from expatlas.llm.common import row_key
+from expatlas.llm.common import marks, row_key, with_mark
 from expatlas.llm.components import connected_components
 from expatlas.scratch import discard, materialize, ship
 
@@ -136,10 +136,13 @@ def keep_one(documents: DataFrame, words_per_shingle: int = 3, least: float | No
         from expatlas.llm.shingle_join import similar_documents
 
         found = similar_documents(documents, words_per_shingle, least, doc_id, text)
-    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
-    chosen = materialize(best.select(F.col("best.key").alias("_key")), "chosen")
-    kept = documents.withColumn("_key", row_key(F.col(doc_id), F.col(text))).join(chosen, "_key", "left_semi")
-    return kept.dropDuplicates(["_key"]).select(*documents.columns)
+    best = found.groupBy("component").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
+    several = found.join(best.filter("n > 1").select("component", F.col("best.key").alias("_best")), "component")
+    several = materialize(several.select(F.col("key").alias("_key"), (F.col("key") == F.col("_best")).alias("_kept")).distinct(), "several")
+    rows = documents.withColumn("_key", row_key(F.col(doc_id), F.col(text))).withColumn("_h", F.xxhash64("_key"))
+    tagged = with_mark(rows, "_h", marks(several.select(F.xxhash64("_key").alias("_h")), "_h"))  # documents alone in their component are not shuffled
+    kept = tagged.filter("_marked").join(several.filter("not _kept").select("_key"), "_key", "left_anti").dropDuplicates(["_key"])
+    return kept.select(*documents.columns).union(tagged.filter("not _marked").select(*documents.columns))
 
 
 def fingerprint_text(fp: Column) -> Column:

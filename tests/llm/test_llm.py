@@ -604,3 +604,30 @@ def test_crowds_of_other_letters_make_no_pairs(spark):
     far = [(i, j) for i, j in got if (i, j) not in within]
     odd = edit_stars.letter_parities(pa.array(names)).to_pylist()
     assert not [p for p in far if ((odd[p[0]] ^ odd[p[1]]) & 0xFFFFFFFF).bit_count() > 4]
+
+
+def test_documents_without_near_copies_are_not_shuffled(spark):
+    """Documents that are alone in their component are a branch of their own beside the join; what is kept stays the same."""
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [(i, " ".join(f"u{i}.{j}" for j in range(30))) for i in range(40)] + [(50, base), (51, base + " end"), (51, base + " end"), (40, base), (None, base), (60, None), (61, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = simhash.keep_one(docs, 5, 0.8)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(41), 60]
+    assert str(kept._jdf.queryExecution().optimizedPlan()).startswith("Union")
+
+
+def test_smaller_sets_share_an_early_element():
+    from math import ceil
+
+    from expatlas.llm import shingle_join
+
+    rng = np.random.default_rng(23)
+    for n in (1, 4, 5, 9, 10, 50, 333):
+        for _ in range(20):
+            both = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            more = np.unique(rng.integers(0, 2**63, n // 4).astype(np.uint64))
+            cut = int(rng.integers(0, len(more) + 1))
+            a, b = sorted((np.union1d(both, more[:cut]), np.union1d(both, more[cut:])), key=len)
+            if n >= 0.8 * len(np.union1d(a, b)):
+                early = a[: len(a) - ceil(1.6 / 1.8 * len(a) - 1e-9) + 1]
+                assert set(early.tolist()) & set(shingle_join.prefix(b, 0.8, a[:0]).tolist())
