@@ -104,6 +104,13 @@ def _blob(m: np.ndarray) -> bytes:
     return np.ascontiguousarray(m, np.float64).tobytes()
 
 
+def _inverse_root(gram: np.ndarray) -> np.ndarray:
+    """What makes columns with these inner products orthonormal; directions of no length are left out."""
+    values, axes = np.linalg.eigh(gram)
+    keep = values > values.max(initial=0) * 1e-14
+    return axes[:, keep] / np.sqrt(values[keep])
+
+
 class _Tall:
     """A matrix of many rows and few columns as blocks of rows: a table ``block, m``."""
 
@@ -164,9 +171,7 @@ class _Tall:
         out = self
         for _ in range(times):
             gram = out.sums(lambda m: (m - mean).T @ (m - mean))
-            values, axes = np.linalg.eigh(gram)
-            keep = values > values.max(initial=0) * 1e-14
-            turn = axes[:, keep] / np.sqrt(values[keep])
+            turn = _inverse_root(gram)
             last, out = out, out.mapped(lambda m: (m - mean) @ turn, turn.shape[1])  # noqa: B023
             if last is not self:
                 discard(last.table)
@@ -186,76 +191,169 @@ class _Tall:
         return self.table.mapInArrow(run, "number bigint, v array<double>")
 
 
-def _product(tiles: DataFrame, other: _Tall | None, inner: str, outer: str, rows: int, width: int, per_block: int, seed: int = 0) -> _Tall:
+def _tile_times(r: np.ndarray, c: np.ndarray, v: np.ndarray, x: np.ndarray, rows: int) -> np.ndarray:
+    """Cells ``r, c, v`` of a tile times ``x``: cell by cell if they are few, else as a dense block."""
+    if len(v) * 128 > rows * len(x):
+        return np.bincount(r.astype(np.int64) * len(x) + c, v, rows * len(x)).reshape(rows, len(x)) @ x
+    y, order = np.zeros((rows, x.shape[1])), np.argsort(r, kind="stable")
+    for i in range(0, len(v), 2048):  # so few that what is made of them stays in the cache
+        some = order[i : i + 2048]
+        at = r[some]
+        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        y[at[starts]] += np.add.reduceat(v[some, None] * x[c[some]], starts)
+    return y
+
+
+def _each_tile(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """``r, c, v`` of every tile as arrays, the tall block that it meets if there is one, and the columns ``names``."""
+    for batch in batches:
+        ends = batch.column("r").offsets.to_numpy()
+        cells = [batch.column(k).values.to_numpy(zero_copy_only=False) for k in "rcv"]
+        m = batch.column("m") if "m" in batch.schema.names else None
+        for i, at in enumerate(zip(*[batch.column(k).to_pylist() for k in names], strict=True)):
+            yield *[x[ends[i] : ends[i + 1]] for x in cells], None if m is None else np.frombuffer(m[i].as_buffer()), *at
+
+
+class _Sums:
+    """Tall blocks that a task adds up, given out as batches of 64 MB at most."""
+
+    def __init__(self) -> None:
+        self.blocks: dict[int, np.ndarray] = {}
+
+    def add(self, block: int, m: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if block in self.blocks:
+            self.blocks[block] += m
+        else:
+            self.blocks[block] = m
+        if len(self.blocks) * m.nbytes > 64 << 20:
+            yield from self.all()
+
+    def all(self) -> Iterator[pa.RecordBatch]:
+        if self.blocks:
+            yield pa.RecordBatch.from_arrays([pa.array(list(self.blocks), pa.int64()), pa.array(map(_blob, self.blocks.values()), pa.binary())], ["block", "m"])
+            self.blocks.clear()
+
+
+def _added(parts: DataFrame) -> DataFrame:
+    """The sum of the blobs of each block, added as they come, however many there are."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        line = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([_blob(total)], pa.binary())], ["block", "m"])
+        for batch in batches:
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                m = np.frombuffer(batch.column("m")[i].as_buffer())
+                if block == now:
+                    total += m
+                    continue
+                if total is not None:
+                    yield line()
+                now, total = block, m.copy()
+        if total is not None:
+            yield line()
+
+    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block bigint, m binary")
+
+
+def _product(tiles: DataFrame, other: _Tall | None, inner: str, outer: str, rows: int, width: int, shape: dict[str, int], seed: int = 0) -> _Tall:
     """Tiles of a matrix (or of its transpose: ``inner`` is then ``rb``) times a tall one; without one, a random one.
 
-    Each task multiplies its tiles as dense blocks and adds up what belongs to the same rows before
-    anything is shuffled.
+    ``shape`` tells how many rows (``rb``) and columns (``cb``) a tile has. Each task adds up what its
+    tiles give to the same rows before anything is shuffled.
     """
     met = tiles if other is None else tiles.join(other.table.withColumnRenamed("block", inner), inner)
-    flip, drawn = inner == "rb", other is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sums = _Sums()
+        for r, c, v, m, within, to in _each_tile(batches, inner, outer):
+            x = np.random.default_rng([seed, within]).normal(size=(shape[inner], width)) if m is None else m.reshape(-1, width)
+            yield from sums.add(to, _tile_times(*((c, r) if inner == "rb" else (r, c)), v, x, shape[outer]))
+        yield from sums.all()
 
-        def put() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(map(_blob, sums.values()), pa.binary())], ["block", "m"])
-            sums.clear()
-            return out
+    return _Tall(_added(met.mapInArrow(run, "block bigint, m binary")), rows, width, shape[outer])
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                dense = np.zeros((per_block, per_block))
-                np.add.at(dense, (np.array(row["r"]), np.array(row["c"])), np.array(row["v"], float))
-                x = np.random.default_rng([seed, row[inner]]).normal(size=(per_block, width)) if drawn else np.frombuffer(row["m"]).reshape(per_block, width)
-                y = (dense.T if flip else dense) @ x
-                sums[row[outer]] = sums[row[outer]] + y if row[outer] in sums else y
-                if len(sums) * y.nbytes > 64 << 20:
-                    yield put()
-        if sums:
-            yield put()
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(m) for m in table.column("m").to_pylist())
-        return pa.table({"block": table.column("block").slice(0, 1), "m": pa.array([_blob(total)], pa.binary())})
-
-    shape = "block bigint, m binary"
-    return _Tall(met.mapInArrow(run, shape).groupBy("block").applyInArrow(add, shape), rows, width, per_block)
-
-
-def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over: int = 10, rounds: int = 4, per_block: int = 1024, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+
+def _there_and_back(tiles: DataFrame, basis: _Tall, shape: dict[str, int]) -> _Tall:
+    """A times the orthonormal columns of A' times ``basis``, by strips of columns: a task holds a strip's
+    cells and its part of A' times ``basis``, which is neither shuffled nor written. The columns are made
+    orthonormal afterwards, by their inner products (block -1)."""
+    width = basis.width
+    met = tiles.join(basis.table.withColumnRenamed("block", "rb"), "rb").repartition("cb").sortWithinPartitions("cb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, now, held, z = _Sums(), None, [], np.zeros((0, width))
+        gram = np.zeros((width, width))
+
+        def back() -> Iterator[pa.RecordBatch]:
+            for rb, r, c, v in held:
+                yield from sums.add(rb, _tile_times(r, c, v, z, shape["rb"]))
+
+        for r, c, v, m, rb, cb in _each_tile(batches, "rb", "cb"):
+            if cb != now:
+                gram += z.T @ z
+                yield from back()
+                now, held, z = cb, [], np.zeros((shape["cb"], width))
+            z += _tile_times(c, r, v, m.reshape(-1, width), shape["cb"])
+            held.append((rb, r.copy(), c.copy(), v.copy()))
+        gram += z.T @ z
+        yield from back()
+        yield from sums.all()
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([_blob(gram)], pa.binary())], ["block", "m"])
+
+    both = materialize(_added(met.mapInArrow(run, "block bigint, m binary")), "both")
+    turn = _inverse_root(np.frombuffer(both.filter("block = -1").first()["m"]).reshape(width, width))
+    raw = _Tall(both.filter("block >= 0"), basis.rows, width, shape["rb"])
+    out = raw.mapped(lambda m: m @ turn, turn.shape[1])
+    discard(both, raw.table)
+    return out
+
+
+def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over: int = 10, rounds: int = 4, per_block: int = 1024, seed: int = 0, strip_cells: int = 1 << 22) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Principal components of a long table of cells, however many columns it has: scores (``row, pc``), explained
     variance (``component, ratio``) and loadings (``column, component, loading``).
 
     Absent cells are zeros. A random range finder of ``k + over`` columns is sharpened by ``rounds`` of
-    block power iteration; the table stays as tiles of ``per_block`` rows and columns, columns are
-    centred without filling it in, and the driver holds matrices of ``k + over`` squared only. Each
-    component's largest loading is positive.
+    block power iteration; the table stays as tiles of ``per_block`` rows and up to eight times as many
+    columns, columns are centred without filling it in, and the driver holds matrices of ``k + over``
+    squared only. Where no strip of a tile's columns has over ``strip_cells`` cells, an iteration takes
+    the table once, strip by strip; else tile by tile, once for each of its products. Each component's
+    largest loading is positive.
     """
     spark = cells.sparkSession
     ship(spark)
-    kept = cells.filter(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col(value).isNotNull())
+    known = cells.select(row, column, F.col(value).cast("double").alias("_v")).filter(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col("_v").isNotNull())
+    kept = materialize(known, "cells")
     names = [materialize(numbered(kept.select(F.col(c).alias(f"_{c}")).distinct(), [f"_{c}"]), "names") for c in (row, column)]
     n, p = (x.count() for x in names)
     width = min(k + over, n, p)
     k = min(k, width)
     placed = kept.join(names[0], F.col(row) == F.col(f"_{row}")).withColumnRenamed("_number", "_r").join(names[1], F.col(column) == F.col(f"_{column}")).withColumnRenamed("_number", "_c")
-    at = [F.col("_r") - 1, F.col("_c") - 1]
-    cell = F.struct(*[F.pmod(x, F.lit(per_block)).cast("int").alias(c) for x, c in zip(at, "rc", strict=True)], F.col(value).cast("double").alias("v"))
-    tiles = placed.select(*[F.floor(x / per_block).alias(b) for x, b in zip(at, ("rb", "cb"), strict=True)], cell.alias("x")).groupBy("rb", "cb").agg(F.collect_list("x").alias("x"))
+    placed = materialize(placed.select((F.col("_r") - 1).alias("_r"), (F.col("_c") - 1).alias("_c"), "_v"), "placed")
+    discard(kept)
+    squares = placed.groupBy("_c").agg(F.sum("_v").alias("s"), F.sum(F.col("_v") ** 2).alias("q"), F.count("*").alias("n"))
+    strips = squares.groupBy(F.floor(F.col("_c") / per_block)).agg(F.sum(F.col("q") - F.col("s") * F.col("s") / n).alias("q"), F.sum("n").alias("n"))
+    total, most = strips.agg(F.sum("q"), F.max("n")).first()
+    total, most = total or 0.0, most or 1
+    shape = {"rb": per_block, "cb": per_block * max(1, min(8, (1 << 20) // most))}
+    cell = F.struct(*[F.pmod(x, F.lit(shape[b])).cast("int").alias(c) for x, b, c in (("_r", "rb", "r"), ("_c", "cb", "c"))], F.col("_v").alias("v"))
+    tiles = placed.select(*[F.floor(F.col(x) / shape[b]).alias(b) for x, b in (("_r", "rb"), ("_c", "cb"))], cell.alias("x")).groupBy("rb", "cb").agg(F.collect_list("x").alias("x"))
     tiles = materialize(tiles.select("rb", "cb", F.col("x.r").alias("r"), F.col("x.c").alias("c"), F.col("x.v").alias("v")), "tiles")
-    squares = kept.groupBy(column).agg(F.sum(F.col(value).cast("double")).alias("s"), F.sum(F.col(value).cast("double") ** 2).alias("q"))
-    total = squares.agg(F.sum(F.col("q") - F.col("s") * F.col("s") / n)).first()[0] or 0.0
-    y = _product(tiles, None, "cb", "rb", n, width, per_block, seed)
+    discard(placed)
+    whole = most * (shape["cb"] // per_block) <= strip_cells
+    y = _product(tiles, None, "cb", "rb", n, width, shape, seed)
     for _ in range(rounds):
         basis = y.orthonormal(True)
-        z = _product(tiles, basis, "rb", "cb", p, basis.width, per_block)
-        turned = z.orthonormal(False)
-        fresh = _product(tiles, turned, "cb", "rb", n, turned.width, per_block)
-        discard(y.table, basis.table, z.table, turned.table)
+        if whole:
+            fresh = _there_and_back(tiles, basis, shape)
+        else:
+            z = _product(tiles, basis, "rb", "cb", p, basis.width, shape)
+            turned = z.orthonormal(False)
+            fresh = _product(tiles, turned, "cb", "rb", n, turned.width, shape)
+            discard(z.table, turned.table)
+        discard(y.table, basis.table)
         y = fresh
     basis = y.orthonormal(True, 2)
-    z = _product(tiles, basis, "rb", "cb", p, basis.width, per_block)
+    z = _product(tiles, basis, "rb", "cb", p, basis.width, shape)
     values, axes = np.linalg.eigh(z.sums(lambda m: m.T @ m))
     values, axes = values[::-1][:k], axes[:, ::-1][:, :k]
     good = values > 1e-12 * max(total, 1e-300)
@@ -263,7 +361,7 @@ def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over:
     rough = z.mapped(lambda m: m @ (axes / np.sqrt(values)), len(values))
     signs = np.where(rough.largest(1) >= rough.largest(-1), 1.0, -1.0)
     loadings = rough.mapped(lambda m: m * signs, len(values))
-    scores = _product(tiles, loadings, "cb", "rb", n, len(values), per_block)
+    scores = _product(tiles, loadings, "cb", "rb", n, len(values), shape)
     mean = scores.sums(lambda m: m.sum(axis=0, keepdims=True)) / n
     centred = scores.mapped(lambda m: m - mean, len(values))
     ratio = spark.createDataFrame([(i + 1, float(v / total)) for i, v in enumerate(values)], "component int, ratio double")

@@ -136,6 +136,23 @@ def test_wide_components(spark, n, p, k, per_block):
     assert (axes.max(axis=0) >= -axes.min(axis=0)).all()
 
 
+def test_wide_components_take_the_cells_once(spark):
+    rng, seen = np.random.default_rng(8), spark.sparkContext.accumulator(0)
+    x = rng.normal(size=(30, 2)) @ rng.normal(size=(2, 40)) * 5 + rng.normal(size=(30, 40)) * 0.1
+    cells = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i in range(30) for j in range(40)], "sample long, feature long, value double")
+
+    def told(v):
+        seen.add(1)
+        return v
+
+    counted = cells.withColumn("value", F.udf(told, "double").asNondeterministic()("value"))
+    ways = [V.wide_pca(counted, "sample", "feature", "value", 2, rounds=1, per_block=64), V.wide_pca(cells, "sample", "feature", "value", 2, rounds=1, per_block=64, strip_cells=0)]
+    assert seen.value == 1200
+    strip, tile = ([r["ratio"] for r in ratio.orderBy("component").collect()] for _, ratio, _ in ways)
+    s = np.linalg.svd(x - x.mean(axis=0))[1] ** 2
+    assert np.allclose(strip, tile, rtol=1e-9) and np.allclose(strip, s[:2] / s.sum(), rtol=1e-6)
+
+
 def plain_nearest(x, ids, asks, k, distance):
     out = {}
     for q in asks:
