@@ -159,12 +159,20 @@ def _content(ctx: int, part: tuple) -> int:
     return int(mix(ctx, place, kind, Spans(text).of(0, len(text)))[0])
 
 
-def _each(f, names: str):
-    """A function of rows to tuples as one of pandas batches."""
+def _each(f, names: str, most: int = 20_000):
+    """A function of rows to tuples as one of pandas batches, given out as frames of some ``most`` tuples: a
+    line has hundreds of keys, and those of all lines of a batch take hundreds of MB."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            yield pd.DataFrame([t for row in x.itertuples(index=False) for t in f(row)], columns=names.split())
+            held: list[tuple] = []
+            for row in x.itertuples(index=False):
+                held += f(row)
+                if len(held) >= most:
+                    yield pd.DataFrame(held, columns=names.split())
+                    held = []
+            if held:
+                yield pd.DataFrame(held, columns=names.split())
 
     return run
 

@@ -238,14 +238,18 @@ def dedup_lines(documents: DataFrame, edits: int = 2, letters_per_edit: int = 8,
     untouched = keyed.filter("not _marked").select(*documents.columns, "_n_lines", F.lit(0).cast("long").alias("_n_removed"))
     kept = T.StructType([*[rows.schema[c] for c in documents.columns], T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
 
+    def without(batch: pa.RecordBatch) -> pa.RecordBatch:
+        gone = batch.column("_removed").to_pylist()
+        texts = [
+            None if x is None else x if not g else "\n".join([line for i, line in enumerate(x.split("\n")) if i not in g])
+            for x, g in zip(batch.column(text).to_pylist(), map(set, (g or () for g in gone)), strict=True)
+        ]
+        columns = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in kept.names[:-1]]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([len(g or ()) for g in gone], pa.int64())], kept.names)
+
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = batch.column("_removed").to_pylist()
-            texts = [
-                None if x is None else x if not g else "\n".join([line for i, line in enumerate(x.split("\n")) if i not in g])
-                for x, g in zip(batch.column(text).to_pylist(), map(set, (g or () for g in gone)), strict=True)
-            ]
-            columns = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in kept.names[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([len(g or ()) for g in gone], pa.int64())], kept.names)
+            for i in range(0, batch.num_rows, 500):  # texts are few at a time in Python
+                yield without(batch.slice(i, 500))
 
     return rows.mapInArrow(rewrite, kept).union(untouched)

@@ -631,3 +631,14 @@ def test_smaller_sets_share_an_early_element():
             if n >= 0.8 * len(np.union1d(a, b)):
                 early = a[: len(a) - ceil(1.6 / 1.8 * len(a) - 1e-9) + 1]
                 assert set(early.tolist()) & set(shingle_join.prefix(b, 0.8, a[:0]).tolist())
+
+
+def test_keys_of_a_batch_come_in_small_frames():
+    import pandas as pd
+
+    from expatlas.llm import edit_stars
+
+    batch = pd.DataFrame({"x": range(3000)})
+    frames = list(edit_stars._each(lambda r: [(r.x, i) for i in range(50)], "x i")(iter([batch, batch.head(0)])))
+    assert max(map(len, frames)) <= 20_050
+    assert pd.concat(frames).reset_index(drop=True).equals(pd.DataFrame([(x, i) for x in range(3000) for i in range(50)], columns=["x", "i"]))
