@@ -642,3 +642,35 @@ def test_keys_of_a_batch_come_in_small_frames():
     frames = list(edit_stars._each(lambda r: [(r.x, i) for i in range(50)], "x i")(iter([batch, batch.head(0)])))
     assert max(map(len, frames)) <= 20_050
     assert pd.concat(frames).reset_index(drop=True).equals(pd.DataFrame([(x, i) for x in range(3000) for i in range(50)], columns=["x", "i"]))
+
+
+def test_rarer_shingles_stand_first(spark):
+    """What many sets share stands behind what few share, so that prefixes seldom meet by it."""
+    from expatlas.llm import shingle_join
+
+    hashes, last = np.arange(1, 11, dtype=np.uint64), np.array([1, 2, 3, 9], np.uint64)
+    assert shingle_join.prefix(hashes, 0.1, last, np.array([5, 2, 9, 3])).tolist() == [4, 5, 6, 7, 8, 10, 2, 9, 1, 3]
+    common = " ".join(f"c{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{common} " + " ".join(f"u{i}.{j}" for j in range(12))) for i in range(400)], "doc_id long, text string")
+    last = shingle_join._often(docs, 5, "doc_id", "text")
+    seen = shingle_join._sketches(docs, 5, 0.8, last, "doc_id", "text").selectExpr("explode(prefix) h").groupBy("h").count()
+    assert len(last[0]) >= 36 and seen.filter("count > 1").count() == 0
+
+
+def test_pairs_of_blocks_are_not_shuffled(spark):
+    from expatlas.llm import shingle_join
+
+    rng = np.random.default_rng(24)
+    sets = [np.unique(rng.integers(0, 40, 30)).astype(np.uint64) for _ in range(60)]
+    rows = [(10 * b, [10 * b + i for i in range(10)], [len(x) for x in sets[10 * b : 10 * b + 10]], b"".join(x.tobytes() for x in sets[10 * b : 10 * b + 10])) for b in range(6)]
+    blocks = spark.createDataFrame(rows, "block bigint, nodes array<bigint>, sizes array<bigint>, items binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(0, 60, 10) for b in range(a + 10, 60, 10)], "block_a bigint, block_b bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = [shingle_join._block_links(blocks, 0.6), shingle_join._block_links(blocks, 0.6, pairs)]
+        plan = found[1]._jdf.queryExecution().sparkPlan().toString()
+        assert "CartesianProduct" in plan and "SortMergeJoin" not in plan
+        links = {(r.a, r.b) for df in found for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert components(range(60), lambda i, j: (i, j) in links or (j, i) in links) == components(sets, lambda a, b: len(np.intersect1d(a, b)) >= 0.6 * len(np.union1d(a, b)))
