@@ -191,11 +191,13 @@ class _Tall:
         return self.table.mapInArrow(run, "number bigint, v array<double>")
 
 
-def _tile_times(r: np.ndarray, c: np.ndarray, v: np.ndarray, x: np.ndarray, rows: int) -> np.ndarray:
-    """Cells ``r, c, v`` of a tile times ``x``: cell by cell if they are few, else as a dense block."""
+def _tile_times(r: np.ndarray, c: np.ndarray, v: np.ndarray, x: np.ndarray, rows: int, y: np.ndarray | None = None) -> np.ndarray:
+    """Cells ``r, c, v`` of a tile times ``x``, added to ``y`` in place: cell by cell if they are few, else as a dense block."""
+    y = np.zeros((rows, x.shape[1])) if y is None else y
     if len(v) * 128 > rows * len(x):
-        return np.bincount(r.astype(np.int64) * len(x) + c, v, rows * len(x)).reshape(rows, len(x)) @ x
-    y, order = np.zeros((rows, x.shape[1])), np.argsort(r, kind="stable")
+        y += np.bincount(r.astype(np.int64) * len(x) + c, v, rows * len(x)).reshape(rows, len(x)) @ x
+        return y
+    order = np.argsort(r, kind="stable")
     for i in range(0, len(v), 2048):  # so few that what is made of them stays in the cache
         some = order[i : i + 2048]
         at = r[some]
@@ -211,7 +213,7 @@ def _each_tile(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple
         cells = [batch.column(k).values.to_numpy(zero_copy_only=False) for k in "rcv"]
         m = batch.column("m") if "m" in batch.schema.names else None
         for i, at in enumerate(zip(*[batch.column(k).to_pylist() for k in names], strict=True)):
-            yield *[x[ends[i] : ends[i + 1]] for x in cells], None if m is None else np.frombuffer(m[i].as_buffer()), *at
+            yield *[x[ends[i] : ends[i + 1]] for x in cells], None if m is None or not m[i].is_valid else np.frombuffer(m[i].as_buffer()), *at
 
 
 class _Sums:
@@ -220,12 +222,21 @@ class _Sums:
     def __init__(self) -> None:
         self.blocks: dict[int, np.ndarray] = {}
 
+    def of(self, block: int, shape: tuple[int, int]) -> np.ndarray:
+        """What a block has so far, to be added to in place."""
+        if block not in self.blocks:
+            self.blocks[block] = np.zeros(shape)
+        return self.blocks[block]
+
     def add(self, block: int, m: np.ndarray) -> Iterator[pa.RecordBatch]:
         if block in self.blocks:
             self.blocks[block] += m
         else:
             self.blocks[block] = m
-        if len(self.blocks) * m.nbytes > 64 << 20:
+        yield from self.full()
+
+    def full(self) -> Iterator[pa.RecordBatch]:
+        if len(self.blocks) * next(iter(self.blocks.values())).nbytes > 64 << 20:
             yield from self.all()
 
     def all(self) -> Iterator[pa.RecordBatch]:
@@ -273,34 +284,71 @@ def _product(tiles: DataFrame, other: _Tall | None, inner: str, outer: str, rows
     return _Tall(_added(met.mapInArrow(run, "block bigint, m binary")), rows, width, shape[outer])
 
 
-def _there_and_back(tiles: DataFrame, basis: _Tall, shape: dict[str, int]) -> _Tall:
-    """A times the orthonormal columns of A' times ``basis``, by strips of columns: a task holds a strip's
-    cells and its part of A' times ``basis``, which is neither shuffled nor written. The columns are made
-    orthonormal afterwards, by their inner products (block -1)."""
-    width = basis.width
-    met = tiles.join(basis.table.withColumnRenamed("block", "rb"), "rb").repartition("cb").sortWithinPartitions("cb")
+def _by_strips(tiles: DataFrame, shape: dict[str, int], width: int, rows: _Tall | None = None, columns: _Tall | None = None, back: bool = True, seed: int = 0) -> DataFrame:
+    """Blocks ``block, m`` of a product of the tiles, strip by strip of columns, each strip in one task.
+
+    With ``columns``, A times them; without any, A times random ones. With ``rows``, A' times them, and
+    with ``back`` then A times that: what is as long as there are columns stays in the task, and its
+    inner products come as block -1. A block of ``rows`` goes once to each strip that has cells in it,
+    and a strip gives one block for each, so that what is shuffled grows with strips and not with tiles.
+    """
+    from_rows, from_columns = rows is not None, columns is not None
+    at = ["strip", "rb", "cb", "r", "c", "v"]
+    none = [F.lit(None).cast(tiles.schema[c].dataType).alias(c) for c in "rcv"]
+    work = tiles.select(*at, F.lit(None).cast("binary").alias("m"))
+    if from_rows:
+        reach = tiles.select("strip", "rb").distinct().join(rows.table.withColumnRenamed("block", "rb"), "rb")
+        work = work.union(reach.select("strip", "rb", F.lit(-1).cast("long"), *none, "m"))
+    if from_columns:
+        per_strip = tiles.select("strip", "cb").distinct().join(columns.table.withColumnRenamed("block", "cb"), "cb")
+        work = work.union(per_strip.select("strip", F.lit(-1).cast("long"), "cb", *none, "m"))
+    if from_rows or from_columns:  # else the tiles lie by strips as they are
+        work = work.repartition("strip").sortWithinPartitions("strip", "rb", "cb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, now, held, z = _Sums(), None, [], np.zeros((0, width))
+        sums, now, held, tall, near = _Sums(), None, [], {}, None
         gram = np.zeros((width, width))
 
-        def back() -> Iterator[pa.RecordBatch]:
-            for rb, r, c, v in held:
-                yield from sums.add(rb, _tile_times(r, c, v, z, shape["rb"]))
-
-        for r, c, v, m, rb, cb in _each_tile(batches, "rb", "cb"):
-            if cb != now:
-                gram += z.T @ z
-                yield from back()
-                now, held, z = cb, [], np.zeros((shape["cb"], width))
-            z += _tile_times(c, r, v, m.reshape(-1, width), shape["cb"])
-            held.append((rb, r.copy(), c.copy(), v.copy()))
-        gram += z.T @ z
-        yield from back()
+        def end() -> Iterator[pa.RecordBatch]:
+            for cb, z in tall.items() if from_rows else ():
+                if back:
+                    gram[:] += z.T @ z
+                else:
+                    yield from sums.add(cb, z)
+            for rb, cb, r, c, v in held:
+                _tile_times(r, c, v, tall[cb], shape["rb"], sums.of(rb, (shape["rb"], width)))
+                yield from sums.full()
+
+        for r, c, v, m, strip, rb, cb in _each_tile(batches, "strip", "rb", "cb"):
+            if strip != now:
+                yield from end()
+                now, held, tall = strip, [], {}
+            if m is not None and cb < 0:
+                near = m.reshape(-1, width)
+            elif m is not None:
+                tall[cb] = m.reshape(-1, width).copy()
+            elif from_rows:
+                tall[cb] = _tile_times(c, r, v, near, shape["cb"], tall.get(cb))
+                if back:
+                    held.append((rb, cb, r.copy(), c.copy(), v.copy()))
+            else:
+                if cb not in tall:
+                    tall[cb] = np.random.default_rng([seed, cb]).normal(size=(shape["cb"], width))
+                _tile_times(r, c, v, tall[cb], shape["rb"], sums.of(rb, (shape["rb"], width)))
+                yield from sums.full()
+        yield from end()
         yield from sums.all()
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([_blob(gram)], pa.binary())], ["block", "m"])
+        if from_rows and back:
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([_blob(gram)], pa.binary())], ["block", "m"])
+
+    parts = work.select(*at, "m").mapInArrow(run, "block bigint, m binary")
+    return _added(parts) if back else parts
+
 
-    both = materialize(_added(met.mapInArrow(run, "block bigint, m binary")), "both")
+def _there_and_back(tiles: DataFrame, basis: _Tall, shape: dict[str, int]) -> _Tall:
+    """A times the orthonormal columns of A' times ``basis``; these are made orthonormal afterwards, by their inner products."""
+    width = basis.width
+    both = materialize(_by_strips(tiles, shape, width, rows=basis), "both")
     turn = _inverse_root(np.frombuffer(both.filter("block = -1").first()["m"]).reshape(width, width))
     raw = _Tall(both.filter("block >= 0"), basis.rows, width, shape["rb"])
     out = raw.mapped(lambda m: m @ turn, turn.shape[1])
@@ -308,16 +356,17 @@ def _there_and_back(tiles: DataFrame, basis: _Tall, shape: dict[str, int]) -> _T
     return out
 
 
-def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over: int = 10, rounds: int = 4, per_block: int = 1024, seed: int = 0, strip_cells: int = 1 << 22) -> tuple[DataFrame, DataFrame, DataFrame]:
+def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over: int = 10, rounds: int = 4, per_block: int = 1024, seed: int = 0, strip_cells: int = 1 << 24, strip_bytes: int = 128 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Principal components of a long table of cells, however many columns it has: scores (``row, pc``), explained
     variance (``component, ratio``) and loadings (``column, component, loading``).
 
     Absent cells are zeros. A random range finder of ``k + over`` columns is sharpened by ``rounds`` of
     block power iteration; the table stays as tiles of ``per_block`` rows and up to eight times as many
     columns, columns are centred without filling it in, and the driver holds matrices of ``k + over``
-    squared only. Where no strip of a tile's columns has over ``strip_cells`` cells, an iteration takes
-    the table once, strip by strip; else tile by tile, once for each of its products. Each component's
-    largest loading is positive.
+    squared only. Tiles stand in strips of columns, 32 or as many as bring a strip's cells under half of
+    ``strip_cells`` and its part of what is as long as there are columns under ``strip_bytes``. Where no
+    strip has over ``strip_cells`` cells, an iteration takes the table once, strip by strip; else tile by
+    tile, once for each of its products. Each component's largest loading is positive.
     """
     spark = cells.sparkSession
     ship(spark)
@@ -332,15 +381,19 @@ def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over:
     discard(kept)
     squares = placed.groupBy("_c").agg(F.sum("_v").alias("s"), F.sum(F.col("_v") ** 2).alias("q"), F.count("*").alias("n"))
     strips = squares.groupBy(F.floor(F.col("_c") / per_block)).agg(F.sum(F.col("q") - F.col("s") * F.col("s") / n).alias("q"), F.sum("n").alias("n"))
-    total, most = strips.agg(F.sum("q"), F.max("n")).first()
-    total, most = total or 0.0, most or 1
+    strips = materialize(strips.withColumnRenamed(strips.columns[0], "at"), "strips")
+    total, most, held = strips.agg(F.sum("q"), F.max("n"), F.sum("n")).first()
+    total, most, held = total or 0.0, most or 1, held or 0
     shape = {"rb": per_block, "cb": per_block * max(1, min(8, (1 << 20) // most))}
     cell = F.struct(*[F.pmod(x, F.lit(shape[b])).cast("int").alias(c) for x, b, c in (("_r", "rb", "r"), ("_c", "cb", "c"))], F.col("_v").alias("v"))
     tiles = placed.select(*[F.floor(F.col(x) / shape[b]).alias(b) for x, b in (("_r", "rb"), ("_c", "cb"))], cell.alias("x")).groupBy("rb", "cb").agg(F.collect_list("x").alias("x"))
-    tiles = materialize(tiles.select("rb", "cb", F.col("x.r").alias("r"), F.col("x.c").alias("c"), F.col("x.v").alias("v")), "tiles")
-    discard(placed)
-    whole = most * (shape["cb"] // per_block) <= strip_cells
-    y = _product(tiles, None, "cb", "rb", n, width, shape, seed)
+    many = max(32, p * width * 8 // strip_bytes, 2 * held // max(1, strip_cells))
+    wide = max(1, -(-p // (shape["cb"] * many)))  # blocks of columns a strip
+    whole = (strips.groupBy(F.floor(F.col("at") * per_block / (shape["cb"] * wide))).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0) <= strip_cells
+    tiles = tiles.select(F.floor(F.col("cb") / wide).alias("strip"), "rb", "cb", F.col("x.r").alias("r"), F.col("x.c").alias("c"), F.col("x.v").alias("v"))
+    tiles = materialize(tiles.repartition("strip").sortWithinPartitions("strip", "rb", "cb") if whole else tiles, "tiles")
+    discard(placed, strips)
+    y = _Tall(_by_strips(tiles, shape, width, seed=seed), n, width, per_block) if whole else _product(tiles, None, "cb", "rb", n, width, shape, seed)
     for _ in range(rounds):
         basis = y.orthonormal(True)
         if whole:
@@ -353,21 +406,24 @@ def wide_pca(cells: DataFrame, row: str, column: str, value: str, k: int, over:
         discard(y.table, basis.table)
         y = fresh
     basis = y.orthonormal(True, 2)
-    z = _product(tiles, basis, "rb", "cb", p, basis.width, shape)
+    z = _Tall(_by_strips(tiles, shape, basis.width, rows=basis, back=False), p, basis.width, shape["cb"]) if whole else _product(tiles, basis, "rb", "cb", p, basis.width, shape)
+    discard(y.table, basis.table)
     values, axes = np.linalg.eigh(z.sums(lambda m: m.T @ m))
     values, axes = values[::-1][:k], axes[:, ::-1][:, :k]
     good = values > 1e-12 * max(total, 1e-300)
     values, axes = values[good], axes[:, good]
     rough = z.mapped(lambda m: m @ (axes / np.sqrt(values)), len(values))
+    discard(z.table)
     signs = np.where(rough.largest(1) >= rough.largest(-1), 1.0, -1.0)
     loadings = rough.mapped(lambda m: m * signs, len(values))
-    scores = _product(tiles, loadings, "cb", "rb", n, len(values), shape)
+    discard(rough.table)
+    scores = _Tall(_by_strips(tiles, shape, len(values), columns=loadings), n, len(values), per_block) if whole else _product(tiles, loadings, "cb", "rb", n, len(values), shape)
     mean = scores.sums(lambda m: m.sum(axis=0, keepdims=True)) / n
     centred = scores.mapped(lambda m: m - mean, len(values))
     ratio = spark.createDataFrame([(i + 1, float(v / total)) for i, v in enumerate(values)], "component int, ratio double")
     by_row = names[0].join(centred.lines(), F.col("_number") == F.col("number")).select(F.col(f"_{row}").alias(row), F.col("v").alias("pc"))
     by_column = names[1].join(loadings.lines(), F.col("_number") == F.col("number")).select(F.col(f"_{column}").alias("column"), F.posexplode("v").alias("component", "loading"))
-    discard(y.table, basis.table, z.table, rough.table, scores.table, tiles)
+    discard(scores.table, tiles)
     return by_row, ratio, by_column.withColumn("component", F.col("component") + 1)
 
 

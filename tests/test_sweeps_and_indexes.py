@@ -198,3 +198,34 @@ def test_nearest_by_shared_pieces(spark):
     assert report[-1]["queries"] > 0  # nine are not within reach of pieces alone
     same = {(r.query, r["rank"]): r.id for r in N.knn(df, df.filter("id % 50 = 0"), 9, "hamming").collect()}
     assert same == {(q, k): i for q, v in got.items() for k, i, _ in v}
+
+
+def test_components_by_strips_of_any_width(spark):
+    """Cells all over the table, in strips of one tile's columns or of many: the same components, and one block a strip and block of rows."""
+    rng = np.random.default_rng(31)
+    cells = {(int(i), int(j)): float(v) for i, j, v in zip(rng.integers(0, 40, 900), rng.integers(0, 300, 900), rng.integers(1, 9, 900), strict=True)}
+    df = spark.createDataFrame([(f"s{i:02}", j, v) for (i, j), v in cells.items()], "sample string, feature long, value double")
+    found = []
+    for options in ({}, {"strip_bytes": 1}, {"strip_bytes": 1 << 30, "strip_cells": 600}):
+        scores, ratio, _ = V.wide_pca(df, "sample", "feature", "value", 3, rounds=12, per_block=4, **options)
+        found.append(([r.ratio for r in ratio.orderBy("component").collect()], np.array([r.pc for r in scores.orderBy("sample").collect()])))
+    x = np.zeros((40, 300))
+    for (i, j), v in cells.items():
+        x[i, j] = v
+    values = np.linalg.svd(x - x.mean(axis=0), compute_uv=False) ** 2
+    for ratio, scores in found:
+        assert np.allclose(ratio, (values / values.sum())[:3]) and np.allclose(scores, found[0][1], atol=1e-4)
+
+
+def test_shuffles_go_when_a_table_is_written(spark):
+    import time
+
+    from expatlas.scratch import materialize
+
+    files = lambda: {str(f) for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines() if "/shuffle_" in f}
+    before = files()
+    assert materialize(spark.range(5000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    for _ in range(50):
+        if left := [f for f in files() - before if f.endswith(".data")]:
+            time.sleep(0.2)
+    assert len(left) <= 1  # that of the count itself
