@@ -674,3 +674,13 @@ def test_pairs_of_blocks_are_not_shuffled(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert components(range(60), lambda i, j: (i, j) in links or (j, i) in links) == components(sets, lambda a, b: len(np.intersect1d(a, b)) >= 0.6 * len(np.union1d(a, b)))
+
+
+def test_sets_of_a_batch_are_made_a_few_at_a_time():
+    import pyarrow as pa
+
+    from expatlas.llm import shingle_join
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000))], ["x"])
+    parts = list(shingle_join._few(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert max(p.num_rows for p in parts) <= 256 and [x for p in parts for x in p.column("x").to_pylist()] == [*range(1000), *range(3)]
